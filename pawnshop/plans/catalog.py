@@ -4,8 +4,8 @@ from __future__ import annotations
 
 
 def _modules():
-    from pawnshop.plans import catalog_board, catalog_moves, catalog_profile
-    mods = [catalog_profile, catalog_board, catalog_moves]
+    from pawnshop.plans import catalog_board, catalog_moves, catalog_profile, catalog_sources
+    mods = [catalog_profile, catalog_board, catalog_moves, catalog_sources]
     return mods
 
 

@@ -1,6 +1,6 @@
 """Position features from piece placements.
 
-Input contract: a ``pieces`` table ``(*keys, file, rank, piece)`` with files
+Input contract: a ``pieces`` table ``(*keys, file, rank, piece[, value])`` with files
 0-7 (a-h), ranks 0-7 (1-8) and ``piece`` a FEN letter (upper case = white),
 at most one piece per square.  An optional boolean ``valid`` column marks
 boards whose text did not parse: their features are all null.  A board with a
@@ -122,6 +122,8 @@ def board_aggregate(pieces: DataFrame, keys: list[str]) -> DataFrame:
     for k, v in PIECE_VALUE.items():
         if v:
             value = F.when(F.upper(F.col("piece")) == k, F.lit(v)).otherwise(value)
+    if "value" in pieces.columns:  # explicit material per row (e.g. snapshot material rows)
+        value = F.coalesce(F.col("value"), value)
     pre = pieces.select(
         *keys, "file", "rank", F.coalesce(F.col("valid"), F.lit(True)).alias("_ok"),
         F.when(F.col("piece") == F.upper(F.col("piece")), "w")

@@ -15,3 +15,202 @@ def standardize(df: DataFrame, cols: list[str], keep: list[str] = (), prefix: st
         s = stats.select(f"s_{c}").scalar()
         out.append(((F.col(c) - m) / s).alias(f"{prefix}{c}"))
     return df.select(*out)
+
+
+# --------------------------------------------------------------------------- fitting
+
+from pyspark.ml import Pipeline  # noqa: E402
+from pyspark.ml.classification import (  # noqa: E402
+    GBTClassifier, LogisticRegression, RandomForestClassifier,
+)
+from pyspark.ml.feature import StandardScaler, VectorAssembler  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+from pyspark.ml.regression import LinearRegression  # noqa: E402
+
+from pawnshop.operators import evaluate as ev  # noqa: E402
+from pawnshop.operators.reshape import complete_cases  # noqa: E402
+from pawnshop.operators.sampling import class_weights, hash_split, stratified_split  # noqa: E402
+from pawnshop.schema import THRESHOLDS  # noqa: E402
+
+MIN_ROWS = 50
+
+
+def prepared(df: DataFrame, label: str, features: list[str], key: str) -> DataFrame:
+    """Complete cases, written once to the checkpoint folder: the fit, the
+    split counts and every metric then read this table instead of re-running
+    the feature lineage (and a lost executor does not lose it)."""
+    return complete_cases(df, label, features, [key]).checkpoint(eager=True)
+
+
+def assembler(features: list[str], out: str = "features") -> VectorAssembler:
+    """L1: feature columns -> one vector column."""
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip")
+
+
+def _scaled(features):
+    return [assembler(features, "raw"),
+            StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)]
+
+
+def _score(model, df, label, kind):
+    pred = model.transform(df)
+    if kind == "linear":
+        return pred.select(F.col(label).alias("label"), F.col("prediction").alias("prob1"))
+    return pred.select(F.col(label).alias("label"), vector_to_array("probability")[1].alias("prob1"))
+
+
+def _metrics_row(spark, info: dict, scored, threshold: float, with_regression: bool = False):
+    """One result row: confusion metrics, exact AUC and (optionally) RMSE/R^2.
+    Each part is a one-row aggregate; the final row is assembled on the driver
+    (a handful of numbers, not data)."""
+    row = dict(info)
+    row["threshold"] = float(threshold)
+    row.update(ev.confusion_metrics(scored, "label", score="prob1", threshold=threshold).first().asDict())
+    row.update(ev.roc_auc(scored, "label", "prob1").first().asDict())
+    reg = ev.regression_metrics(scored, "label", "prob1").first().asDict() if with_regression else {}
+    row["rmse"], row["r2"] = reg.get("rmse"), reg.get("r2")
+    schema = ("phase string, model string, train_rows long, threshold double, tp long, tn long, fp long, "
+              "fn long, accuracy double, precision double, recall double, f1 double, auc double, "
+              "rmse double, r2 double")
+    names = [c.split(" ")[0] for c in schema.split(", ")]
+    return spark.createDataFrame([tuple(row.get(n) for n in names)], schema)
+
+
+def _guard(spark, info, n_train):
+    """An error record instead of a failure when there is too little data."""
+    if n_train < 2:
+        return spark.createDataFrame([(*info.values(), f"only {n_train} training rows")],
+                                     [*info.keys(), "error"])  # D6: typed error record
+    return None
+
+
+def linear_phase(df: DataFrame, label: str, features: list[str], key: str, phase: str = "mid",
+                 seed: int = 42) -> DataFrame:
+    """L3: linear regression on the 0/1 label (maxIter 50, L2 0.1), label 1 if
+    prediction >= 0.5; accuracy/F1 plus RMSE and R^2 on the 20 % test split."""
+    data = hash_split(prepared(df, label, features, key), key, seed=seed)
+    train, test = data.where("split = 'train'"), data.where("split = 'test'")
+    info = {"phase": phase, "model": "linear"}
+    n = train.count()
+    bad = _guard(df.sparkSession, info, n)
+    if bad is not None:
+        return bad
+    model = Pipeline(stages=_scaled(features) + [
+        LinearRegression(featuresCol="features", labelCol=label, maxIter=50, regParam=0.1)]).fit(train)
+    return _metrics_row(df.sparkSession, {**info, "train_rows": n},
+                        _score(model, test, label, "linear"), 0.5, with_regression=True)
+
+
+def logistic_phase(df: DataFrame, label: str, features: list[str], key: str, phase: str = "mid",
+                   seed: int = 42) -> DataFrame:
+    """L4: logistic regression (maxIter 100, L2 0.1); accuracy and AUC on test."""
+    data = hash_split(prepared(df, label, features, key), key, seed=seed)
+    train, test = data.where("split = 'train'"), data.where("split = 'test'")
+    info = {"phase": phase, "model": "logistic"}
+    n = train.count()
+    bad = _guard(df.sparkSession, info, n)
+    if bad is not None:
+        return bad
+    model = Pipeline(stages=_scaled(features) + [
+        LogisticRegression(featuresCol="features", labelCol=label, maxIter=100, regParam=0.1,
+                           elasticNetParam=0.0)]).fit(train)
+    return _metrics_row(df.sparkSession, {**info, "train_rows": n}, _score(model, test, label, "logistic"), 0.5)
+
+
+def _weighted_tree(df, label, features, key, phase, name, estimator, seed):
+    """Shared flow of L5/L6: stratified 60/20/20 split, class weights from the
+    training rows, threshold chosen on validation, metrics on test."""
+    data = stratified_split(prepared(df, label, features, key), label, key, seed=seed).checkpoint(eager=True)
+    train = class_weights(data.where("split = 'train'"), label)
+    val, test = data.where("split = 'validation'"), data.where("split = 'test'")
+    info = {"phase": phase, "model": name}
+    n = train.count()
+    bad = _guard(df.sparkSession, info, n)
+    if bad is not None:
+        return bad, None
+    model = Pipeline(stages=[assembler(features), estimator]).fit(train)
+    scan = ev.threshold_scan(_score(model, val, label, "tree"), "label", "prob1", THRESHOLDS)
+    best = ev.best_threshold(scan).first()
+    t = best["threshold"] if best else 0.5
+    return _metrics_row(df.sparkSession, {**info, "train_rows": n}, _score(model, test, label, "tree"), t), model
+
+
+def forest_phase(df: DataFrame, label: str, features: list[str], key: str, phase: str = "mid",
+                 trees: int = 60, depth: int = 8, seed: int = 42) -> DataFrame:
+    """Weighted random forest (60 trees, depth 8, seed 42)."""
+    est = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="class_weight",
+                                 numTrees=trees, maxDepth=depth, seed=seed)
+    return _weighted_tree(df, label, features, key, phase, "forest", est, seed)[0]
+
+
+def boosting_phase(df: DataFrame, label: str, features: list[str], key: str, phase: str = "mid",
+                   rounds: int = 300, depth: int = 6, rate: float = 0.1, seed: int = 42) -> DataFrame:
+    """L6 (re-aimed): distributed gradient-boosted trees with class weights."""
+    est = GBTClassifier(featuresCol="features", labelCol=label, weightCol="class_weight",
+                        maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed)
+    return _weighted_tree(df, label, features, key, phase, "boosting", est, seed)[0]
+
+
+def feature_weights(spark, model, features: list[str]) -> DataFrame:
+    """Coefficients (linear models) or impurity importances (trees) as a
+    table - one row per feature, so it is as small as the feature list."""
+    last = model.stages[-1] if hasattr(model, "stages") else model
+    if hasattr(last, "coefficients"):
+        w = last.coefficients.toArray().tolist()
+    else:
+        w = last.featureImportances.toArray().tolist()
+    return spark.createDataFrame([(f, float(v)) for f, v in zip(features, w)], "feature string, weight double")
+
+
+def fit_forest_with_weights(df, label, features, key, phase="mid", trees=60, depth=8, seed=42, k=15):
+    """L5 + L9 + O4: the top-k impurity importances of the weighted forest."""
+    est = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="class_weight",
+                                 numTrees=trees, maxDepth=depth, seed=seed)
+    _, model = _weighted_tree(df, label, features, key, phase, "forest", est, seed)
+    if model is None:
+        return df.sparkSession.createDataFrame([], "feature string, weight double")
+    return ev.top_k_abs(feature_weights(df.sparkSession, model, features), "weight", "feature", k)
+
+
+def permutation_importance(df: DataFrame, label: str, features: list[str], key: str, columns: list[str],
+                           repeats: int = 5, seed: int = 42, trees: int = 20, depth: int = 6) -> DataFrame:
+    """Mean F1 drop on validation when one column is permuted.
+
+    The permutation pairs the row at position p in key order with the value of
+    the row at position p in hash order (exact positions from the bucketed
+    ranking), then rescoring is one pass; every row of validation is used.
+    """
+    from pawnshop.functions.scalar import hash_unit
+    from pawnshop.operators.ranking import row_position
+
+    est = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="class_weight",
+                                 numTrees=trees, maxDepth=depth, seed=seed)
+    data = stratified_split(prepared(df, label, features, key), label, key, seed=seed).checkpoint(eager=True)
+    train = class_weights(data.where("split = 'train'"), label)
+    val = data.where("split = 'validation'").drop("split")
+    model = Pipeline(stages=[assembler(features), est]).fit(train)
+
+    def f1_of(frame):
+        return ev.confusion_metrics(_score(model, frame, label, "tree"), "label", score="prob1", threshold=0.5)
+
+    base_f1 = f1_of(val).first()["f1"]
+    by_key = row_position(val, [key], name="_p")
+    rows = []
+    for col in columns:
+        for r in range(repeats):
+            h = val.select(key, col).withColumn("_h", hash_unit(key, seed + r))
+            donor = row_position(h, ["_h", key], name="_p").select("_p", F.col(col).alias("_v"))
+            shuffled = (by_key.join(donor, "_p").drop(col, "_p", "_p_n").withColumnRenamed("_v", col))
+            rows.append(f1_of(shuffled).select(F.lit(col).alias("feature"), F.lit(r).alias("repeat"), "f1"))
+    allr = rows[0]
+    for x in rows[1:]:
+        allr = allr.unionByName(x)
+    return allr.groupBy("feature").agg(F.avg(F.lit(base_f1) - F.col("f1")).alias("importance"))
+
+
+def metrics_table(results: list[DataFrame]) -> DataFrame:
+    """All fit results as one table (one row per phase x model)."""
+    out = results[0]
+    for r in results[1:]:
+        out = out.unionByName(r, allowMissingColumns=True)
+    return out

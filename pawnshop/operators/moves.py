@@ -45,7 +45,9 @@ def token_rows(df: DataFrame, key: str, text: str) -> DataFrame:
     """All tokens with flags: (key, pos, tok, san, mainline, blank)."""
     blank = F.col(text).isNull() | F.col(text).rlike(r"^\s*$")
     toks = F.split(F.trim(_clean_text(F.col(text))), r"\s+")
-    x = df.select(F.col(key), blank.alias("blank"), F.posexplode_outer(toks).alias("pos", "tok"))
+    # per-text values first: columns next to a generator are evaluated per output row
+    pre = df.select(F.col(key), blank.alias("blank"), toks.alias("_toks"))
+    x = pre.select(key, "blank", F.posexplode_outer("_toks").alias("pos", "tok"))
     san = F.regexp_replace(F.regexp_replace(F.col("tok"), r"^[0-9]+\.+", ""), r"[+#!?]+$", "")
     delta = F.when(F.col("tok") == "(", 1).when(F.col("tok") == ")", -1).otherwise(0)
     x = x.select(key, "blank", "pos", "tok", san.alias("san"), delta.alias("_d"))
@@ -93,9 +95,7 @@ def snapshot_final(events: DataFrame, key: str, order: str, state: str, name: st
 
 # --------------------------------------------------------------------------- SAN -> events
 
-def parse_moves(moves: DataFrame, key: str) -> DataFrame:
-    """Adds side, castle, kind, capture, destination, promotion and pawn origin file."""
-    san = F.col("san")
+def _parsed(san, ply) -> dict:
     castle = F.when(san.rlike(r"^(O-O-O|0-0-0)$"), "Q").when(san.rlike(r"^(O-O|0-0)$"), "K")
     first = F.substring(san, 1, 1)
     kind = F.when(first.isin("N", "B", "R", "Q", "K"), first).otherwise("P")
@@ -103,45 +103,49 @@ def parse_moves(moves: DataFrame, key: str) -> DataFrame:
     df_ = F.ascii(F.substring(dest, 1, 1)) - 97
     dr_ = F.substring(dest, 2, 1).cast("int") - 1
     promo = F.regexp_extract(san, r"=?([NBRQ])$", 1)
-    return moves.select(
-        key, "ply", "san",
-        F.when(F.col("ply") % 2 == 1, "w").otherwise("b").alias("side"),
-        castle.alias("castle"),
-        F.when(castle.isNull(), kind).otherwise("K").alias("kind"),
-        san.contains("x").alias("capture"),
-        F.when(castle.isNull(), df_).alias("df"),
-        F.when(castle.isNull(), dr_).alias("dr"),
-        F.when(castle.isNull() & (kind == "P") & (promo != ""), promo).alias("promo"),
-        F.when(castle.isNull() & (kind == "P") & san.contains("x"), F.ascii(first) - 97)
-         .when(castle.isNull() & (kind == "P"), df_).alias("ff"))
-
-
-def _ev(seq, file, rank, etype, piece, color):
-    return F.struct(F.lit(seq).alias("seq"), file.cast("int").alias("file"), rank.cast("int").alias("rank"),
+    return {
+        "side": F.when(ply % 2 == 1, "w").otherwise("b"),
+        "castle": castle,
+        "kind": F.when(castle.isNull(), kind).otherwise("K"),
+        "capture": san.contains("x"),
+        "df": F.when(castle.isNull(), df_),
+        "dr": F.when(castle.isNull(), dr_),
+        "promo": F.when(castle.isNull() & (kind == "P") & (promo != ""), promo),
+        "ff": F.when(castle.isNull() & (kind == "P") & san.contains("x"), F.ascii(first) - 97)
+               .when(castle.isNull() & (kind == "P"), df_),
+    }
+
+
+def parse_moves(moves: DataFrame, key: str) -> DataFrame:
+    """Adds side, castle, kind, capture, destination, promotion and pawn origin file."""
+    cols = _parsed(F.col("san"), F.col("ply"))
+    return moves.select(key, "ply", "san", *[c.alias(n) for n, c in cols.items()])
+
+
+EVENT_TYPE = "array<struct<ply:int,seq:int,file:int,rank:int,etype:string,piece:string,color:string>>"
+
+
+def _ev(seq, file, rank, etype, piece, color, ply=None):
+    ply = F.col("ply") if ply is None else ply
+    return F.struct(ply.cast("int").alias("ply"), F.lit(seq).alias("seq"), file.cast("int").alias("file"), rank.cast("int").alias("rank"),
                     F.lit(etype).alias("etype"), piece.cast("string").alias("piece"), color.alias("color"))
 
 
-def move_events(moves: DataFrame, key: str) -> DataFrame:
-    """Board events (key, ply, seq, file, rank, etype, piece, color, ...):
-    'A' arrival, 'D' departure, 'Q' pawn push whose origin is resolved later.
-    Includes the 32 arrivals of the initial set-up at ply 0.
-    """
-    m = parse_moves(moves, key)
-    prev = Window.partitionBy(key).orderBy("ply")
+def _move_items(prev_kind, prev_capture, prev_df, prev_dr):
+    """Events of one half-move as an array of nullable structs, and the en
+    passant flag (given the previous half-move's kind/capture/destination)."""
     fwd = F.when(F.col("side") == "w", 1).otherwise(-1)
     opp = F.when(F.col("side") == "w", "b").otherwise("w")
     home = F.when(F.col("side") == "w", 0).otherwise(7)
     pawn = F.col("kind") == "P"
     # en passant: pawn capture onto rank 6 (3) right after an enemy pawn push to the square behind it
-    ep = (pawn & F.col("capture")
-          & (F.col("dr") == F.when(F.col("side") == "w", 5).otherwise(2))
-          & (F.lag("kind").over(prev) == "P") & ~F.lag("capture").over(prev)
-          & (F.lag("df").over(prev) == F.col("df")) & (F.lag("dr").over(prev) == F.col("dr") - fwd))
-    m = m.withColumn("_ep", F.coalesce(ep, F.lit(False)))
-    ep = F.col("_ep")
+    ep = F.coalesce(pawn & F.col("capture")
+                    & (F.col("dr") == F.when(F.col("side") == "w", 5).otherwise(2))
+                    & (prev_kind == "P") & ~prev_capture
+                    & (prev_df == F.col("df")) & (prev_dr == F.col("dr") - fwd), F.lit(False))
     double_rank = F.when(F.col("side") == "w", 3).otherwise(4)
     arrive = F.coalesce(F.col("promo"), F.col("kind"))
-    items = F.array(
+    items = [
         F.when(F.col("castle").isNull(), _ev(2, F.col("df"), F.col("dr"), "A", arrive, F.col("side"))),
         F.when(F.col("castle") == "K", _ev(2, F.lit(6), home, "A", F.lit("K"), F.col("side"))),
         F.when(F.col("castle") == "K", _ev(3, F.lit(5), home, "A", F.lit("R"), F.col("side"))),
@@ -153,45 +157,86 @@ def move_events(moves: DataFrame, key: str) -> DataFrame:
                _ev(0, F.col("df"), F.col("dr") - fwd, "Q", F.lit(None), F.col("side"))),
         F.when(pawn & ~F.col("capture") & (F.col("dr") != double_rank),
                _ev(0, F.col("df"), F.col("dr") - fwd, "D", F.lit(None), F.col("side"))),
-        F.when(ep, _ev(1, F.col("df"), F.col("dr") - fwd, "D", F.lit(None), opp)),
-    )
-    ev = m.select(key, "ply", "side", "capture", "promo", "_ep",
-                  F.explode(F.filter(items, lambda e: e.isNotNull())).alias("e")).select(
-        key, "ply", "side", "capture", "promo", "_ep", "e.*")
-    ev = ev.where((F.col("file").between(0, 7)) & (F.col("rank").between(0, 7)))
-    return ev
+        F.when(F.col("_ep"), _ev(1, F.col("df"), F.col("dr") - fwd, "D", F.lit(None), opp)),
+    ]
+    return items, ep
+
+
+def _setup_items():
+    cells, z = [], F.lit(0)
+    for f, k in enumerate(BACK_RANK):
+        cells += [_ev(0, F.lit(f), F.lit(0), "A", F.lit(k), F.lit("w"), z),
+                  _ev(0, F.lit(f), F.lit(1), "A", F.lit("P"), F.lit("w"), z),
+                  _ev(0, F.lit(f), F.lit(6), "A", F.lit("P"), F.lit("b"), z),
+                  _ev(0, F.lit(f), F.lit(7), "A", F.lit(k), F.lit("b"), z)]
+    return cells
+
+
+def move_events(moves: DataFrame, key: str) -> DataFrame:
+    """Board events of a (key, ply, san) table: 'A' arrival, 'D' departure,
+    'Q' pawn push whose origin is resolved later (see ``resolved_events``)."""
+    m = parse_moves(moves, key)
+    prev = Window.partitionBy(key).orderBy("ply")
+    items, ep = _move_items(F.lag("kind").over(prev), F.lag("capture").over(prev),
+                            F.lag("df").over(prev), F.lag("dr").over(prev))
+    m = m.withColumn("_ep", ep)
+    ev = m.select(key, "side", "capture", "promo", "_ep",
+                  F.explode(F.filter(F.array(*items), lambda e: e.isNotNull())).alias("e"))
+    ev = ev.select(key, "e.ply", "side", "capture", "promo", "_ep", "e.seq", "e.file", "e.rank", "e.etype",
+                   "e.piece", "e.color")
+    return ev.where((F.col("file").between(0, 7)) & (F.col("rank").between(0, 7)))
 
 
 def initial_events(games: DataFrame, key: str) -> DataFrame:
     """The 32 arrivals of the starting position for each game (ply 0)."""
-    cells = []
-    for f, k in enumerate(BACK_RANK):
-        cells += [_ev(0, F.lit(f), F.lit(0), "A", F.lit(k), F.lit("w")),
-                  _ev(0, F.lit(f), F.lit(1), "A", F.lit("P"), F.lit("w")),
-                  _ev(0, F.lit(f), F.lit(6), "A", F.lit("P"), F.lit("b")),
-                  _ev(0, F.lit(f), F.lit(7), "A", F.lit(k), F.lit("b"))]
-    return games.select(key, F.lit(0).alias("ply"), F.lit(None).cast("string").alias("side"),
+    return games.select(key, F.lit(None).cast("string").alias("side"),
                         F.lit(False).alias("capture"), F.lit(None).cast("string").alias("promo"),
-                        F.lit(False).alias("_ep"), F.explode(F.array(*cells)).alias("e")).select(
-        key, "ply", "side", "capture", "promo", "_ep", "e.*")
+                        F.lit(False).alias("_ep"), F.explode(F.array(*_setup_items())).alias("e")).select(
+        key, "e.ply", "side", "capture", "promo", "_ep", "e.seq", "e.file", "e.rank", "e.etype", "e.piece",
+        "e.color")
 
 
 def resolved_events(games: DataFrame, key: str, text: str) -> DataFrame:
     """All events incl. set-up, with each ambiguous pawn push resolved to a
-    departure from the 3rd/6th rank (own pawn there) or the start rank."""
-    moves = movetext_tokens(games, key, text)
-    live = token_rows(games, key, text).where(~F.col("blank")).select(key).distinct()
-    ev = move_events(moves, key).unionByName(initial_events(live, key))
+    departure from the 3rd/6th rank (own pawn there) or the start rank, and
+    for every arrival the piece and colour that stood there before it.
+
+    One generator over all token rows emits both the set-up (on a game's first
+    token) and each half-move's events, so every later window and aggregate
+    keeps the single partitioning by game.
+    """
+    rows = token_rows(games, key, text)
+    w = Window.partitionBy(key).orderBy("pos")
+    prior = w.rowsBetween(Window.unboundedPreceding, -1)
+    main = F.col("mainline")
+    rows = rows.withColumn("ply", F.when(main, F.sum(F.when(main, 1).otherwise(0)).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    parsed = _parsed(F.col("san"), F.col("ply"))
+    rows = rows.select("*", *[F.when(main, c).alias(n) for n, c in parsed.items()])
+    last = lambda c: F.last(F.col(c), ignorenulls=True).over(prior)  # noqa: E731  previous half-move
+    items, ep = _move_items(last("kind"), last("capture"), last("df"), last("dr"))
+    rows = rows.withColumn("_ep", F.when(main, ep).otherwise(F.lit(False)))
+    empty = F.array().cast(EVENT_TYPE)
+    setup = F.when(~F.col("blank") & (F.col("pos") == 0), F.array(*_setup_items())).otherwise(empty)
+    moves_arr = F.when(main, F.filter(F.array(*items), lambda e: e.isNotNull())).otherwise(empty)
+    ev = rows.select(key, "side", "capture", "promo", "_ep", F.explode(F.concat(setup, moves_arr)).alias("e"))
+    ev = ev.select(key, "e.ply", "side", "capture", "promo", "_ep", "e.seq", "e.file", "e.rank", "e.etype",
+                   "e.piece", "e.color")
+    ev = ev.where((F.col("file").between(0, 7)) & (F.col("rank").between(0, 7)))
     sq = Window.partitionBy(key, "file", "rank").orderBy("ply", "seq")
+    before = sq.rowsBetween(Window.unboundedPreceding, -1)
     own_pawn_before = ((F.lag("etype").over(sq) == "A") & (F.lag("piece").over(sq) == "P")
                        & (F.lag("color").over(sq) == F.col("color")))
     fwd = F.when(F.col("color") == "w", 1).otherwise(-1)
-    ev = ev.withColumn("_near", F.coalesce(own_pawn_before, F.lit(False)))
+    ev = ev.select("*", F.coalesce(own_pawn_before, F.lit(False)).alias("_near"),
+                   F.last("piece", ignorenulls=True).over(before).alias("_vp"),
+                   F.last(F.when(F.col("piece").isNotNull(), F.col("color")), ignorenulls=True)
+                    .over(before).alias("_vc"))
     return ev.select(
         key, "ply", "seq", "file",
         F.when((F.col("etype") == "Q") & ~F.col("_near"), F.col("rank") - fwd).otherwise(F.col("rank")).alias("rank"),
         F.when(F.col("etype") == "Q", "D").otherwise(F.col("etype")).alias("etype"),
-        "piece", "color", "side", "capture", "promo", "_ep")
+        "piece", "color", "side", "capture", "promo", "_ep", "_vp", "_vc")
 
 
 def _value(col):
@@ -202,22 +247,26 @@ def _value(col):
     return out
 
 
-def material_deltas(events: DataFrame, key: str) -> DataFrame:
-    """Per move: change of white and black material (captures, promotions)."""
-    arr = events.where(F.col("etype") == "A")
-    sq = Window.partitionBy(key, "file", "rank").orderBy("ply", "seq")
-    arr = arr.withColumn("_vp", F.lag("piece").over(sq)).withColumn("_vc", F.lag("color").over(sq))
-    # the mover's arrival of each half-move, plus one set-up row per game (zero delta)
-    mover_arrivals = arr.where(((F.col("ply") > 0) & (F.col("seq") == 2))
-                               | ((F.col("ply") == 0) & (F.col("file") == 0) & (F.col("rank") == 0)))
+def _deltas(events: DataFrame) -> DataFrame:
+    """Adds d_white / d_black: material change caused by each event row
+    (non-zero only on the mover's arrival: capture victim, promotion gain)."""
+    mover = (F.col("etype") == "A") & (F.col("ply") > 0) & (F.col("seq") == 2)
     lost = F.when(F.col("_ep"), F.lit(1)).when(F.col("capture"), _value(F.col("_vp"))).otherwise(0)
     victim = F.when(F.col("_ep"), F.when(F.col("side") == "w", "b").otherwise("w")) \
               .when(F.col("capture"), F.col("_vc"))
     gain = F.when(F.col("promo").isNotNull(), _value(F.col("promo")) - 1).otherwise(0)
-    return mover_arrivals.select(
-        key, "ply",
-        (F.when(F.col("side") == "w", gain).otherwise(0) - F.when(victim == "w", lost).otherwise(0)).alias("d_white"),
-        (F.when(F.col("side") == "b", gain).otherwise(0) - F.when(victim == "b", lost).otherwise(0)).alias("d_black"))
+    dw = F.when(F.col("side") == "w", gain).otherwise(0) - F.when(victim == "w", lost).otherwise(0)
+    db = F.when(F.col("side") == "b", gain).otherwise(0) - F.when(victim == "b", lost).otherwise(0)
+    return events.select("*", F.when(mover, dw).otherwise(0).alias("d_white"),
+                         F.when(mover, db).otherwise(0).alias("d_black"))
+
+
+def material_deltas(events: DataFrame, key: str) -> DataFrame:
+    """Per half-move (and one set-up row per game): change of white and black material."""
+    d = _deltas(events)
+    keep = (((F.col("ply") > 0) & (F.col("seq") == 2) & (F.col("etype") == "A"))
+            | ((F.col("ply") == 0) & (F.col("file") == 0) & (F.col("rank") == 0)))
+    return d.where(keep).select(key, "ply", "d_white", "d_black")
 
 
 DEFAULT_PHASES = {"open": 20, "mid": 40, "final": None}
@@ -282,31 +331,73 @@ def snapshot_pieces(events: DataFrame, key: str, phases=DEFAULT_PHASES) -> DataF
     return p.unionByName(k)
 
 
+def game_snapshots(games: DataFrame, key: str, text: str, phases=DEFAULT_PHASES) -> DataFrame:
+    """Pieces table (key, phase, file, rank, piece, value) of every snapshot:
+    pawns, kings and two material rows per snapshot (piece 'X'/'x', value =
+    side material; pawns and kings carry value 0).
+
+    One chain on the game partitioning: events -> one aggregate per (game,
+    square) -> one per game (at most 64 squares per snapshot, bounded) ->
+    explode.  No branch re-reads the events.
+    """
+    ev = _deltas(resolved_events(games, key, text))
+    o = F.col("ply") * 4 + F.col("seq")
+    state = F.struct("etype", "piece", "color")
+    per_sq = []
+    for ph, lim in phases.items():
+        upto = _limit(F.col("ply"), lim)
+        per_sq.append(F.max_by(state, F.when(upto, o)).alias(f"s_{ph}"))
+        for c in ("w", "b"):
+            king = (F.col("etype") == "A") & (F.col("piece") == "K") & (F.col("color") == c) & upto
+            per_sq.append(F.max(F.when(king, o)).alias(f"k_{ph}_{c}"))
+        per_sq.append(F.sum(F.when(upto, F.col("d_white")).otherwise(0)).alias(f"dw_{ph}"))
+        per_sq.append(F.sum(F.when(upto, F.col("d_black")).otherwise(0)).alias(f"db_{ph}"))
+    sq = ev.groupBy(key, "file", "rank").agg(*per_sq)
+    cell = F.struct("file", "rank")
+    per_game = []
+    for ph in phases:
+        s_ = F.col(f"s_{ph}")
+        pawn = (s_.etype == "A") & (s_.piece == "P")
+        per_game.append(F.collect_list(F.when(pawn, F.struct("file", "rank", s_.color.alias("color"))))
+                        .alias(f"p_{ph}"))
+        for c in ("w", "b"):
+            per_game.append(F.max_by(cell, F.col(f"k_{ph}_{c}")).alias(f"k_{ph}_{c}"))
+        per_game.append((39 + F.sum(f"dw_{ph}")).alias(f"mw_{ph}"))
+        per_game.append((39 + F.sum(f"db_{ph}")).alias(f"mb_{ph}"))
+    g = sq.groupBy(key).agg(*per_game)
+
+    def piece(file, rank, letter, value):
+        return F.struct(file.cast("int").alias("file"), rank.cast("int").alias("rank"),
+                        letter.alias("piece"), value.cast("int").alias("value"))
+
+    items = []
+    for ph in phases:
+        pawns = F.transform(F.col(f"p_{ph}"), lambda p: piece(
+            p.file, p.rank, F.when(p.color == "w", F.lit("P")).otherwise(F.lit("p")), F.lit(0)))
+        kings = F.filter(F.array(*[
+            F.when(F.col(f"k_{ph}_{c}").isNotNull(),
+                   piece(F.col(f"k_{ph}_{c}.file"), F.col(f"k_{ph}_{c}.rank"), F.lit("K" if c == "w" else "k"),
+                         F.lit(0))) for c in ("w", "b")]), lambda x: x.isNotNull())
+        marks = F.array(piece(F.lit(None), F.lit(None), F.lit("X"), F.col(f"mw_{ph}")),
+                        piece(F.lit(None), F.lit(None), F.lit("x"), F.col(f"mb_{ph}")))
+        items.append(F.struct(F.lit(ph).alias("phase"), F.concat(pawns, kings, marks).alias("pieces")))
+    x = g.select(key, F.explode(F.array(*items)).alias("snap"))
+    x = x.select(key, F.col("snap.phase").alias("phase"), F.explode("snap.pieces").alias("pc"))
+    return x.select(key, "phase", "pc.file", "pc.rank", "pc.piece", "pc.value")
+
+
 def game_position_features(games: DataFrame, key: str, text: str, phases=DEFAULT_PHASES) -> DataFrame:
     """Long table (key, phase, 43 features) for the snapshots of each game.
 
-    Pawn and king placements and material come from the event windows above;
-    the pawn/king features reuse the board operators on those placements.
-    Piece reach needs every piece's square, which movetext does not give
-    without a legality solver, so those three slots stay null.
+    Material comes from the capture/promotion deltas, pawn and king features
+    from the board operators applied to the snapshot placements.  Piece reach
+    needs every piece's square, which movetext does not give without a
+    legality solver, so those three slots stay null.
     """
     from pawnshop.operators import board as B
     from pawnshop.schema import FEATURE_KEYS
 
-    ev = resolved_events(games, key, text)
-    pieces = snapshot_pieces(ev, key, phases)
-    keys = [key, "phase"]
-    feats = B.board_features(pieces, keys, ("structure", "passed", "king", "dispersion"))
-    mat = snapshot_material(ev, key, phases).select(
-        *keys, F.col("material_white").cast("double").alias("material_white"),
-        F.col("material_black").cast("double").alias("material_black"))
-    j = mat.join(feats, keys, "left")
-    cols = []
-    for n in FEATURE_KEYS:
-        if n == "material_diff":
-            cols.append((F.col("material_white") - F.col("material_black")).alias(n))
-        elif n in j.columns:
-            cols.append(F.col(n))
-        else:
-            cols.append(F.lit(None).cast("double").alias(n))
-    return j.select(*keys, *cols)
+    pieces = game_snapshots(games, key, text, phases)
+    feats = B.board_features(pieces, [key, "phase"], ("material", "structure", "passed", "king", "dispersion"))
+    return feats.select(key, "phase", *[F.col(n) if n in feats.columns else F.lit(None).cast("double").alias(n)
+                                        for n in FEATURE_KEYS])

@@ -166,6 +166,14 @@ def movetext(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(f"{_HEADER} || {body} || ' ' || {_RESULT}").alias("movetext"))
 
 
+def chess_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(game_id, movetext, Winner): the movetext view plus the outcome its
+    result token states (unknown '*' results stay null)."""
+    winner = F.expr("CASE lang WHEN 'en' THEN 'White' WHEN 'de' THEN 'Black' WHEN 'fr' THEN 'Draw' END")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("game_id"), winner.alias("Winner"))
+    return movetext(spark, sf_dir).join(docs, "game_id")
+
+
 _WORDS_SQL = r"list_filter(string_split_regex(text, '\s+'), lambda w: w <> '')"
 MOVETEXT_SQL = f"""
 movetext AS (

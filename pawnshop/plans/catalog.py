@@ -4,8 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from pawnshop.plans import catalog_board, catalog_moves, catalog_profile, catalog_sources
-    mods = [catalog_profile, catalog_board, catalog_moves, catalog_sources]
+    from pawnshop.plans import (catalog_board, catalog_learn, catalog_moves, catalog_profile,
+                                catalog_sources)
+    mods = [catalog_profile, catalog_board, catalog_moves, catalog_sources, catalog_learn]
     return mods
 
 

@@ -104,8 +104,8 @@ _DIFF_SQL = {"pawns_diff": "pawns", "passed_pawns_diff": "passed_pawns", "advanc
              "pawn_file_std_diff": "pawn_file_std", "pawn_rank_std_diff": "pawn_rank_std"}
 
 
-def _feature_sql(names: list[str], with_reach: bool = False) -> str:
-    """SELECT of the named features from the white/black rows of per_side."""
+def feature_exprs() -> dict:
+    """Feature name -> SQL over the white (w) / black (b) rows of per_side and reach (r)."""
     expr = {"material_white": "w.material", "material_black": "b.material",
             "material_diff": "w.material - b.material"}
     for c in _SIDE_COLS:
@@ -116,6 +116,12 @@ def _feature_sql(names: list[str], with_reach: bool = False) -> str:
     expr["white_piece_reach"] = "r.white_piece_reach"
     expr["black_piece_reach"] = "r.black_piece_reach"
     expr["piece_reach_diff"] = "r.white_piece_reach - r.black_piece_reach"
+    return expr
+
+
+def _feature_sql(names: list[str], with_reach: bool = False) -> str:
+    """SELECT of the named features from the white/black rows of per_side."""
+    expr = feature_exprs()
     cols = ", ".join(f"{R(expr[n])} AS {n}" for n in names)
     src = ("per_side w JOIN per_side b ON w.board_id = b.board_id AND w.side = 'w' AND b.side = 'b'"
            + (" JOIN reach r ON r.board_id = w.board_id" if with_reach else ""))

@@ -79,31 +79,146 @@ def q_snapshot_final(spark, d):
     return M.snapshot_final(ev, "conv_id", "turn", "text")
 
 
-# chess state from the movetext view (checked against hand-worked games in tests)
-
-@register("material_timeline")
+# chess state from the movetext view: SQL twin of the event windows
+
+_FWD = "CASE WHEN side = 'w' THEN 1 ELSE -1 END"
+_HOME = "CASE WHEN side = 'w' THEN 0 ELSE 7 END"
+_SETUP = ", ".join(f"({f}, {r}, '{p}', '{c}')" for f, k in enumerate(M.BACK_RANK)
+                   for r, p, c in ((0, k, "w"), (1, "P", "w"), (6, "P", "b"), (7, k, "b")))
+_EVENTS_SQL = f"""mv AS (SELECT game_id, row_number() OVER (PARTITION BY game_id ORDER BY pos) AS ply, san FROM main),
+pm AS (SELECT game_id, ply, CASE WHEN ply % 2 = 1 THEN 'w' ELSE 'b' END AS side,
+         CASE WHEN regexp_matches(san, '^(O-O-O|0-0-0)$') THEN 'Q' WHEN regexp_matches(san, '^(O-O|0-0)$') THEN 'K' END AS castle,
+         CASE WHEN substr(san, 1, 1) IN ('N', 'B', 'R', 'Q', 'K') THEN substr(san, 1, 1) ELSE 'P' END AS kind0,
+         contains(san, 'x') AS capture,
+         ascii(substr(regexp_extract(san, '([a-h])([1-8])(=?[NBRQ])?$', 0), 1, 1)) - 97 AS df0,
+         TRY_CAST(substr(regexp_extract(san, '([a-h])([1-8])(=?[NBRQ])?$', 0), 2, 1) AS INTEGER) - 1 AS dr0,
+         regexp_extract(san, '=?([NBRQ])$', 1) AS promo0, ascii(substr(san, 1, 1)) - 97 AS first_file
+       FROM mv),
+pm2 AS (SELECT game_id, ply, side, castle, capture,
+         CASE WHEN castle IS NULL THEN kind0 ELSE 'K' END AS kind,
+         CASE WHEN castle IS NULL THEN df0 END AS df, CASE WHEN castle IS NULL THEN dr0 END AS dr,
+         CASE WHEN castle IS NULL AND kind0 = 'P' AND promo0 <> '' THEN promo0 END AS promo,
+         CASE WHEN castle IS NULL AND kind0 = 'P' AND capture THEN first_file
+              WHEN castle IS NULL AND kind0 = 'P' THEN df0 END AS ff
+       FROM pm),
+pm3 AS (SELECT *, coalesce(kind = 'P' AND capture AND dr = CASE WHEN side = 'w' THEN 5 ELSE 2 END
+           AND lag(kind) OVER w = 'P' AND NOT lag(capture) OVER w AND lag(df) OVER w = df
+           AND lag(dr) OVER w = dr - {_FWD}, false) AS ep
+        FROM pm2 WINDOW w AS (PARTITION BY game_id ORDER BY ply)),
+live AS (SELECT game_id FROM movetext WHERE movetext IS NOT NULL AND NOT regexp_matches(movetext, '^\\s*$')),
+setup AS (SELECT * FROM (VALUES {_SETUP}) t(file, rank, piece, color)),
+ev0 AS (
+  SELECT game_id, ply, 2 AS seq, df AS file, dr AS rank, 'A' AS etype, coalesce(promo, kind) AS piece, side AS color,
+         side, capture, promo, ep FROM pm3 WHERE castle IS NULL
+  UNION ALL SELECT game_id, ply, 2, CASE castle WHEN 'K' THEN 6 ELSE 2 END, {_HOME}, 'A', 'K', side, side, capture, promo, ep
+         FROM pm3 WHERE castle IS NOT NULL
+  UNION ALL SELECT game_id, ply, 3, CASE castle WHEN 'K' THEN 5 ELSE 3 END, {_HOME}, 'A', 'R', side, side, capture, promo, ep
+         FROM pm3 WHERE castle IS NOT NULL
+  UNION ALL SELECT game_id, ply, 0, ff, dr - {_FWD}, 'D', NULL, side, side, capture, promo, ep
+         FROM pm3 WHERE kind = 'P' AND castle IS NULL AND capture
+  UNION ALL SELECT game_id, ply, 0, df, dr - {_FWD},
+         CASE WHEN dr = CASE WHEN side = 'w' THEN 3 ELSE 4 END THEN 'Q' ELSE 'D' END, NULL, side, side, capture, promo, ep
+         FROM pm3 WHERE kind = 'P' AND castle IS NULL AND NOT capture
+  UNION ALL SELECT game_id, ply, 1, df, dr - {_FWD}, 'D', NULL, CASE WHEN side = 'w' THEN 'b' ELSE 'w' END,
+         side, capture, promo, ep FROM pm3 WHERE ep
+  UNION ALL SELECT l.game_id, 0, 0, s.file, s.rank, 'A', s.piece, s.color, NULL, false, NULL, false FROM live l, setup s),
+ev1 AS (SELECT *,
+    coalesce(lag(etype) OVER sq = 'A' AND lag(piece) OVER sq = 'P' AND lag(color) OVER sq = color, false) AS near,
+    last_value(piece IGNORE NULLS) OVER (sq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS vp,
+    last_value(CASE WHEN piece IS NOT NULL THEN color END IGNORE NULLS)
+      OVER (sq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS vc
+  FROM ev0 WHERE file BETWEEN 0 AND 7 AND rank BETWEEN 0 AND 7
+  WINDOW sq AS (PARTITION BY game_id, file, rank ORDER BY ply, seq)),
+ev AS (SELECT game_id, ply, seq, file,
+    CASE WHEN etype = 'Q' AND NOT near THEN rank - CASE WHEN color = 'w' THEN 1 ELSE -1 END ELSE rank END AS rank,
+    CASE WHEN etype = 'Q' THEN 'D' ELSE etype END AS etype, piece, color, side, capture, promo, ep, vp, vc FROM ev1)"""
+_VAL = "CASE {c} WHEN 'P' THEN 1 WHEN 'N' THEN 3 WHEN 'B' THEN 3 WHEN 'R' THEN 5 WHEN 'Q' THEN 9 ELSE 0 END"
+_DELTAS_SQL = f"""mover AS (SELECT game_id, ply, side,
+    CASE WHEN ep THEN 1 WHEN capture THEN {_VAL.format(c='vp')} ELSE 0 END AS lost,
+    CASE WHEN ep THEN CASE WHEN side = 'w' THEN 'b' ELSE 'w' END WHEN capture THEN vc END AS victim,
+    CASE WHEN promo IS NOT NULL THEN {_VAL.format(c='promo')} - 1 ELSE 0 END AS gain
+  FROM ev WHERE etype = 'A' AND ply > 0 AND seq = 2),
+deltas AS (
+  SELECT game_id, ply, (CASE WHEN side = 'w' THEN gain ELSE 0 END) - (CASE WHEN victim = 'w' THEN lost ELSE 0 END) AS dw,
+         (CASE WHEN side = 'b' THEN gain ELSE 0 END) - (CASE WHEN victim = 'b' THEN lost ELSE 0 END) AS db FROM mover
+  UNION ALL SELECT game_id, 0, 0, 0 FROM live)"""
+CHESS = ad.with_ctes(ad.MOVETEXT_SQL, _TOKENS_SQL, _EVENTS_SQL)
+_PHASES_SQL = [("open", "ply <= 20"), ("mid", "ply <= 40"), ("final", "true")]
+
+
+@register("material_timeline", CHESS + ",\n" + _DELTAS_SQL + """
+SELECT game_id, ply,
+  CAST(39 + sum(dw) OVER (PARTITION BY game_id ORDER BY ply ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+    AS material_white,
+  CAST(39 + sum(db) OVER (PARTITION BY game_id ORDER BY ply ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+    AS material_black
+FROM deltas""")
 def q_material_timeline(spark, d):
     return M.material_timeline(_mt(spark, d), "game_id", "movetext")
 
 
-@register("king_square_at")
+@register("king_square_at", CHESS + ",\nk AS (" + "\nUNION ALL ".join(
+    f"SELECT game_id, '{ph}' AS phase, color, arg_max(rank * 8 + file, ply * 4 + seq) FILTER (WHERE {cond}) AS sq "
+    f"FROM ev WHERE etype = 'A' AND piece = 'K' GROUP BY game_id, color" for ph, cond in _PHASES_SQL) + """)
+SELECT game_id, phase, color, CAST(sq % 8 AS INTEGER) AS file, CAST(sq // 8 AS INTEGER) AS rank
+FROM k WHERE sq IS NOT NULL""")
 def q_king_square_at(spark, d):
     ev = M.resolved_events(_mt(spark, d), "game_id", "movetext")
     return M.king_square_at(ev, "game_id")
 
 
-@register("pawn_squares_at")
+@register("pawn_squares_at", CHESS + ",\ns AS (" + "\nUNION ALL ".join(
+    f"SELECT game_id, file, rank, '{ph}' AS phase, arg_max({{'etype': etype, 'piece': piece, 'color': color}}, "
+    f"ply * 4 + seq) FILTER (WHERE {cond}) AS st FROM ev GROUP BY game_id, file, rank" for ph, cond in _PHASES_SQL)
+    + """)
+SELECT game_id, phase, st.color AS color, file, rank FROM s WHERE st.etype = 'A' AND st.piece = 'P'""")
 def q_pawn_squares_at(spark, d):
     ev = M.resolved_events(_mt(spark, d), "game_id", "movetext")
     return M.pawn_squares_at(ev, "game_id")
 
 
-@register("game_position_features")
+def _game_features_sql() -> str:
+    from pawnshop.plans import catalog_board as cb
+    codes = {"open": 1, "mid": 2, "final": 3}
+    snaps = []
+    for ph, cond in _PHASES_SQL:
+        snaps.append(
+            f"SELECT game_id * 10 + {codes[ph]} AS board_id, file, rank, CASE WHEN st.color = 'w' THEN 'P' ELSE 'p' END"
+            f" AS piece FROM (SELECT game_id, file, rank, arg_max({{'etype': etype, 'piece': piece, 'color': color}},"
+            f" ply * 4 + seq) FILTER (WHERE {cond}) AS st FROM ev GROUP BY game_id, file, rank) x"
+            f" WHERE st.etype = 'A' AND st.piece = 'P'")
+        snaps.append(
+            f"SELECT game_id * 10 + {codes[ph]}, CAST(sq % 8 AS INTEGER), CAST(sq // 8 AS INTEGER),"
+            f" CASE WHEN color = 'w' THEN 'K' ELSE 'k' END FROM (SELECT game_id, color, arg_max(rank * 8 + file,"
+            f" ply * 4 + seq) FILTER (WHERE {cond}) AS sq FROM ev WHERE etype = 'A' AND piece = 'K'"
+            f" GROUP BY game_id, color) y WHERE sq IS NOT NULL")
+    pieces = "pieces AS (" + "\nUNION ALL ".join(snaps) + ")"
+    mat = "mat AS (" + "\nUNION ALL ".join(
+        f"SELECT game_id * 10 + {codes[ph]} AS board_id, 39 + sum(dw) FILTER (WHERE {cond}) AS mw,"
+        f" 39 + sum(db) FILTER (WHERE {cond}) AS mb FROM deltas GROUP BY game_id" for ph, cond in _PHASES_SQL) + ")"
+    expr = cb.feature_exprs()
+    expr.update({"material_white": "m.mw", "material_black": "m.mb", "material_diff": "m.mw - m.mb",
+                 "white_piece_reach": "NULL", "black_piece_reach": "NULL", "piece_reach_diff": "NULL"})
+    cols = ", ".join(f"{R(expr[n])} AS {n}" for n in FEATURE_KEYS)
+    phase = "CASE w.board_id % 10 WHEN 1 THEN 'open' WHEN 2 THEN 'mid' ELSE 'final' END"
+    return (CHESS + ",\n" + _DELTAS_SQL + ",\n" + pieces + ",\n" + mat + ",\n" + cb._PC + ",\n" + cb._PER_SIDE
+            + f""",
+long AS (SELECT w.board_id // 10 AS game_id, {phase} AS phase, {cols}
+  FROM per_side w JOIN per_side b ON w.board_id = b.board_id AND w.side = 'w' AND b.side = 'b'
+  JOIN mat m ON m.board_id = w.board_id)""")
+
+
+GAME_FEATURES_SQL = _game_features_sql()
+
+
+@register("game_position_features", GAME_FEATURES_SQL + "\nSELECT * FROM long")
 def q_game_position_features(spark, d):
     return rounded(M.game_position_features(_mt(spark, d), "game_id", "movetext"))
 
 
-@register("phase_pivot")
+@register("phase_pivot", GAME_FEATURES_SQL + "\nSELECT game_id, " + ", ".join(
+    f"max({n}) FILTER (WHERE phase = '{ph}') AS {pre}{n}" for ph, pre in PHASES.items() for n in FEATURE_KEYS)
+    + " FROM long GROUP BY game_id")
 def q_phase_pivot(spark, d):
     long = M.game_position_features(_mt(spark, d), "game_id", "movetext")
     wide = phase_pivot(long, ["game_id"], "phase", FEATURE_KEYS, PHASES)

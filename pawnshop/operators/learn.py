@@ -39,6 +39,8 @@ def prepared(df: DataFrame, label: str, features: list[str], key: str) -> DataFr
     """Complete cases, written once to the checkpoint folder: the fit, the
     split counts and every metric then read this table instead of re-running
     the feature lineage (and a lost executor does not lose it)."""
+    from pawnshop.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)  # the cluster's folder; a local one only when none is set
     return complete_cases(df, label, features, [key]).checkpoint(eager=True)
 
 

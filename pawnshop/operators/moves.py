@@ -57,9 +57,11 @@ def token_rows(df: DataFrame, key: str, text: str) -> DataFrame:
     top = (F.col("_depth") == 0) & ~F.col("tok").isin("(", ")") & (F.col("san") != "")
     is_move = F.col("san").rlike(SAN_PATTERN)
     stop = top & (F.col("tok").isin(*RESULTS) | ~is_move)
-    x = x.withColumn("_stop", F.min(F.when(stop, F.col("pos"))).over(Window.partitionBy(key)))
-    main = top & is_move & (F.col("_stop").isNull() | (F.col("pos") < F.col("_stop")))
-    return x.withColumn("mainline", F.coalesce(main, F.lit(False))).drop("_d", "_depth", "_stop")
+    # the game ends at its first result or unreadable token: count stops seen so far
+    seen = F.sum(F.when(stop, 1).otherwise(0)).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    x = x.withColumn("_stops", seen)
+    main = top & is_move & (F.col("_stops") == 0)
+    return x.withColumn("mainline", F.coalesce(main, F.lit(False))).drop("_d", "_depth", "_stops")
 
 
 def movetext_tokens(df: DataFrame, key: str, text: str) -> DataFrame:

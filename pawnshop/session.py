@@ -40,6 +40,9 @@ def get_session(app_name: str = "pawnshop", master: str | None = None,
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # window groups here are one game's tokens or one board: keep up to 64k rows in memory
+        # before falling back to the spillable buffer (rows are a few dozen bytes)
+        "spark.sql.windowExec.buffer.in.memory.threshold": "65536",
     }
     for key, value in {**defaults, **(extra or {})}.items():
         builder = builder.config(key, value)

@@ -360,7 +360,9 @@ def piece_reach(pieces: DataFrame, keys: list[str]) -> DataFrame:
     pat = F.broadcast(spark.createDataFrame(move_patterns(), PATTERN_SCHEMA))  # fixed ~300 rows
     board = Window.partitionBy(*keys)
     bit = _shl(F.lit(1).cast("long"), F.col("rank") * 8 + F.col("file"))
-    p = pieces.where(F.col("piece").isNotNull()).select(
+    # rows without a piece drop out at the equi-join with the pattern table (no
+    # filter here, so this branch can share the board shuffle of position_features)
+    p = pieces.select(
         *keys, "file", "rank",
         F.when(F.col("piece") == F.upper(F.col("piece")), "w").otherwise("b").alias("_color"),
         F.upper(F.col("piece")).alias("_kind"),
@@ -399,6 +401,9 @@ def position_features(pieces: DataFrame, keys: list[str], with_reach: bool = Tru
     The reach side and the feature side are both grouped on the board keys, so
     the join between them needs no further shuffle of either side.
     """
+    # one shuffle by board: the grouped features, the reach window and the join
+    # between them all reuse this partitioning
+    pieces = pieces.repartition(*keys)
     base = board_aggregate(pieces, keys)
     feats = _select_features(base, keys, ("material", "structure", "passed", "king", "dispersion"),
                              FEATURE_KEYS)

@@ -49,7 +49,7 @@ MT = ad.with_ctes(ad.MOVETEXT_SQL, _TOKENS_SQL)
 
 
 @register("movetext_tokens", MT + """
-SELECT game_id, row_number() OVER (PARTITION BY game_id ORDER BY pos) AS ply, san FROM main""")
+SELECT game_id, CAST(row_number() OVER (PARTITION BY game_id ORDER BY pos) AS INTEGER) AS ply, san FROM main""")
 def q_movetext_tokens(spark, d):
     return M.movetext_tokens(_mt(spark, d), "game_id", "movetext")
 
@@ -147,7 +147,7 @@ _PHASES_SQL = [("open", "ply <= 20"), ("mid", "ply <= 40"), ("final", "true")]
 
 
 @register("material_timeline", CHESS + ",\n" + _DELTAS_SQL + """
-SELECT game_id, ply,
+SELECT game_id, CAST(ply AS INTEGER) AS ply,
   CAST(39 + sum(dw) OVER (PARTITION BY game_id ORDER BY ply ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
     AS material_white,
   CAST(39 + sum(db) OVER (PARTITION BY game_id ORDER BY ply ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)

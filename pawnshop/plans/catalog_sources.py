@@ -100,7 +100,7 @@ def q_align_by_ordinal(spark, d):
 
 
 @register("align_by_key", ad.with_ctes(ad.GAMES_SQL, ad.MOVETEXT_SQL) + """
-SELECT g.game_id, g.Winner, length(m.movetext) AS n_chars FROM games g JOIN movetext m ON g.game_id = m.game_id""")
+SELECT g.game_id, g.Winner, CAST(length(m.movetext) AS INTEGER) AS n_chars FROM games g JOIN movetext m ON g.game_id = m.game_id""")
 def q_align_by_key(spark, d):
     g = ad.games(spark, d).select("game_id", "Winner")
     m = ad.movetext(spark, d)

@@ -128,10 +128,6 @@ def _feature_sql(names: list[str], with_reach: bool = False) -> str:
     return f"SELECT w.board_id, {cols} FROM {src}"
 
 
-def _names(groups) -> list[str]:
-    return list(B.board_features.__globals__["side_feature_columns"](groups).keys())
-
-
 def _group_names(groups) -> list[str]:
     side = B.side_feature_columns(groups)
     out = [n for n in FEATURE_KEYS if n in side]

@@ -1,0 +1,8 @@
+"""Streaming operators.
+
+The analysis this engine re-expresses is batch only (no streams, watermarks or
+state), so nothing is registered here.  Every operator is a plain
+``DataFrame -> DataFrame`` function, so the stateless ones (labels, flags,
+position features of a FEN column) can be applied unchanged to a
+``readStream`` DataFrame or inside ``foreachBatch``.
+"""

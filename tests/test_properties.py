@@ -122,3 +122,19 @@ def test_balance_keeps_minority(games):
     minority = min(counts, key=counts.get)
     bal = {r.label: r["count"] for r in sa.balance_classes(lab, "label", "game_id").groupBy("label").count().collect()}
     assert bal[minority] == counts[minority] and bal[1 - minority] <= counts[1 - minority]
+
+
+def test_profile_ignores_partitioning(games):
+    base = sorted(pr.entity_profile(games, "WhiteName", "WhiteElo", "Opening", "Winner").collect())
+    for n in (1, 7, 32):
+        again = pr.entity_profile(games.repartition(n), "WhiteName", "WhiteElo", "Opening", "Winner").collect()
+        assert [(r.Player, r.GamesAsWhite, r.WinsAsWhite, round(r.ShannonEntropy, 9)) for r in sorted(again)] == \
+               [(r.Player, r.GamesAsWhite, r.WinsAsWhite, round(r.ShannonEntropy, 9)) for r in base]
+
+
+def test_board_features_ignore_partitioning(spark):
+    from pawnshop.operators import board as B
+    pieces = ad.boards(spark, SF001).cache()
+    base = sorted(B.position_features(pieces, ["board_id"]).collect())
+    for n in (1, 7):
+        assert sorted(B.position_features(pieces.repartition(n), ["board_id"]).collect()) == base

@@ -243,3 +243,24 @@ def q_standardize(spark, d):
     from pawnshop.operators.learn import standardize
     g = ad.games(spark, d).where(F.col("WhiteElo").isNotNull() & F.col("BlackElo").isNotNull())
     return rounded(standardize(g, ["WhiteElo", "BlackElo"], keep=["game_id"], prefix="z_"))
+
+
+# ----------------------------------------------------------------- A13 / V8 on the game features
+
+PAWN_EFFECTS = ["material_diff", "pawns_diff", "passed_pawns_diff", "advanced_pawns_diff", "isolated_pawns_diff",
+                "pawn_islands_diff", "king_pawn_shield_diff", "king_pawns_near_diff", "pawn_file_std_diff",
+                "pawn_rank_std_diff"]
+_LABEL_SQL = ("CASE lang WHEN 'en' THEN 1 WHEN 'de' THEN 0 WHEN 'fr' THEN 0 END")
+
+
+@register("pawn_effects_by_result", GAME_FEATURES_SQL + ",\nlab AS (SELECT doc_id AS game_id, " + _LABEL_SQL
+          + " AS label_white_win FROM documents)\nSELECT lab.label_white_win, "
+          + ", ".join(f"{R(f'avg(l.{c})')} AS avg_{c}" for c in PAWN_EFFECTS)
+          + " FROM long l JOIN lab USING (game_id) WHERE l.phase = 'final' GROUP BY lab.label_white_win")
+def q_pawn_effects_by_result(spark, d):
+    from pawnshop.functions.scalar import binary_label
+    from pawnshop.operators.profile import conditional_means
+    games = ad.chess_games(spark, d)
+    feats = M.game_position_features(games, "game_id", "movetext", {"final": None})
+    lab = games.select("game_id", binary_label("Winner").alias("label_white_win"))
+    return rounded(conditional_means(feats.join(lab, "game_id"), "label_white_win", PAWN_EFFECTS))

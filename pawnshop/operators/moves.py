@@ -41,8 +41,15 @@ def _clean_text(col):
     return F.regexp_replace(s, r"([()])", " $1 ")        # variations as own tokens
 
 
-def token_rows(df: DataFrame, key: str, text: str) -> DataFrame:
-    """All tokens with flags: (key, pos, tok, san, mainline, blank)."""
+def token_rows(df: DataFrame, key: str, text: str, context: bool = False) -> DataFrame:
+    """All tokens with flags: (key, blank, pos, tok, san, mainline, ply).
+
+    Two window passes per game: the parenthesis depth, then - in one pass -
+    the stop count, the ply number and (``context=True``) the kind, capture
+    and destination of the previous main-line move.  Candidate moves before
+    the first stop are exactly the main line, so all of these are running
+    aggregates over the same ordering.
+    """
     blank = F.col(text).isNull() | F.col(text).rlike(r"^\s*$")
     toks = F.split(F.trim(_clean_text(F.col(text))), r"\s+")
     # per-text values first: columns next to a generator are evaluated per output row
@@ -52,23 +59,34 @@ def token_rows(df: DataFrame, key: str, text: str) -> DataFrame:
     delta = F.when(F.col("tok") == "(", 1).when(F.col("tok") == ")", -1).otherwise(0)
     x = x.select(key, "blank", "pos", "tok", san.alias("san"), delta.alias("_d"))
     ordered = Window.partitionBy(key).orderBy("pos")
-    depth = F.coalesce(F.sum("_d").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prior = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    depth = F.coalesce(F.sum("_d").over(prior), F.lit(0))
     x = x.withColumn("_depth", depth)
     top = (F.col("_depth") == 0) & ~F.col("tok").isin("(", ")") & (F.col("san") != "")
     is_move = F.col("san").rlike(SAN_PATTERN)
-    stop = top & (F.col("tok").isin(*RESULTS) | ~is_move)
-    # the game ends at its first result or unreadable token: count stops seen so far
-    seen = F.sum(F.when(stop, 1).otherwise(0)).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-    x = x.withColumn("_stops", seen)
-    main = top & is_move & (F.col("_stops") == 0)
-    return x.withColumn("mainline", F.coalesce(main, F.lit(False))).drop("_d", "_depth", "_stops")
+    x = x.withColumn("_cand", F.coalesce(top & is_move, F.lit(False))).withColumn(
+        "_stop", F.coalesce(top & (F.col("tok").isin(*RESULTS) | ~is_move), F.lit(False)))
+    cand = F.col("_cand")
+    extra = []
+    if context:
+        parsed = _parsed(F.col("san"), F.lit(1))
+        for n in ("kind", "capture", "df", "dr"):
+            x = x.withColumn(f"_c_{n}", F.when(cand, parsed[n]))
+            extra.append(F.last(f"_c_{n}", ignorenulls=True).over(prior).alias(f"prev_{n}"))
+    # the game ends at its first result or unreadable token
+    x = x.select("*", F.sum(F.col("_stop").cast("int")).over(upto).alias("_stops"),
+                 F.sum(cand.cast("int")).over(upto).alias("_n"), *extra)
+    main = cand & (F.col("_stops") == 0)
+    x = x.withColumn("mainline", main).withColumn("ply", F.when(main, F.col("_n").cast("int")))
+    return x.drop("_d", "_depth", "_cand", "_stop", "_stops", "_n", *[f"_c_{n}" for n in
+                                                                      ("kind", "capture", "df", "dr")])
 
 
 def movetext_tokens(df: DataFrame, key: str, text: str) -> DataFrame:
     """M1: main-line half-moves (key, ply, san); comments, variations,
     annotations, move numbers and the result are not moves."""
-    t = token_rows(df, key, text).where("mainline")
-    return t.select(key, F.row_number().over(Window.partitionBy(key).orderBy("pos")).alias("ply"), "san")
+    return token_rows(df, key, text).where("mainline").select(key, "ply", "san")
 
 
 def total_moves(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -207,16 +225,11 @@ def resolved_events(games: DataFrame, key: str, text: str) -> DataFrame:
     token) and each half-move's events, so every later window and aggregate
     keeps the single partitioning by game.
     """
-    rows = token_rows(games, key, text)
-    w = Window.partitionBy(key).orderBy("pos")
-    prior = w.rowsBetween(Window.unboundedPreceding, -1)
+    rows = token_rows(games, key, text, context=True)
     main = F.col("mainline")
-    rows = rows.withColumn("ply", F.when(main, F.sum(F.when(main, 1).otherwise(0)).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
     parsed = _parsed(F.col("san"), F.col("ply"))
     rows = rows.select("*", *[F.when(main, c).alias(n) for n, c in parsed.items()])
-    last = lambda c: F.last(F.col(c), ignorenulls=True).over(prior)  # noqa: E731  previous half-move
-    items, ep = _move_items(last("kind"), last("capture"), last("df"), last("dr"))
+    items, ep = _move_items(F.col("prev_kind"), F.col("prev_capture"), F.col("prev_df"), F.col("prev_dr"))
     rows = rows.withColumn("_ep", F.when(main, ep).otherwise(F.lit(False)))
     empty = F.array().cast(EVENT_TYPE)
     setup = F.when(~F.col("blank") & (F.col("pos") == 0), F.array(*_setup_items())).otherwise(empty)

@@ -53,7 +53,9 @@ def token_rows(df: DataFrame, key: str, text: str, context: bool = False) -> Dat
     blank = F.col(text).isNull() | F.col(text).rlike(r"^\s*$")
     toks = F.split(F.trim(_clean_text(F.col(text))), r"\s+")
     # per-text values first: columns next to a generator are evaluated per output row
-    pre = df.select(F.col(key), blank.alias("blank"), toks.alias("_toks"))
+    # shuffle whole texts by game (few wide rows) rather than their tokens (many
+    # narrow rows); explode keeps the partitioning, so the windows need no exchange
+    pre = df.select(F.col(key), blank.alias("blank"), toks.alias("_toks")).repartition(key)
     x = pre.select(key, "blank", F.posexplode_outer("_toks").alias("pos", "tok"))
     san = F.regexp_replace(F.regexp_replace(F.col("tok"), r"^[0-9]+\.+", ""), r"[+#!?]+$", "")
     delta = F.when(F.col("tok") == "(", 1).when(F.col("tok") == ")", -1).otherwise(0)

@@ -66,11 +66,9 @@ def q_drop_header(spark, d):
 
 @register("read_games", G + "\n" + _GAMES_OUT)
 def q_read_games(spark, d):
-    path = _games_csv(spark, d, header=True, extra_col=False)
     from pyspark.sql import types as T
-    from pawnshop.schema import GAME_SCHEMA_RAW
-    schema = T.StructType(GAME_SCHEMA_RAW.fields + [T.StructField("game_id", T.LongType())])
-    df = spark.read.options(**S.files.CSV_OPTS).schema(schema).option("header", True).csv(path)
+    path = _games_csv(spark, d, header=True, extra_col=False)
+    df = S.read_games(spark, path, header=True, raw=True, extra_fields=[T.StructField("game_id", T.LongType())])
     return _games_back(df)
 
 

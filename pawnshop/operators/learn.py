@@ -210,6 +210,21 @@ def permutation_importance(df: DataFrame, label: str, features: list[str], key:
     return allr.groupBy("feature").agg(F.avg(F.lit(base_f1) - F.col("f1")).alias("importance"))
 
 
+def fit_all_phases(long: DataFrame, label: str, features: list[str], key: str, phase_col: str = "phase",
+                   phases=("open", "mid", "final"), models=("linear",)) -> DataFrame:
+    """The same fits for every phase of a long (key, phase, features, label)
+    table; one result row per phase x model.  Checkpoint ``long`` first when it
+    is expensive: each fit reads it once per phase."""
+    fits = {"linear": linear_phase, "logistic": logistic_phase, "forest": forest_phase,
+            "boosting": boosting_phase}
+    results = []
+    for ph in phases:
+        part = long.where(F.col(phase_col) == ph).drop(phase_col)
+        for m in models:
+            results.append(fits[m](part, label, features, key, ph))
+    return metrics_table(results)
+
+
 def metrics_table(results: list[DataFrame]) -> DataFrame:
     """All fit results as one table (one row per phase x model)."""
     out = results[0]

@@ -10,8 +10,9 @@ def _c(col) -> Column:
 
 
 def binary_label(winner) -> Column:
-    """P5: trimmed, case-insensitive outcome -> 1 (white), 0 (black/draw), else null."""
-    w = F.lower(F.trim(_c(winner)))
+    """P5: outcome with surrounding whitespace (any kind) removed, compared
+    case-insensitively -> 1 (white), 0 (black/draw), else null."""
+    w = F.lower(F.regexp_replace(_c(winner), r"^\s+|\s+$", ""))
     return (F.when(w == "white", F.lit(1))
             .when(w.isin("black", "draw"), F.lit(0))
             .otherwise(F.lit(None).cast("int")))

@@ -120,8 +120,8 @@ def q_entity_profile(spark, d):
 # ----------------------------------------------------------------- group 3
 
 @register("binary_label", G + """
-SELECT game_id, Winner, CASE WHEN lower(trim(Winner)) = 'white' THEN 1
-  WHEN lower(trim(Winner)) IN ('black', 'draw') THEN 0 END AS label_white_win FROM games""")
+SELECT game_id, Winner, CASE WHEN lower(regexp_replace(Winner, '^\\s+|\\s+$', '', 'g')) = 'white' THEN 1
+  WHEN lower(regexp_replace(Winner, '^\\s+|\\s+$', '', 'g')) IN ('black', 'draw') THEN 0 END AS label_white_win FROM games""")
 def q_binary_label(spark, d):
     g = _games(spark, d)
     return g.select("game_id", "Winner", binary_label("Winner").alias("label_white_win"))
@@ -155,8 +155,8 @@ def q_safe_cast(spark, d):
 
 
 _LABELLED = """labelled AS (
-  SELECT game_id, CASE WHEN lower(trim(Winner)) = 'white' THEN 1
-    WHEN lower(trim(Winner)) IN ('black', 'draw') THEN 0 END AS label_white_win,
+  SELECT game_id, CASE WHEN lower(regexp_replace(Winner, '^\\s+|\\s+$', '', 'g')) = 'white' THEN 1
+    WHEN lower(regexp_replace(Winner, '^\\s+|\\s+$', '', 'g')) IN ('black', 'draw') THEN 0 END AS label_white_win,
     WhiteElo, BlackElo, TRY_CAST(Number_of_Moves AS INTEGER) AS moves FROM games)"""
 G3 = ad.with_ctes(ad.GAMES_SQL, _LABELLED)
 
@@ -281,8 +281,8 @@ def q_head_by_key(spark, d):
     return sa.head_by_key(_games(spark, d).select("game_id", "Winner"), "game_id", 100)
 
 
-_LAB = """lab AS (SELECT game_id, CASE WHEN lower(trim(Winner)) = 'white' THEN 1
-  WHEN lower(trim(Winner)) IN ('black', 'draw') THEN 0 END AS label FROM games)"""
+_LAB = """lab AS (SELECT game_id, CASE WHEN lower(regexp_replace(Winner, '^\\s+|\\s+$', '', 'g')) = 'white' THEN 1
+  WHEN lower(regexp_replace(Winner, '^\\s+|\\s+$', '', 'g')) IN ('black', 'draw') THEN 0 END AS label FROM games)"""
 G6 = ad.with_ctes(ad.GAMES_SQL, _LAB)
 
 

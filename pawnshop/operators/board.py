@@ -111,6 +111,11 @@ def _board_aggs() -> list:
     return aggs
 
 
+def _reach_aggs() -> list:
+    return [F.sum(F.when(F.col("_side") == c, F.col("_reach")).otherwise(0)).alias(f"_reach_{c}")
+            for c in ("w", "b")]
+
+
 def board_aggregate(pieces: DataFrame, keys: list[str]) -> DataFrame:
     """One row per board with per-file pawn masks, king squares, material and
     pawn moments; then a projection of per-file intermediates that the
@@ -130,8 +135,10 @@ def board_aggregate(pieces: DataFrame, keys: list[str]) -> DataFrame:
          .when(F.col("piece") == F.lower(F.col("piece")), "b").alias("_side"),
         F.upper(F.col("piece")).alias("_kind"), value.alias("_val"),
         (F.col("rank") * 8 + F.col("file")).alias("_sq"),
-        _shl(F.lit(1), F.col("rank")).alias("_rbit"))
-    agg = pre.groupBy(*keys).agg(*_board_aggs())
+        _shl(F.lit(1), F.col("rank")).alias("_rbit"),
+        *([F.col("_reach")] if "_reach" in pieces.columns else []))
+    aggs = _board_aggs() + (_reach_aggs() if "_reach" in pieces.columns else [])
+    agg = pre.groupBy(*keys).agg(*aggs)
     mid = [F.col("*")]
     for c in ("w", "b"):
         for f in range(8):
@@ -254,6 +261,9 @@ def side_feature_columns(groups=("material", "structure", "passed", "king", "dis
     if "material" in groups:
         out["material_white"] = F.col("_mat_w")
         out["material_black"] = F.col("_mat_b")
+    if "reach" in groups:
+        out["white_piece_reach"] = F.col("_reach_w")
+        out["black_piece_reach"] = F.col("_reach_b")
     for side, c in SIDES.items():
         d = {}
         if "structure" in groups:
@@ -278,6 +288,8 @@ def _select_features(agg: DataFrame, keys: list[str], groups, order: list[str] |
     for name, base in _DIFFS.items():
         if f"white_{base}" in side:
             exprs[name] = F.col(f"white_{base}") - F.col(f"black_{base}")
+    if "white_piece_reach" in side:
+        exprs["piece_reach_diff"] = F.col("white_piece_reach") - F.col("black_piece_reach")
     order = order or FEATURE_KEYS
     names = [n for n in order if n in exprs] + [n for n in exprs if n not in order]
     return step1.select(*keys, *[F.when(F.col("_valid"), exprs[n]).alias(n) for n in names])
@@ -346,51 +358,67 @@ PATTERN_SCHEMA = ("_color string, _kind string, _dir int, _step int, _df int, _d
                   "_mode string, _start int")
 
 
-def piece_reach(pieces: DataFrame, keys: list[str]) -> DataFrame:
-    """B12 (re-aimed): pseudo-legal destination count per side.
+def reach_per_piece(pieces: DataFrame, keys: list[str]) -> DataFrame:
+    """Every input row plus ``_reach``: its piece's pseudo-legal destination
+    count (0 for rows without a piece).
 
     Sliders move along a ray up to the first occupied square (included when it
     holds an enemy piece); knights and kings to any square not held by their
     own side; pawns push one square (two from the start rank) onto empty
     squares and capture diagonally onto enemy pieces.  No check, pin,
     castling or en passant rules: this is piece activity, not the legal move
-    count.
+    count.  Occupancy comes from a window over the board (at most 64 rows);
+    the pattern table is fixed (~300 rows) and joined by broadcast, and the
+    two aggregates group on the board keys plus the square, so all of it runs
+    on the input's partitioning by board.
     """
     spark = pieces.sparkSession
+    if "valid" not in pieces.columns:
+        pieces = pieces.withColumn("valid", F.lit(True))
     pat = F.broadcast(spark.createDataFrame(move_patterns(), PATTERN_SCHEMA))  # fixed ~300 rows
     board = Window.partitionBy(*keys)
     bit = _shl(F.lit(1).cast("long"), F.col("rank") * 8 + F.col("file"))
-    # rows without a piece drop out at the equi-join with the pattern table (no
-    # filter here, so this branch can share the board shuffle of position_features)
     p = pieces.select(
-        *keys, "file", "rank",
-        F.when(F.col("piece") == F.upper(F.col("piece")), "w").otherwise("b").alias("_color"),
+        *keys, "file", "rank", "piece", "valid",
+        F.when(F.col("piece") == F.upper(F.col("piece")), "w")
+         .when(F.col("piece") == F.lower(F.col("piece")), "b").alias("_color"),
         F.upper(F.col("piece")).alias("_kind"),
         F.bit_or(F.when(_is("w"), bit)).over(board).alias("_occ_w"),
         F.bit_or(F.when(_is("b"), bit)).over(board).alias("_occ_b"))
-    c = p.join(pat, ["_color", "_kind"])
+    c = p.join(pat, ["_color", "_kind"], "left")   # rows without moves are kept
     df_, dr_ = F.col("file") + F.col("_df"), F.col("rank") + F.col("_dr")
-    c = c.where((df_ >= 0) & (df_ <= 7) & (dr_ >= 0) & (dr_ <= 7)
-                & ((F.col("_start") < 0) | (F.col("_start") == F.col("rank"))))
+    cand = F.coalesce((df_ >= 0) & (df_ <= 7) & (dr_ >= 0) & (dr_ <= 7)
+                      & ((F.col("_start") < 0) | (F.col("_start") == F.col("rank"))), F.lit(False))
     dbit = _shl(F.lit(1).cast("long"), dr_ * 8 + df_)
     own = F.when(F.col("_color") == "w", F.col("_occ_w")).otherwise(F.col("_occ_b"))
     occ = F.coalesce(F.col("_occ_w"), F.lit(0)).bitwiseOR(F.coalesce(F.col("_occ_b"), F.lit(0)))
     is_occ = occ.bitwiseAND(dbit) != 0
     is_own = F.coalesce(own, F.lit(0)).bitwiseAND(dbit) != 0
     # first occupied step on each ray; the low bit says whether it is our own piece
-    key = F.when(is_occ, F.col("_step") * 2 + F.when(is_own, 1).otherwise(0))
-    per_dir = c.groupBy(*keys, "file", "rank", "_color", "_kind", "_dir", "_mode").agg(
-        F.min(key).alias("_k"), F.count(F.lit(1)).alias("_n"))
+    key = F.when(cand & is_occ, F.col("_step") * 2 + F.when(is_own, 1).otherwise(0))
+    square = [*keys, "file", "rank", "piece", "valid"]
+    per_dir = c.groupBy(*square, "_dir", "_mode").agg(F.min(key).alias("_k"), F.count_if(cand).alias("_n"))
     k = F.col("_k")
     block, enemy = F.floor(k / 2), (k % 2 == 0)
     reach = (F.when(F.col("_mode") == "hit", F.when(k.isNotNull() & enemy, 1).otherwise(0))
               .when(k.isNull(), F.col("_n"))
               .when(F.col("_mode") == "push", block - 1)
               .otherwise(block - 1 + F.when(enemy, 1).otherwise(0)))
-    per = per_dir.groupBy(*keys).agg(
-        F.sum(F.when(F.col("_color") == "w", reach).otherwise(0)).cast("double").alias("white_piece_reach"),
-        F.sum(F.when(F.col("_color") == "b", reach).otherwise(0)).cast("double").alias("black_piece_reach"))
-    return per.withColumn("piece_reach_diff", F.col("white_piece_reach") - F.col("black_piece_reach"))
+    return per_dir.groupBy(*square).agg(F.sum(reach).cast("long").alias("_reach"))
+
+
+def piece_reach(pieces: DataFrame, keys: list[str]) -> DataFrame:
+    """B12 (re-aimed): pseudo-legal destination count per side (see
+    ``reach_per_piece``); null for boards whose text did not parse."""
+    per = reach_per_piece(pieces, keys)
+    side = F.when(F.col("piece") == F.upper(F.col("piece")), "w").when(F.col("piece") == F.lower(F.col("piece")), "b")
+    a = per.groupBy(*keys).agg(
+        F.min(F.coalesce(F.col("valid"), F.lit(True))).alias("_valid"),
+        F.sum(F.when(side == "w", F.col("_reach")).otherwise(0)).cast("double").alias("_w"),
+        F.sum(F.when(side == "b", F.col("_reach")).otherwise(0)).cast("double").alias("_b"))
+    return a.select(*keys, F.when(F.col("_valid"), F.col("_w")).alias("white_piece_reach"),
+                    F.when(F.col("_valid"), F.col("_b")).alias("black_piece_reach"),
+                    F.when(F.col("_valid"), F.col("_w") - F.col("_b")).alias("piece_reach_diff"))
 
 
 # --------------------------------------------------------------------------- all 43
@@ -398,24 +426,13 @@ def piece_reach(pieces: DataFrame, keys: list[str]) -> DataFrame:
 def position_features(pieces: DataFrame, keys: list[str], with_reach: bool = True) -> DataFrame:
     """All features in FEATURE_KEYS order; null for invalid boards.
 
-    The reach side and the feature side are both grouped on the board keys, so
-    the join between them needs no further shuffle of either side.
+    One chain on one shuffle by board: piece reach per piece, then the single
+    grouped pass that also sums reach per side.  No join between branches.
     """
-    # one shuffle by board: the grouped features, the reach window and the join
-    # between them all reuse this partitioning
-    pieces = pieces.repartition(*keys)
-    base = board_aggregate(pieces, keys)
-    feats = _select_features(base, keys, ("material", "structure", "passed", "king", "dispersion"),
-                             FEATURE_KEYS)
+    groups = ("material", "structure", "passed", "king", "dispersion")
     if not with_reach:
-        return feats.select(*keys, *[F.lit(None).cast("double").alias(n) if n.endswith("reach") or
-                                     n == "piece_reach_diff" else F.col(n) for n in FEATURE_KEYS])
-    reach = piece_reach(pieces, keys)
-    j = feats.join(reach.withColumnRenamed("white_piece_reach", "_wr")
-                        .withColumnRenamed("black_piece_reach", "_br")
-                        .withColumnRenamed("piece_reach_diff", "_rd"), keys, "left")
-    ok = F.col("material_white").isNotNull()
-    fill = {"white_piece_reach": "_wr", "black_piece_reach": "_br", "piece_reach_diff": "_rd"}
-    return j.select(*keys, *[
-        F.when(ok, F.coalesce(F.col(fill[n]), F.lit(0.0))).alias(n) if n in fill else F.col(n)
-        for n in FEATURE_KEYS])
+        feats = _select_features(board_aggregate(pieces, keys), keys, groups, FEATURE_KEYS)
+        return feats.select(*keys, *[F.col(n) if n in feats.columns else F.lit(None).cast("double").alias(n)
+                                     for n in FEATURE_KEYS])
+    per_piece = reach_per_piece(pieces.repartition(*keys), keys)
+    return _select_features(board_aggregate(per_piece, keys), keys, groups + ("reach",), FEATURE_KEYS)

@@ -235,10 +235,12 @@ def resolved_events(games: DataFrame, key: str, text: str) -> DataFrame:
     rows = rows.withColumn("_ep", F.when(main, ep).otherwise(F.lit(False)))
     empty = F.array().cast(EVENT_TYPE)
     setup = F.when(~F.col("blank") & (F.col("pos") == 0), F.array(*_setup_items())).otherwise(empty)
-    moves_arr = F.when(main, F.filter(F.array(*items), lambda e: e.isNotNull())).otherwise(empty)
+    # entries of events that do not apply are null; they are dropped after the explode
+    # by a plain filter (no higher-order function on this hot path)
+    moves_arr = F.when(main, F.array(*items)).otherwise(empty)
     ev = rows.select(key, "side", "capture", "promo", "_ep", F.explode(F.concat(setup, moves_arr)).alias("e"))
-    ev = ev.select(key, "e.ply", "side", "capture", "promo", "_ep", "e.seq", "e.file", "e.rank", "e.etype",
-                   "e.piece", "e.color")
+    ev = ev.where(F.col("e").isNotNull()).select(
+        key, "e.ply", "side", "capture", "promo", "_ep", "e.seq", "e.file", "e.rank", "e.etype", "e.piece", "e.color")
     ev = ev.where((F.col("file").between(0, 7)) & (F.col("rank").between(0, 7)))
     sq = Window.partitionBy(key, "file", "rank").orderBy("ply", "seq")
     before = sq.rowsBetween(Window.unboundedPreceding, -1)

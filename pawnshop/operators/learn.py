@@ -201,7 +201,7 @@ def permutation_importance(df: DataFrame, label: str, features: list[str], key:
     for col in columns:
         for r in range(repeats):
             h = val.select(key, col).withColumn("_h", hash_unit(key, seed + r))
-            donor = row_position(h, ["_h", key], name="_p").select("_p", F.col(col).alias("_v"))
+            donor = row_position(h, ["_h", key], name="_p", uniform=True).select("_p", F.col(col).alias("_v"))
             shuffled = (by_key.join(donor, "_p").drop(col, "_p", "_p_n").withColumnRenamed("_v", col))
             rows.append(f1_of(shuffled).select(F.lit(col).alias("feature"), F.lit(r).alias("repeat"), "f1"))
     allr = rows[0]

@@ -33,7 +33,7 @@ def hash_split(df: DataFrame, key: str, weights=(0.8, 0.2), names=("train", "tes
 def hash_shuffle(df: DataFrame, key: str, seed: int = 42, name: str = "position") -> DataFrame:
     """O3: a seeded permutation - each row's exact 0-based position in hash order."""
     h = df.withColumn("_h", hash_unit(key, seed))
-    return row_position(h, ["_h", key], name=name).drop("_h", f"{name}_n")
+    return row_position(h, ["_h", key], name=name, uniform=True).drop("_h", f"{name}_n")
 
 
 def head_by_key(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -89,7 +89,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.2,
     train.  Ranks come from ``row_position`` (bucketed, no global window).
     """
     h = df.where(F.col(label).isNotNull()).withColumn("_h", hash_unit(key, seed))
-    r = row_position(h, ["_h", key], [label], name="_pos")
+    r = row_position(h, ["_h", key], [label], name="_pos", uniform=True)
     n = F.col("_pos_n")
     n_test = F.ceil(n * F.lit(test))
     n_val = F.ceil((n - n_test) * F.lit(validation))

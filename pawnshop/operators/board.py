@@ -255,6 +255,29 @@ _DIFFS = {"pawns_diff": "pawns", "passed_pawns_diff": "passed_pawns",
           "pawn_rank_std_diff": "pawn_rank_std"}
 
 
+_GROUP_FEATURES = {
+    "structure": ["pawns", "doubled_pawns", "isolated_pawns", "advanced_pawns", "pawn_islands"],
+    "passed": ["passed_pawns"],
+    "king": ["king_pawn_shield", "king_pawns_near"],
+    "dispersion": ["pawn_file_mean", "pawn_file_std", "pawn_file_span", "pawn_rank_mean", "pawn_rank_std",
+                   "pawn_rank_span"],
+}
+
+
+def side_feature_names(groups=("material", "structure", "passed", "king", "dispersion")) -> list[str]:
+    """Names produced by ``side_feature_columns`` (no Spark session needed)."""
+    out = []
+    if "material" in groups:
+        out += ["material_white", "material_black"]
+    if "reach" in groups:
+        out += ["white_piece_reach", "black_piece_reach"]
+    for side in SIDES:
+        for g in ("structure", "passed", "king", "dispersion"):
+            if g in groups:
+                out += [f"{side}_{n}" for n in _GROUP_FEATURES[g]]
+    return out
+
+
 def side_feature_columns(groups=("material", "structure", "passed", "king", "dispersion")) -> dict:
     """Per-side feature name -> expression over ``board_aggregate`` output."""
     out = {}

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from pawnshop.operators import board as B
 from pawnshop.operators.reshape import side_differences
 from pawnshop.plans import adapters as ad
@@ -129,7 +127,7 @@ def _feature_sql(names: list[str], with_reach: bool = False) -> str:
 
 
 def _group_names(groups) -> list[str]:
-    side = B.side_feature_columns(groups)
+    side = B.side_feature_names(groups)
     out = [n for n in FEATURE_KEYS if n in side]
     if "material_white" in side:
         out.insert(2, "material_diff")

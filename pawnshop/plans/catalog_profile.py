@@ -326,10 +326,6 @@ def _scores(spark, d):
     return ad.scores(spark, d)
 
 
-_CM = """SELECT tp, tn, fp, fn, {acc} AS accuracy, {prec} AS precision, {rec} AS recall,
-  {f1} AS f1"""
-
-
 def _metric_sql(src: str, keep: str = "") -> str:
     acc = "CASE WHEN tp + tn + fp + fn > 0 THEN (tp + tn) / (tp + tn + fp + fn) ELSE 0.0 END"
     prec = "CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END"

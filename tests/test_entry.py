@@ -33,3 +33,12 @@ def test_bench_prints_one_json_line():
     rec = json.loads(lines[-1])
     assert rec["unit"] == "sec" and set(rec["queries"]) == {"threshold_scan", "entity_profile"}
     assert rec["value"] > 0 and rec["sf"] == 0.001
+
+
+def test_catalog_imports_without_spark():
+    code = ("import sys; sys.path.insert(0, '.'); import __spark_entry__ as E; "
+            "print(len(E.oracle_sql()), len(E.queries()))")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=ROOT)
+    assert out.returncode == 0, out.stderr[-2000:]
+    n_sql, n_q = map(int, out.stdout.split())
+    assert n_sql == 65 and n_q == 72

@@ -6,6 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pawnshop.llm.frames import table
 
+#: The vocabulary's end-of-text token, which separates documents.
+END_TOKEN = 50256
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pawnshop.llm.near_dedup import near_duplicates
@@ -19,5 +28,21 @@ def op2_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-Q = {f.__name__: f for f in (op1_order_minhash, op2_spaced_seed_decontamination)}
+def op9_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pawnshop.llm.bpe import Tokenizer
+
+    docs = table(spark, sf_dir, "documents")
+    tokenizer = Tokenizer(vocabulary_path()).compile(docs)
+    return tokenizer.digests(tokenizer.encode(docs))
+
+
+def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pawnshop.llm import training_order as order
+    from pawnshop.llm.bpe import Tokenizer
+
+    packed = order.sequences(table(spark, sf_dir, "documents"), Tokenizer(vocabulary_path()), END_TOKEN)
+    return order.index(order.shards(packed, key=2024))
+
+
+Q = {f.__name__: f for f in (op1_order_minhash, op2_spaced_seed_decontamination, op9_transducer_bpe, op10_feistel_shards)}
 SQL: dict[str, str] = {}

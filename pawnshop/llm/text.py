@@ -147,3 +147,38 @@ def unsigned(x: np.ndarray) -> np.ndarray:
 
 def list_array(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+
+_SCATTER = np.uint64(0x9E3779B97F4A7C15)
+
+
+def probe_table(keys: np.ndarray) -> np.ndarray:
+    """Open-addressing table of distinct keys >= 0: rows (key, place in ``keys``), -1 where empty; at most a quarter full."""
+    bits = max(4, int(4 * max(1, len(keys)) - 1).bit_length())
+    out = np.full((1 << bits, 2), -1, np.int64)
+    left = np.arange(len(keys))
+    slot = (keys.astype(np.uint64) * _SCATTER >> np.uint64(64 - bits)).astype(np.int64)
+    while len(left):
+        free = out[slot[left], 0] < 0
+        _, one = np.unique(slot[left[free]], return_index=True)
+        put = left[free][one]
+        out[slot[put], 0], out[slot[put], 1] = keys[put], put
+        left = left[out[slot[left], 0] != keys[left]]
+        slot[left] = (slot[left] + 1) & ((1 << bits) - 1)
+    return out
+
+
+def probe(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Place of each key, or -1."""
+    bits = len(table).bit_length() - 1
+    slot = (keys.astype(np.uint64) * _SCATTER >> np.uint64(64 - bits)).astype(np.int64)
+    found = table[slot, 0]
+    out = np.where(found == keys, table[slot, 1], -1)
+    left = np.flatnonzero((found != keys) & (found >= 0))
+    while len(left):
+        slot[left] = (slot[left] + 1) & (len(table) - 1)
+        found = table[slot[left], 0]
+        hit = found == keys[left]
+        out[left[hit]] = table[slot[left[hit]], 1]
+        left = left[~hit & (found >= 0)]
+    return out

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pawnshop.llm import spans as sp
 from pawnshop.llm.frames import table
 
 #: The vocabulary's end-of-text token, which separates documents.
@@ -28,6 +29,24 @@ def op2_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _span_digests(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """Counts and digests of base spans, and all spans as text."""
+    return found.select("doc_id", *[sp.counted(F.col("base"), k).alias(f"n_{k}") for k in kinds],
+                        F.sha2(sp.joined(F.col("base")), 256).alias("base_sha256"), sp.joined(F.col("spans")).alias("spans"))
+
+
+def op3_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pawnshop.llm import pii
+
+    return _span_digests(pii.personal_data(table(spark, sf_dir, "documents")), pii.KINDS)
+
+
+def op5_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pawnshop.llm import secret_scan
+
+    return _span_digests(secret_scan.secrets(table(spark, sf_dir, "documents")), secret_scan.KINDS)
+
+
 def op9_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pawnshop.llm.bpe import Tokenizer
 
@@ -44,5 +63,6 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.index(order.shards(packed, key=2024))
 
 
-Q = {f.__name__: f for f in (op1_order_minhash, op2_spaced_seed_decontamination, op9_transducer_bpe, op10_feistel_shards)}
+Q = {f.__name__: f for f in (op1_order_minhash, op2_spaced_seed_decontamination, op3_bootstrapped_pii,
+                              op5_randomness_battery, op9_transducer_bpe, op10_feistel_shards)}
 SQL: dict[str, str] = {}

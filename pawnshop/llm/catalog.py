@@ -41,6 +41,12 @@ def op3_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digests(pii.personal_data(table(spark, sf_dir, "documents")), pii.KINDS)
 
 
+def op4_union_free_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pawnshop.llm import wrappers
+
+    return wrappers.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pawnshop.llm import secret_scan
 
@@ -64,5 +70,5 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 Q = {f.__name__: f for f in (op1_order_minhash, op2_spaced_seed_decontamination, op3_bootstrapped_pii,
-                              op5_randomness_battery, op9_transducer_bpe, op10_feistel_shards)}
+                              op4_union_free_wrappers, op5_randomness_battery, op9_transducer_bpe, op10_feistel_shards)}
 SQL: dict[str, str] = {}

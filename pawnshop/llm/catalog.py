@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pawnshop.llm import spans as sp
 from pawnshop.llm.frames import table
 
+#: A text is kept from this score on.
+QUALITY_LEAST = 0.3
 #: The vocabulary's end-of-text token, which separates documents.
 END_TOKEN = 50256
 
@@ -53,6 +55,26 @@ def op5_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digests(secret_scan.secrets(table(spark, sf_dir, "documents")), secret_scan.KINDS)
 
 
+def _fold(folds: int = 5):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
+
+
+def quality_model(docs: DataFrame, labels: DataFrame):
+    """The quality classifier, fitted on the rows of the training folds; only the labels of good texts are used."""
+    from pawnshop.llm import quality
+
+    train = docs.filter(_fold() != 0)
+    return quality.fit_on(train, labels.filter((F.col("quality") == 1) & (_fold() != 0)))
+
+
+def op7_positive_unlabelled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pawnshop.llm import quality
+
+    docs = table(spark, sf_dir, "documents")
+    found = quality.scored(docs, quality_model(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", (_fold() == 0).alias("held_out"), "score", (F.col("score") >= QUALITY_LEAST).cast("int").alias("predicted"))
+
+
 def op9_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pawnshop.llm.bpe import Tokenizer
 
@@ -70,5 +92,6 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 Q = {f.__name__: f for f in (op1_order_minhash, op2_spaced_seed_decontamination, op3_bootstrapped_pii,
-                              op4_union_free_wrappers, op5_randomness_battery, op9_transducer_bpe, op10_feistel_shards)}
+                              op4_union_free_wrappers, op5_randomness_battery,
+                              op7_positive_unlabelled_quality, op9_transducer_bpe, op10_feistel_shards)}
 SQL: dict[str, str] = {}

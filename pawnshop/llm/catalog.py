@@ -67,6 +67,16 @@ def quality_model(docs: DataFrame, labels: DataFrame):
     return quality.fit_on(train, labels.filter((F.col("quality") == 1) & (_fold() != 0)))
 
 
+def op6_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pawnshop.llm import ngram_lm
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = _fold() == 1
+    model = ngram_lm.fit(docs.filter(F.coalesce(~held_out, F.lit(True))))
+    return ngram_lm.scored(docs, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+                                               F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op7_positive_unlabelled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pawnshop.llm import quality
 
@@ -92,6 +102,6 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 Q = {f.__name__: f for f in (op1_order_minhash, op2_spaced_seed_decontamination, op3_bootstrapped_pii,
-                              op4_union_free_wrappers, op5_randomness_battery,
+                              op4_union_free_wrappers, op5_randomness_battery, op6_elias_fano_lm,
                               op7_positive_unlabelled_quality, op9_transducer_bpe, op10_feistel_shards)}
 SQL: dict[str, str] = {}

@@ -85,6 +85,13 @@ def op7_positive_unlabelled_quality(spark: SparkSession, sf_dir: str) -> DataFra
     return found.select("doc_id", (_fold() == 0).alias("held_out"), "score", (F.col("score") >= QUALITY_LEAST).cast("int").alias("predicted"))
 
 
+def op8_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pawnshop.llm import hash_forest
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return hash_forest.nearest(vectors, vectors.filter(F.pmod("vec_id", F.lit(100)) == 0))
+
+
 def op9_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pawnshop.llm.bpe import Tokenizer
 
@@ -103,5 +110,5 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 Q = {f.__name__: f for f in (op1_order_minhash, op2_spaced_seed_decontamination, op3_bootstrapped_pii,
                               op4_union_free_wrappers, op5_randomness_battery, op6_elias_fano_lm,
-                              op7_positive_unlabelled_quality, op9_transducer_bpe, op10_feistel_shards)}
+                              op7_positive_unlabelled_quality, op8_hash_prefix_forest, op9_transducer_bpe, op10_feistel_shards)}
 SQL: dict[str, str] = {}

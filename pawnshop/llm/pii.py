@@ -225,6 +225,7 @@ def masked(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col:
     names = docs.columns
     spans = (found.filter(F.size("spans") > 0).select(F.col(id_col).alias("__id"), F.col("print").alias("__print"), F.col("spans").alias("__spans"))
              .dropDuplicates(["__id", "__print"]))
+    spans = settled(spans, "masks")  # its size on disk tells Spark whether to broadcast it
     text = F.col(text_col)
     both = docs.join(spans, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__print")), "left")
 

@@ -223,3 +223,17 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     kind = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
+
+
+def with_score(docs: DataFrame, model: Model, name: str = "score", text_col: str = "text") -> DataFrame:
+    """``docs`` with a score column (see ``scored``); only the text passes through Python."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def score(text):
+        import pandas as pd
+
+        parts = [shared.value.score(features(data, off)) for _, data, off in tx.runs(pa.array(text, pa.string()))]
+        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+
+    return docs.withColumn(name, score(F.col(text_col).cast("string")))

@@ -23,8 +23,10 @@ BITS = 32
 BLOCK = 4096
 #: Queries that visit a block together.
 QUERY_BLOCK = 2048
-#: Share of a block's vectors that the prefixes must hold, counted once per tree that shows them.
-SHARE = 0.5
+#: What the prefixes of all trees must hold before the ascent ends, counting a vector once per tree that shows it:
+#: this share of the block's vectors, and at least so many.
+SHARE = 0.75
+LEAST = 3000
 SEED = 11
 
 
@@ -96,7 +98,7 @@ def _search(k: int, centre: np.ndarray, dimension: int):
         forest = Forest(vectors, centre, directions)
         points = np.array(queries["vector"].tolist(), np.float64)
         out = []
-        for q, point, found in zip(queries["id"].tolist(), points, forest.candidates(strings(points, centre, directions), SHARE * len(vectors)), strict=True):
+        for q, point, found in zip(queries["id"].tolist(), points, forest.candidates(strings(points, centre, directions), max(LEAST, SHARE * len(vectors))), strict=True):
             gap = vectors[found] - point
             score = np.sqrt((gap * gap).sum(1))
             # copies of a vector share its distance: k + 1 of their smallest ids are enough for any query

@@ -20,7 +20,6 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -53,10 +52,10 @@ def _word_counts(batches):
     for batch in batches:
         parts = []
         for _, data, off in tx.runs(batch.column("text")):
-            codes, distinct = pd.factorize(tokens(data, off)[0])
+            codes, distinct = tx.coded(tokens(data, off)[0])
             parts.append((distinct, np.bincount(codes, minlength=len(distinct))))
         word = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
-        codes, distinct = pd.factorize(word)
+        codes, distinct = tx.coded(word)
         n = np.bincount(codes, np.concatenate([p[1] for p in parts]), minlength=len(distinct)) if parts else np.zeros(0)
         yield pa.RecordBatch.from_arrays([pa.array(tx.signed(distinct), pa.int64()), pa.array(n.astype(np.int64))], ["word", "n"])
 
@@ -187,7 +186,7 @@ def _bigram_parts(manifest: tuple, bounds: np.ndarray):
             part = np.searchsorted(bounds, key, "right") - 1
             names, at = np.unique(part, return_index=True)
             rows = [(int(p), _planes(key[a:b]), n[a:b].astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes())
-                    for p, a, b in zip(names.tolist(), at.tolist(), [*at.tolist()[1:], len(key)], strict=True)]
+                    for p, a, b in zip(names.tolist(), at.tolist(), [*at.tolist(), len(key)][1:], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
                                               pa.array([r[2] for r in rows], pa.binary())], ["part", "keys", "counts"])
     return of
@@ -199,7 +198,7 @@ def _keys(vocabulary: Vocabulary, word: np.ndarray, first: np.ndarray):
     The context of a row's first token is the end token.  An unknown word has
     the id -1; keys with one are not looked up.
     """
-    codes, distinct = pd.factorize(word)
+    codes, distinct = tx.coded(word)
     order = np.argsort(distinct)
     ids, n = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64)
     ids[order] = vocabulary.ids(distinct[order])
@@ -308,7 +307,7 @@ class NgramModel:
         code = np.full(len(distinct), -1, np.int64)
         part = np.searchsorted(self.bounds, distinct, "right") - 1
         names, at = np.unique(part, return_index=True)
-        for k, a, b in zip(names.tolist(), at.tolist(), [*at.tolist()[1:], len(distinct)], strict=True):
+        for k, a, b in zip(names.tolist(), at.tolist(), [*at.tolist(), len(distinct)][1:], strict=True):
             if k in self.ranges:
                 code[a:b] = _successors(self.ranges[k]).find((distinct[a:b] >> np.uint64(32)).astype(np.int64), (distinct[a:b] & np.uint64(0xFFFFFFFF)).astype(np.int64))
         log = np.log10(p)

@@ -222,12 +222,12 @@ def masked(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col:
     Where spans overlap, the first hides its own stretch and what is left of
     the later one is hidden with it.
     """
-    names = docs.columns
-    spans = (found.filter(F.size("spans") > 0).select(F.col(id_col).alias("__id"), F.col("print").alias("__print"), F.col("spans").alias("__spans"))
-             .dropDuplicates(["__id", "__print"]))
+    spans = (found.filter(F.size("spans") > 0).select(F.col(id_col).alias("id"), "print", "spans").dropDuplicates(["id", "print"]))
     spans = settled(spans, "masks")  # its size on disk tells Spark whether to broadcast it
-    text = F.col(text_col)
-    both = docs.join(spans, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__print")), "left")
+    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].alias("text"),
+                      docs[id_col].cast("long").alias("own_id"), F.xxhash64(docs[text_col]).alias("own_print"))
+    both = row.join(spans, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_print") == F.col("print")), "left")
+    text = F.col("text")
 
     def hide(so_far, span):
         part = F.concat(so_far["out"], F.substring(text, so_far["at"] + 1, span["start"] - so_far["at"]), F.lit("<"), F.upper(span["kind"]), F.lit(">"))
@@ -235,5 +235,5 @@ def masked(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col:
                         F.greatest(so_far["at"], span["end"]).alias("at"))
 
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    changed = F.aggregate("__spans", start, hide, lambda x: F.concat(x["out"], F.substring(text, x["at"] + 1, F.length(text))))
-    return both.withColumn(text_col, F.when(F.col("__spans").isNull(), text).otherwise(changed)).select(*names)
+    changed = F.aggregate("spans", start, hide, lambda x: F.concat(x["out"], F.substring(text, x["at"] + 1, F.length(text))))
+    return both.select(F.when(F.col("spans").isNull(), F.col("row")).otherwise(F.col("row").withField(text_col, changed)).alias("row")).select("row.*")

@@ -167,10 +167,10 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 7) -> Model:
     centre, scale = unlabelled.mean(0), unlabelled.std(0) + 1e-6
     p, u = (np.clip((x - centre) / scale, -8, 8) for x in (positive, unlabelled))
     # positives against all of the unlabelled: a score that orders, from which the prior is read on positives left out
-    left = np.arange(len(p)) % 4 == 0
+    left = np.arange(len(p)) % 4 == 0 if len(p) > 8 else np.zeros(len(p), bool)
     w = _train(p[~left], u, 0.5, seed)
     order = lambda x: _sigmoid(np.tanh(x @ w[0] + w[1]) @ w[2] + w[3])
-    prior = estimated_prior(order(p[left]), order(u))
+    prior = estimated_prior(order(p[left] if left.any() else p), order(u))
     return Model(centre, scale, _train(p, u, prior, seed), prior)
 
 

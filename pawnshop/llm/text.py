@@ -137,6 +137,21 @@ def occurrence(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code of each value, distinct values in order of appearance), by hashing."""
+    if not len(values):
+        return np.zeros(0, np.int64), values
+    found = pa.array(signed(values)).dictionary_encode()
+    return found.indices.to_numpy().astype(np.int64), unsigned(found.dictionary.to_numpy())
+
+
+def firsts(codes: np.ndarray, n: int) -> np.ndarray:
+    """Place where each code appears first."""
+    out = np.zeros(n, np.int64)
+    out[codes[::-1]] = np.arange(len(codes))[::-1]
+    return out
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 

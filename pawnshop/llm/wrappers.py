@@ -26,7 +26,7 @@ from pawnshop.llm.frames import settled
 
 #: Wrappers that one task aligns one after the other; more are aligned in further rounds.
 ALIGNED_TOGETHER = 64
-#: Nodes of a wrapper that are aligned with each other; the longest repeated stretch that is folded.
+#: Blocks in the longest stretch whose repetition is folded.
 LONGEST_REPEAT = 4
 
 # Elements of HTML and how they read.
@@ -43,6 +43,8 @@ _ASIDE_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising
  popup promo promoted promotion recommended related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe
  subscription toolbar widget""".split())
 _MAIN = ("article", "main")
+# Elements that hold a piece of an article, never all of it.
+_PIECES = frozenset("p h1 h2 h3 h4 h5 h6 li pre dt dd td th tr tbody thead table ul ol dl figure figcaption blockquote address summary details caption".split())
 _CLOSES_ITSELF = {"li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"),
                   "option": ("select",)}
 
@@ -235,7 +237,8 @@ def container(wrapper: list[list]) -> str:
     """The path of the element that holds the article, by the text of all pages the wrapper was made from.
 
     An article or main element where there is one that holds text; else the
-    deepest element that still holds three fifths of the text that is not aside.
+    deepest element, paragraphs, lists and the like apart, that still holds
+    three fifths of the text that is not aside.
     """
     chars: Counter = Counter()
     total = 0
@@ -253,7 +256,7 @@ def container(wrapper: list[list]) -> str:
             return max(top, key=lambda p: (chars[p], p))
     if not total:
         return ""
-    whole = [p for p, n in chars.items() if n >= 0.6 * total]
+    whole = [p for p, n in chars.items() if n >= 0.6 * total and p.split("/")[-1].split(".")[0] not in _PIECES]
     return max(whole, key=lambda p: (p.count("/") + bool(p), -chars[p], p)) if whole else ""
 
 
@@ -263,13 +266,12 @@ def main_text(page: str, where: str) -> str:
     A page that lacks the host's container is read through a wrapper of its own.
     """
     found = list(blocks(page))
-    inside = [(p, a, t) for p, a, t in ((("/".join(path)), aside, text) for path, aside, text in found)]
+    inside = [("/".join(path), aside, text) for path, aside, text in found]
     for place in (where, None):
         if place is None:
             place = container([[p, 0, 1, 1, len(t), False, a] for p, a, t in inside])
         hit = [t for p, a, t in inside if not a and (not place or p == place or p.startswith(place + "/"))]
         if hit:
-            # a paragraph or heading can't hold the article alone: its siblings belong to it
             return "\n".join(hit)
     return ""
 

@@ -1,4 +1,4 @@
 from pawnshop.functions.scalar import (  # noqa: F401
-    binary_label, outcome_flag, safe_cast, hash_unit, text_quality, at_threshold,
+    binary_label, outcome_flag, safe_cast, hash_unit, text_quality,
     clean_round,
 )

@@ -28,13 +28,14 @@ def safe_cast(col, to: str = "int") -> Column:
     return F.expr(f"try_cast({col} as {to})") if isinstance(col, str) else _c(col).try_cast(to)
 
 
-def hash_unit(key, seed: int = 42) -> Column:
-    """Deterministic uniform [0, 1) number per key: md5("seed:key") first 32 bits / 2^32.
+def hash_unit(key, seed: int = 42, purpose: str = "sample") -> Column:
+    """Deterministic uniform [0, 1) number per key: md5("purpose:seed:key") first 32 bits / 2^32.
 
-    Unlike ``rand``/``sample`` it does not depend on partitioning, so samples and
+    ``purpose`` separates the streams: rows kept by a sample or a balance are
+    still spread evenly over a split or a shuffle with the same seed.  Unlike ``rand``/``sample`` it does not depend on partitioning, so samples and
     splits are reproducible on any cluster (and in any SQL engine with md5).
     """
-    text = F.concat(F.lit(f"{seed}:"), _c(key).cast("string"))
+    text = F.concat(F.lit(f"{purpose}:{seed}:"), _c(key).cast("string"))
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
@@ -44,11 +45,6 @@ def text_quality(col, pattern: str = r"^\s*1\.") -> Column:
     return c.isNotNull() & (F.length(c) > 0) & c.rlike(pattern)
 
 
-def at_threshold(score, threshold: float) -> Column:
-    """Score >= t -> 1.0 else 0.0."""
-    return F.when(_c(score) >= F.lit(threshold), F.lit(1.0)).otherwise(F.lit(0.0))
-
-
 def clean_round(col, digits: int = 6) -> Column:
     """Round and turn -0.0 into 0.0 (stable output for hashing and comparison)."""
     return F.round(_c(col), digits) + F.lit(0.0)

@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, functions as F
 
 def standardize(df: DataFrame, cols: list[str], keep: list[str] = (), prefix: str = "z_") -> DataFrame:
     """L2: (x - mean) / sample std per column.  The moments are one global
-    aggregate, inlined as scalar subqueries (no join, no driver round trip)."""
+    aggregate, inlined as scalar subqueries (no join, no driver round trip).  A
+    column without spread becomes 0, as centring alone would leave it."""
     stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_samp(c).alias(f"s_{c}") for c in cols])
     out = [*keep]
     for c in cols:
         m = stats.select(f"m_{c}").scalar()
         s = stats.select(f"s_{c}").scalar()
-        out.append(((F.col(c) - m) / s).alias(f"{prefix}{c}"))
+        out.append(F.when(F.col(c).isNull(), F.lit(None)).when(s > 0, (F.col(c) - m) / F.nullif(s, F.lit(0.0))).otherwise(F.lit(0.0)).alias(f"{prefix}{c}"))
     return df.select(*out)
 
 

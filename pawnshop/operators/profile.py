@@ -7,7 +7,7 @@ partial row per input partition, not a third of the data in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from pawnshop.functions.scalar import outcome_flag, safe_cast, hash_unit
 from pawnshop.operators.ranking import exact_quantiles
@@ -171,8 +171,7 @@ def bin_summary(df: DataFrame, bin_col: str, value: str) -> DataFrame:
     """
     q = exact_quantiles(df, value, [0.25, 0.5, 0.75], [bin_col]).select(
         bin_col, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
-    # one row per bin: the join side is as small as the number of bins
-    j = df.where(F.col(value).isNotNull()).join(F.broadcast(q), bin_col)
+    j = df.where(F.col(value).isNotNull()).join(q, bin_col)
     iqr = F.col("q3") - F.col("q1")
     lo_fence, hi_fence = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     inside = (F.col(value) >= lo_fence) & (F.col(value) <= hi_fence)
@@ -206,8 +205,3 @@ def scatter_sample(df: DataFrame, key: str, cols: list[str], fraction: float = 0
                    seed: int = 42) -> DataFrame:
     """V3: reproducible sample of a few columns for a scatter plot."""
     return df.where(hash_unit(key, seed) < F.lit(fraction)).select(key, *cols)
-
-
-def share_of_total(df: DataFrame, entity: str, value: str, name: str = "share") -> DataFrame:
-    """Window form of J2 for tables already grouped by entity (bounded groups)."""
-    return df.withColumn(name, F.col(value) / F.sum(value).over(Window.partitionBy(entity)))

@@ -6,7 +6,7 @@ Randomness comes from a hash of each row's key (``hash_unit``), never from
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from pawnshop.functions.scalar import hash_unit
 from pawnshop.operators.ranking import row_position
@@ -21,7 +21,7 @@ def hash_split(df: DataFrame, key: str, weights=(0.8, 0.2), names=("train", "tes
                seed: int = 42, name: str = "split") -> DataFrame:
     """Split by cumulative weights of the key hash (one pass, no shuffle)."""
     total = float(sum(weights))
-    u = hash_unit(key, seed)
+    u = hash_unit(key, seed, "split")
     expr, acc = None, 0.0
     for w, n in zip(weights[:-1], names[:-1]):
         acc += w / total
@@ -32,7 +32,7 @@ def hash_split(df: DataFrame, key: str, weights=(0.8, 0.2), names=("train", "tes
 
 def hash_shuffle(df: DataFrame, key: str, seed: int = 42, name: str = "position") -> DataFrame:
     """O3: a seeded permutation - each row's exact 0-based position in hash order."""
-    h = df.withColumn("_h", hash_unit(key, seed))
+    h = df.withColumn("_h", hash_unit(key, seed, "shuffle"))
     return row_position(h, ["_h", key], name=name, uniform=True).drop("_h", f"{name}_n")
 
 
@@ -54,29 +54,26 @@ def balance_classes(df: DataFrame, label: str, key: str, ratio: float = 1.0,
     so broadcasting it is bounded.
     """
     counts = class_counts(df, label)
-    w = Window.partitionBy(F.lit(0))  # over the <=2-row class table only
+    classes, least = counts.agg(F.count(F.lit(1))).scalar(), counts.agg(F.min("_cnt")).scalar()
     frac = counts.select(
         label,
-        F.when(F.count(F.lit(1)).over(w) < 2, F.lit(1.0))
-         .when(F.col("_cnt") == F.min("_cnt").over(w), F.lit(1.0))
-         .otherwise(F.least(F.lit(1.0), F.lit(ratio) * F.min("_cnt").over(w) / F.col("_cnt")))
-         .alias("_frac"))
-    return (df.join(F.broadcast(frac), label)
-              .where(hash_unit(key, seed) < F.col("_frac")).drop("_frac"))
+        F.when(classes < 2, F.lit(1.0)).when(F.col("_cnt") == least, F.lit(1.0))
+         .otherwise(F.least(F.lit(1.0), F.lit(ratio) * least / F.col("_cnt"))).alias("_frac"))
+    return (df.join(frac, label)
+              .where(hash_unit(key, seed, "balance") < F.col("_frac")).drop("_frac"))
 
 
 def class_weights(df: DataFrame, label: str, positive=1, name: str = "class_weight") -> DataFrame:
     """D3: positive weight = negatives / positives (1.0 without positives), others 1.0."""
     counts = class_counts(df, label)
-    w = Window.partitionBy(F.lit(0))  # over the class table: one row per label value
-    pos = F.sum(F.when(F.col(label) == positive, F.col("_cnt"))).over(w)
-    neg = F.sum(F.when(F.col(label) != positive, F.col("_cnt"))).over(w)
+    pos = counts.agg(F.sum(F.when(F.col(label) == positive, F.col("_cnt")))).scalar()
+    neg = counts.agg(F.sum(F.when(F.col(label) != positive, F.col("_cnt")))).scalar()
     weights = counts.select(
         label,
         F.when(F.col(label) == positive,
                F.when(F.coalesce(pos, F.lit(0)) > 0, F.coalesce(neg, F.lit(0)) / pos).otherwise(F.lit(1.0)))
          .otherwise(F.lit(1.0)).cast("double").alias(name))
-    return df.join(F.broadcast(weights), label, "left").withColumn(
+    return df.join(weights, label, "left").withColumn(
         name, F.coalesce(F.col(name), F.lit(1.0)))
 
 
@@ -88,7 +85,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.2,
     to test, the next ceil(validation * rest) to validation, the others to
     train.  Ranks come from ``row_position`` (bucketed, no global window).
     """
-    h = df.where(F.col(label).isNotNull()).withColumn("_h", hash_unit(key, seed))
+    h = df.where(F.col(label).isNotNull()).withColumn("_h", hash_unit(key, seed, "split"))
     r = row_position(h, ["_h", key], [label], name="_pos", uniform=True)
     n = F.col("_pos_n")
     n_test = F.ceil(n * F.lit(test))

@@ -229,11 +229,11 @@ def q_histogram(spark, d):
     return rounded(pr.histogram(_games(spark, d), "WhiteElo", 40))
 
 
-_HASH = "(('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0)"
+_HASH = "(('0x' || substr(md5('{purpose}:{seed}:' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0)"
 
 
-def hsql(key: str, seed: int = 42) -> str:
-    return _HASH.format(key=key, seed=seed)
+def hsql(key: str, purpose: str = "sample", seed: int = 42) -> str:
+    return _HASH.format(key=key, seed=seed, purpose=purpose)
 
 
 @register("sampled_category_count", G + f"""
@@ -265,13 +265,13 @@ def q_hash_sample(spark, d):
 
 
 @register("hash_split", G + f"""
-SELECT game_id, CASE WHEN {hsql('game_id')} < 0.8 THEN 'train' ELSE 'test' END AS split FROM games""")
+SELECT game_id, CASE WHEN {hsql('game_id', 'split')} < 0.8 THEN 'train' ELSE 'test' END AS split FROM games""")
 def q_hash_split(spark, d):
     return sa.hash_split(_games(spark, d), "game_id").select("game_id", "split")
 
 
 @register("hash_shuffle", G + f"""
-SELECT game_id, row_number() OVER (ORDER BY {hsql('game_id')}, game_id) - 1 AS position FROM games""")
+SELECT game_id, row_number() OVER (ORDER BY {hsql('game_id', 'shuffle')}, game_id) - 1 AS position FROM games""")
 def q_hash_shuffle(spark, d):
     return sa.hash_shuffle(_games(spark, d).select("game_id"), "game_id")
 
@@ -295,11 +295,30 @@ cnt AS (SELECT label, count(*) AS c FROM lab WHERE label IS NOT NULL GROUP BY la
 frac AS (SELECT label, CASE WHEN (SELECT count(*) FROM cnt) < 2 THEN 1.0
   WHEN c = (SELECT min(c) FROM cnt) THEN 1.0
   ELSE least(1.0, 1.0 * (SELECT min(c) FROM cnt) / c) END AS f FROM cnt)
-SELECT lab.game_id, lab.label FROM lab JOIN frac USING (label) WHERE {hsql('lab.game_id')} < f""")
+SELECT lab.game_id, lab.label FROM lab JOIN frac USING (label) WHERE {hsql('lab.game_id', 'balance')} < f""")
 def q_balance(spark, d):
     return sa.balance_classes(_lab(spark, d), "label", "game_id").select("game_id", "label")
 
 
+@register("balance_then_split", G6 + f""",
+cnt AS (SELECT label, count(*) AS c FROM lab WHERE label IS NOT NULL GROUP BY label),
+frac AS (SELECT label, CASE WHEN (SELECT count(*) FROM cnt) < 2 THEN 1.0
+  WHEN c = (SELECT min(c) FROM cnt) THEN 1.0
+  ELSE least(1.0, 1.0 * (SELECT min(c) FROM cnt) / c) END AS f FROM cnt)
+SELECT lab.game_id, lab.label, CASE WHEN {hsql('lab.game_id', 'split')} < 0.8 THEN 'train' ELSE 'test' END AS split
+FROM lab JOIN frac USING (label) WHERE {hsql('lab.game_id', 'balance')} < f""")
+def q_balance_then_split(spark, d):
+    balanced = sa.balance_classes(_lab(spark, d), "label", "game_id")
+    return sa.hash_split(balanced, "game_id").select("game_id", "label", "split")
+
+
+@register("sample_then_split", G6 + f"""
+SELECT game_id, label, CASE WHEN {hsql('game_id', 'split')} < 0.8 THEN 'train' ELSE 'test' END AS split
+FROM lab WHERE {hsql('game_id')} < 0.1""")
+def q_sample_then_split(spark, d):
+    return sa.hash_split(sa.hash_sample(_lab(spark, d), "game_id", 0.1), "game_id").select("game_id", "label", "split")
+
+
 @register("class_weights", G6 + f""",
 cnt AS (SELECT label, count(*) AS c FROM lab WHERE label IS NOT NULL GROUP BY label),
 pn AS (SELECT coalesce(sum(c) FILTER (WHERE label = 1), 0) AS pos,
@@ -311,7 +330,7 @@ def q_class_weights(spark, d):
 
 
 @register("stratified_split", G6 + f""",
-r AS (SELECT game_id, label, row_number() OVER (PARTITION BY label ORDER BY {hsql('game_id')}, game_id) - 1 AS pos,
+r AS (SELECT game_id, label, row_number() OVER (PARTITION BY label ORDER BY {hsql('game_id', 'split')}, game_id) - 1 AS pos,
       count(*) OVER (PARTITION BY label) AS n FROM lab WHERE label IS NOT NULL)
 SELECT game_id, label, CASE WHEN pos < ceil(n * 0.2) THEN 'test'
   WHEN pos < ceil(n * 0.2) + ceil((n - ceil(n * 0.2)) * 0.25) THEN 'validation' ELSE 'train' END AS split

@@ -87,7 +87,8 @@ def q_csv_multiline(spark, d):
 @register("align_by_ordinal", G + """,
 gl AS (SELECT game_id, row_number() OVER (ORDER BY game_id) - 1 AS ordinal FROM games),
 dl AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS ordinal FROM documents)
-SELECT gl.ordinal, gl.game_id, dl.text AS PGN FROM gl JOIN dl USING (ordinal)""")
+SELECT coalesce(gl.ordinal, dl.ordinal) AS ordinal, gl.game_id, dl.text AS PGN
+FROM gl FULL JOIN dl ON gl.ordinal = dl.ordinal""")
 def q_align_by_ordinal(spark, d):
     left = S.with_source(S.csv_positional_schema(spark, _games_csv(spark, d, header=False, files=3),
                                                  GAME_COLUMNS + ["game_id"]))
@@ -97,6 +98,17 @@ def q_align_by_ordinal(spark, d):
     return out.select("ordinal", "game_id", "PGN")
 
 
+@register("ordinal_report", G + """,
+n AS (SELECT (SELECT count(*) FROM games) AS g, (SELECT count(*) FROM documents) AS t)
+SELECT least(g, t) AS matched, greatest(g - t, 0) AS left_only, greatest(t - g, 0) AS right_only FROM n""")
+def q_ordinal_report(spark, d):
+    left = S.with_source(S.csv_positional_schema(spark, _games_csv(spark, d, header=True, files=3),
+                                                 GAME_COLUMNS + ["game_id"]))
+    left = S.drop_header_rows(left, "Winner").select("game_id", "_file", "_block")
+    right = S.csv_multiline(spark, _docs_csv(spark, d, files=2), keep_source=True)
+    return S.alignment_report(S.with_ordinal(left), S.with_ordinal(right), "ordinal")
+
+
 @register("align_by_key", ad.with_ctes(ad.GAMES_SQL, ad.MOVETEXT_SQL) + """
 SELECT g.game_id, g.Winner, CAST(length(m.movetext) AS INTEGER) AS n_chars FROM games g JOIN movetext m ON g.game_id = m.game_id""")
 def q_align_by_key(spark, d):

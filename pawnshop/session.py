@@ -54,8 +54,9 @@ def get_session(app_name: str = "pawnshop", master: str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir) when the
-    cluster sets one; otherwise - local runs and tests only - creates one.
+    Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Where
+    neither is set, a local master gets a temporary folder (tests); any other
+    raises, since its machines would not see each other's folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +64,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="pawnshop-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

@@ -42,8 +42,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each document."""
-    tokenizer = Tokenizer(catalog.vocabulary_path()).compile(docs)
-    return tokenizer.digests(tokenizer.encode(docs))
+    return Tokenizer(catalog.vocabulary_path()).compile(docs).digests(docs)
 
 
 STAGES = [

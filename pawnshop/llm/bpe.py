@@ -18,16 +18,16 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pawnshop.llm import text as tx
+from pawnshop.llm.frames import settled
 
 #: Words compiled into the lexicon: the most frequent of the whole corpus.
 LEXICON_WORDS = 65536
 #: Bytes of text whose distinct words are looked up together.
-RUN_BYTES = 1 << 21
+RUN_BYTES = 1 << 20
 _SHORT = 64
 _NO_MERGE = 1 << 30
 # Fixed values of the byte-level pre-tokenisation.
@@ -130,10 +130,10 @@ class Vocabulary:
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self.merge[vocab[left] * size + vocab[right]] = (rank, vocab[left + right])
         self.size = size
-        self.byte_id_array = np.array(self.byte_id, np.int64)
+        self.byte_id_array = np.array(self.byte_id, np.int32)
         pairs = np.array(sorted((k, r, i) for k, (r, i) in self.merge.items()), np.int64).reshape(-1, 3)
-        self.pair_table, self.pair_rank = tx.probe_table(pairs[:, 0]), pairs[:, 1].copy()
-        self.merged_id = pairs[np.argsort(pairs[:, 1]), 2]
+        self.pair_table, self.pair_rank = tx.probe_table(pairs[:, 0]), pairs[:, 1].astype(np.int32)
+        self.merged_id = pairs[np.argsort(pairs[:, 1]), 2].astype(np.int32)
         self.length = np.array([len(t) for t in self.token], np.int64)
         self.start = np.concatenate([[0], np.cumsum(self.length)])
         self.bytes = np.frombuffer(b"".join(self.token), np.uint8)
@@ -148,14 +148,14 @@ class Vocabulary:
         length = ends - starts
         short = np.flatnonzero((length <= _SHORT) & (length > 0))
         ids = self.byte_id_array[data[_ranges(starts[short], length[short])]]
-        word = np.repeat(short, length[short])
+        word = np.repeat(short.astype(np.int32), length[short])
         done_ids, done_words = [], []
         rank = self._pair_rank(ids[:-1], ids[1:], word[:-1] == word[1:])
-        rank = np.append(rank, _NO_MERGE)
+        rank = np.append(rank, np.int32(_NO_MERGE))
         while len(ids):
             first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-            best = np.minimum.reduceat(rank << 32 | np.arange(len(ids)), first)
-            open_ = best < _NO_MERGE << 32
+            best = np.minimum.reduceat(rank.astype(np.int64) << 32 | np.arange(len(ids)), first)
+            open_ = best >> 32 < _NO_MERGE
             if not open_.all():
                 keep = np.repeat(open_, np.diff(np.append(first, len(ids))))
                 done_ids.append(ids[~keep])
@@ -178,16 +178,16 @@ class Vocabulary:
             rank[redo] = self._pair_rank(ids[redo], ids[after], (word[redo] == word[after]) & (after > redo))
         for k in np.flatnonzero(length > _SHORT).tolist():
             own = self.encode_word(data[starts[k]:ends[k]].tobytes())
-            done_ids.append(np.array(own, np.int64))
-            done_words.append(np.full(len(own), k))
-        ids = np.concatenate([np.zeros(0, np.int64), *done_ids])
-        word = np.concatenate([np.zeros(0, np.int64), *done_words])
+            done_ids.append(np.array(own, np.int32))
+            done_words.append(np.full(len(own), k, np.int32))
+        ids = np.concatenate([np.zeros(0, np.int32), *done_ids])
+        word = np.concatenate([np.zeros(0, np.int32), *done_words])
         order = np.argsort(word, kind="stable")
-        return ids[order].astype(np.int32), np.searchsorted(word[order], np.arange(len(starts) + 1))
+        return ids[order], np.searchsorted(word[order], np.arange(len(starts) + 1))
 
     def _pair_rank(self, left: np.ndarray, right: np.ndarray, joined: np.ndarray) -> np.ndarray:
-        at = tx.probe(self.pair_table, left * self.size + right)
-        return np.where(joined & (at >= 0), self.pair_rank[at], _NO_MERGE)
+        at = tx.probe(self.pair_table, left.astype(np.int64) * self.size + right)
+        return np.where(joined & (at >= 0), self.pair_rank[at], np.int32(_NO_MERGE))
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         n = len(ids)
@@ -386,9 +386,8 @@ def encode_run(data: np.ndarray, off: np.ndarray, vocabulary: Vocabulary, lexico
         np.add.at(inside, np.array(s_end), -1)
         starts = starts[np.cumsum(inside)[starts] == 0]
     ends = np.append(starts[1:], len(data))
-    codes, distinct = pd.factorize(tx.span_hash(data, starts, ends))
-    first = np.zeros(len(distinct), np.int64)
-    first[codes[::-1]] = np.arange(len(codes))[::-1]
+    codes, distinct = tx.coded(tx.span_hash(data, starts, ends))
+    first = tx.firsts(codes, len(distinct))
     rank = lexicon.rank(data, starts[first], ends[first])
     missing = np.flatnonzero(rank < 0)
     own, own_first = vocabulary.encode_words(data, starts[first[missing]], ends[first[missing]])
@@ -415,9 +414,8 @@ def _count(batches):
         for _, data, off in tx.runs(batch.column("text"), RUN_BYTES):
             starts = split_words(data, off)
             ends = np.append(starts[1:], len(data))
-            codes, distinct = pd.factorize(tx.span_hash(data, starts, ends))
-            first = np.zeros(len(distinct), np.int64)
-            first[codes[::-1]] = np.arange(len(codes))[::-1]
+            codes, distinct = tx.coded(tx.span_hash(data, starts, ends))
+            first = tx.firsts(codes, len(distinct))
             raw = data.tobytes()
             for a, b, c in zip(starts[first].tolist(), ends[first].tolist(), np.bincount(codes, minlength=len(distinct)).tolist(), strict=True):
                 word = raw[a:b]
@@ -426,11 +424,26 @@ def _count(batches):
                                          ["word", "times"])
 
 
+#: Word counts are told apart in steps of the eighth root of two when the most frequent are chosen.
+_STEPS = 8
+
+
 def frequent_words(docs: DataFrame, text_col: str = "text", words: int = LEXICON_WORDS) -> DataFrame:
-    """(word, times): the most frequent words of all texts, ties by their bytes."""
+    """(word, times): the most frequent words of all texts, at most ``words``: all those from some count on.
+
+    The count is found from a table of words per step of the count's logarithm,
+    a few hundred rows, so no task or driver sorts words.
+    """
     src = docs.select(F.col(text_col).cast("string").alias("text"))
-    counted = src.mapInArrow(_count, "word binary, times long").groupBy("word").agg(F.sum("times").alias("times"))
-    return counted.orderBy(F.desc("times"), "word").limit(words)
+    counted = settled(src.mapInArrow(_count, "word binary, times long").groupBy("word").agg(F.sum("times").alias("times")), "words")
+    step = F.floor(F.log2("times") * _STEPS).cast("int")
+    held, least = 0, 0
+    for r in sorted(counted.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
+        held += r["count"]
+        if held > words:
+            least = r["step"] + 1
+            break
+    return counted.filter(step >= least)
 
 
 class Tokenizer:
@@ -457,7 +470,12 @@ class Tokenizer:
         are; other columns are ignored, whatever their names; an empty table
         gives an empty result.
         """
-        shared = docs.sparkSession.sparkContext.broadcast((self.vocabulary, self.lexicon))
+        kind = docs.schema[id_col].dataType.simpleString()
+        src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+        return src.mapInArrow(self._encoder(docs), f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+
+    def _encoder(self, frame: DataFrame):
+        shared = frame.sparkSession.sparkContext.broadcast((self.vocabulary, self.lexicon))
 
         def run(batches):
             vocabulary, lexicon = _vocabulary(shared.value[0]), _automaton(shared.value[1])
@@ -467,9 +485,7 @@ class Tokenizer:
                     yield pa.RecordBatch.from_arrays([batch.column("id").slice(at, len(off) - 1),
                                                       tx.list_array(ids, first, pa.int32())], ["id", "ids"])
 
-        kind = docs.schema[id_col].dataType.simpleString()
-        src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-        return src.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+        return run
 
     def decode(self, encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
         """(id, text): the text of each row's token ids; null ids count as none; bytes that are no UTF-8 become U+FFFD."""
@@ -486,14 +502,18 @@ class Tokenizer:
         src = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).cast("array<int>").alias("ids"))
         return src.mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id_col)
 
-    def digests(self, encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-        """(id, n_tokens, ids_sha256, decoded_sha256) of each row's token ids, decoded as ``decode`` does."""
-        shared = encoded.sparkSession.sparkContext.broadcast(self.vocabulary)
+    def digests(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """(id, n_tokens, ids_sha256, decoded_sha256) of what ``encode`` and then ``decode`` make of each text.
+
+        Both run in one pass, so the ids don't travel between them.
+        """
+        encode = self._encoder(docs)
+        shared = docs.sparkSession.sparkContext.broadcast(self.vocabulary)
 
         def run(batches):
             vocabulary = _vocabulary(shared.value)
             sha = lambda x: hashlib.sha256(x).hexdigest()
-            for batch in batches:
+            for batch in encode(batches):
                 ids, first = list_buffers(batch.column("ids"))
                 decimal = vocabulary.decimal
                 cut = first.tolist()
@@ -503,8 +523,8 @@ class Tokenizer:
                     pa.array([sha(t.encode()) for t in decoded(vocabulary, ids, first)], pa.string())],
                     ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-        kind = encoded.schema[id_col].dataType.simpleString()
-        src = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
+        kind = docs.schema[id_col].dataType.simpleString()
+        src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
         return src.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 

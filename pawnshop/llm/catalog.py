@@ -96,8 +96,7 @@ def op9_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pawnshop.llm.bpe import Tokenizer
 
     docs = table(spark, sf_dir, "documents")
-    tokenizer = Tokenizer(vocabulary_path()).compile(docs)
-    return tokenizer.digests(tokenizer.encode(docs))
+    return Tokenizer(vocabulary_path()).compile(docs).digests(docs)
 
 
 def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

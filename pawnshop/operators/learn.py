@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -80,10 +82,13 @@ def _metrics_row(spark, info: dict, scored, threshold: float, with_regression: b
 
 
 def _guard(spark, info, n_train):
-    """An error record instead of a failure when there is too little data."""
+    """An error record instead of a failure when there is too little data,
+    a warning when there are fewer than ``MIN_ROWS`` training rows."""
     if n_train < 2:
         return spark.createDataFrame([(*info.values(), f"only {n_train} training rows")],
                                      [*info.keys(), "error"])  # D6: typed error record
+    if n_train < MIN_ROWS:
+        warnings.warn(f"{info}: fitted on {n_train} rows, fewer than {MIN_ROWS}", stacklevel=3)
     return None
 
 
@@ -175,6 +180,12 @@ def fit_forest_with_weights(df, label, features, key, phase="mid", trees=60, dep
     return ev.top_k_abs(feature_weights(df.sparkSession, model, features), "weight", "feature", k)
 
 
+def fit_counts(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame:
+    """Rows per class in each part of the split that the tree models fit, tune and test on."""
+    split = stratified_split(df.where(F.col(label).isin(0, 1)), label, key, seed=seed)
+    return split.groupBy(label, "split").agg(F.count(F.lit(1)).alias("n"))
+
+
 def permutation_importance(df: DataFrame, label: str, features: list[str], key: str, columns: list[str],
                            repeats: int = 5, seed: int = 42, trees: int = 20, depth: int = 6) -> DataFrame:
     """Mean F1 drop on validation when one column is permuted.
@@ -197,18 +208,27 @@ def permutation_importance(df: DataFrame, label: str, features: list[str], key:
         return ev.confusion_metrics(_score(model, frame, label, "tree"), "label", score="prob1", threshold=0.5)
 
     base_f1 = f1_of(val).first()["f1"]
-    by_key = row_position(val, [key], name="_p")
-    rows = []
-    for col in columns:
-        for r in range(repeats):
-            h = val.select(key, col).withColumn("_h", hash_unit(key, seed + r))
-            donor = row_position(h, ["_h", key], name="_p", uniform=True).select("_p", F.col(col).alias("_v"))
-            shuffled = (by_key.join(donor, "_p").drop(col, "_p", "_p_n").withColumnRenamed("_v", col))
-            rows.append(f1_of(shuffled).select(F.lit(col).alias("feature"), F.lit(r).alias("repeat"), "f1"))
-    allr = rows[0]
-    for x in rows[1:]:
-        allr = allr.unionByName(x)
-    return allr.groupBy("feature").agg(F.avg(F.lit(base_f1) - F.col("f1")).alias("importance"))
+    by_key = row_position(val, [key], name="_p").checkpoint(eager=True)
+    rows = None
+    for r in range(repeats):
+        h = val.select(key, *columns).withColumn("_h", hash_unit(key, seed + r, "permute"))
+        donor = row_position(h, ["_h", key], name="_p", uniform=True).select("_p", F.struct(*columns).alias("_v"))
+        both = by_key.join(donor, "_p").drop("_p_n")
+        # one row carries every column's donor value; each column is exchanged in turn
+        swapped = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), *[
+            (F.col(f"_v.{x}") if x == c else F.col(x)).alias(x) for x in features]) for c in columns])).alias("_s")
+        wide = both.select(label, swapped).select(label, "_s.*").withColumn("repeat", F.lit(r))
+        scored = model.transform(wide).select("feature", "repeat", F.col(label).alias("label"),
+                                              (vector_to_array("probability")[1] >= 0.5).alias("_yes"))
+        rows = scored if rows is None else rows.unionByName(scored)
+    y = F.col("label")
+    counts = rows.groupBy("feature", "repeat").agg(
+        F.count_if((y == 1) & F.col("_yes")).alias("tp"), F.count_if((y == 0) & F.col("_yes")).alias("fp"),
+        F.count_if((y == 1) & ~F.col("_yes")).alias("fn"))
+    f1 = F.when(2 * F.col("tp") + F.col("fp") + F.col("fn") > 0,
+                2 * F.col("tp") / (2 * F.col("tp") + F.col("fp") + F.col("fn"))).otherwise(F.lit(0.0))
+    return (counts.select("feature", f1.alias("f1")).groupBy("feature")
+                  .agg(F.avg(F.lit(base_f1) - F.col("f1")).alias("importance")))
 
 
 def fit_all_phases(long: DataFrame, label: str, features: list[str], key: str, phase_col: str = "phase",

@@ -41,9 +41,12 @@ def _clean_text(col):
     return F.regexp_replace(s, r"([()])", " $1 ")        # variations as own tokens
 
 
-def token_rows(df: DataFrame, key: str, text: str, context: bool = False) -> DataFrame:
+def token_rows(df: DataFrame, key: str, text: str, context: bool = False, by: str | None = None) -> DataFrame:
     """All tokens with flags: (key, blank, pos, tok, san, mainline, ply).
 
+    ``by`` names a column that tells the texts apart (default: the key).
+    Tokens that are no moves are passed over; the game ends at its result.
+
     Two window passes per game: the parenthesis depth, then - in one pass -
     the stop count, the ply number and (``context=True``) the kind, capture
     and destination of the previous main-line move.  Candidate moves before
@@ -55,12 +58,14 @@ def token_rows(df: DataFrame, key: str, text: str, context: bool = False) -> Dat
     # per-text values first: columns next to a generator are evaluated per output row
     # shuffle whole texts by game (few wide rows) rather than their tokens (many
     # narrow rows); explode keeps the partitioning, so the windows need no exchange
-    pre = df.select(F.col(key), blank.alias("blank"), toks.alias("_toks")).repartition(key)
-    x = pre.select(key, "blank", F.posexplode_outer("_toks").alias("pos", "tok"))
+    keys = [key, by] if by else [key]
+    by = by or key
+    pre = df.select(*keys, blank.alias("blank"), toks.alias("_toks")).repartition(by)
+    x = pre.select(*keys, "blank", F.posexplode_outer("_toks").alias("pos", "tok"))
     san = F.regexp_replace(F.regexp_replace(F.col("tok"), r"^[0-9]+\.+", ""), r"[+#!?]+$", "")
     delta = F.when(F.col("tok") == "(", 1).when(F.col("tok") == ")", -1).otherwise(0)
-    x = x.select(key, "blank", "pos", "tok", san.alias("san"), delta.alias("_d"))
-    ordered = Window.partitionBy(key).orderBy("pos")
+    x = x.select(*keys, "blank", "pos", "tok", san.alias("san"), delta.alias("_d"))
+    ordered = Window.partitionBy(by).orderBy("pos")
     upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prior = ordered.rowsBetween(Window.unboundedPreceding, -1)
     depth = F.coalesce(F.sum("_d").over(prior), F.lit(0))
@@ -68,7 +73,7 @@ def token_rows(df: DataFrame, key: str, text: str, context: bool = False) -> Dat
     top = (F.col("_depth") == 0) & ~F.col("tok").isin("(", ")") & (F.col("san") != "")
     is_move = F.col("san").rlike(SAN_PATTERN)
     x = x.withColumn("_cand", F.coalesce(top & is_move, F.lit(False))).withColumn(
-        "_stop", F.coalesce(top & (F.col("tok").isin(*RESULTS) | ~is_move), F.lit(False)))
+        "_stop", F.coalesce(top & F.col("tok").isin(*RESULTS), F.lit(False)))
     cand = F.col("_cand")
     extra = []
     if context:
@@ -76,7 +81,7 @@ def token_rows(df: DataFrame, key: str, text: str, context: bool = False) -> Dat
         for n in ("kind", "capture", "df", "dr"):
             x = x.withColumn(f"_c_{n}", F.when(cand, parsed[n]))
             extra.append(F.last(f"_c_{n}", ignorenulls=True).over(prior).alias(f"prev_{n}"))
-    # the game ends at its first result or unreadable token
+    # the game ends at its first result
     x = x.select("*", F.sum(F.col("_stop").cast("int")).over(upto).alias("_stops"),
                  F.sum(cand.cast("int")).over(upto).alias("_n"), *extra)
     main = cand & (F.col("_stops") == 0)
@@ -85,16 +90,21 @@ def token_rows(df: DataFrame, key: str, text: str, context: bool = False) -> Dat
                                                                       ("kind", "capture", "df", "dr")])
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    return df.withColumn("_row", F.monotonically_increasing_id())
+
+
 def movetext_tokens(df: DataFrame, key: str, text: str) -> DataFrame:
-    """M1: main-line half-moves (key, ply, san); comments, variations,
-    annotations, move numbers and the result are not moves."""
-    return token_rows(df, key, text).where("mainline").select(key, "ply", "san")
+    """M1: main-line half-moves (key, ply, san) of each row's text; comments,
+    variations, annotations, move numbers, unknown tokens and the result are not
+    moves.  Rows may share a key or have none: each text is a game of its own."""
+    return token_rows(_numbered(df), key, text, by="_row").where("mainline").select(key, "ply", "san")
 
 
 def total_moves(df: DataFrame, key: str, text: str) -> DataFrame:
     """M2: ceil(half-moves / 2); 0 without moves; null for null/blank text."""
-    t = token_rows(df, key, text)
-    a = t.groupBy(key).agg(F.count_if("mainline").alias("_n"), F.max("blank").alias("_blank"))
+    t = token_rows(_numbered(df), key, text, by="_row")
+    a = t.groupBy("_row", key).agg(F.count_if("mainline").alias("_n"), F.max("blank").alias("_blank"))
     return a.select(key, F.when(~F.col("_blank"), F.ceil(F.col("_n") / 2).cast("int")).alias("total_moves"))
 
 

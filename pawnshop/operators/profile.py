@@ -138,9 +138,9 @@ def group_outcome_profile(df: DataFrame, group: str, outcome: str, length: str)
                   F.avg(outcome_flag(outcome, "Draw")).alias("prop_draw")))
 
 
-def conditional_means(df: DataFrame, label: str, cols: list[str]) -> DataFrame:
-    """Mean of each column per label value."""
-    return df.groupBy(label).agg(*[F.avg(c).alias(f"avg_{c}") for c in cols])
+def conditional_means(df: DataFrame, label: str | list[str], cols: list[str]) -> DataFrame:
+    """Mean of each column per label value (or combination of values)."""
+    return df.groupBy(*([label] if isinstance(label, str) else label)).agg(*[F.avg(c).alias(f"avg_{c}") for c in cols])
 
 
 # --------------------------------------------------------------------------- A18-A21

@@ -42,7 +42,7 @@ t2 AS (SELECT *, coalesce(sum(d) OVER (PARTITION BY game_id ORDER BY pos
          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS depth FROM t1),
 t3 AS (SELECT *, depth = 0 AND tok NOT IN ('(', ')') AND san <> '' AS top,
          regexp_matches(san, '""" + _SAN + r"""') AS is_move FROM t2),
-t4 AS (SELECT *, min(CASE WHEN top AND (tok IN ('1-0', '0-1', '1/2-1/2', '*') OR NOT is_move) THEN pos END)
+t4 AS (SELECT *, min(CASE WHEN top AND tok IN ('1-0', '0-1', '1/2-1/2', '*') THEN pos END)
          OVER (PARTITION BY game_id) AS stop FROM t3),
 main AS (SELECT game_id, pos, san FROM t4 WHERE top AND is_move AND (stop IS NULL OR pos < stop))"""
 MT = ad.with_ctes(ad.MOVETEXT_SQL, _TOKENS_SQL)
@@ -264,3 +264,32 @@ def q_pawn_effects_by_result(spark, d):
     feats = M.game_position_features(games, "game_id", "movetext", {"final": None})
     lab = games.select("game_id", binary_label("Winner").alias("label_white_win"))
     return rounded(conditional_means(feats.join(lab, "game_id"), "label_white_win", PAWN_EFFECTS))
+
+
+@register("pawn_effects_by_phase", GAME_FEATURES_SQL + ",\nlab AS (SELECT doc_id AS game_id, " + _LABEL_SQL
+          + " AS label_white_win FROM documents)\nSELECT l.phase, lab.label_white_win, "
+          + ", ".join(f"{R(f'avg(l.{c})', 4)} AS avg_{c}" for c in PAWN_EFFECTS)
+          + " FROM long l JOIN lab USING (game_id) GROUP BY l.phase, lab.label_white_win")
+def q_pawn_effects_by_phase(spark, d):
+    """Class means of all three snapshots, from the enriched table."""
+    from pawnshop.operators.enrich import enriched_games
+    from pawnshop.operators.profile import conditional_means
+    table = enriched_games(ad.chess_games(spark, d), "game_id", "movetext", "Winner")
+    return rounded(conditional_means(table, ["phase", "label_white_win"], PAWN_EFFECTS), 4)
+
+
+_WINNER_SQL = "CASE d.lang WHEN 'en' THEN 'White' WHEN 'de' THEN 'Black' WHEN 'fr' THEN 'Draw' END"
+
+
+@register("enriched_games", GAME_FEATURES_SQL + ",\ncounted AS (SELECT game_id, count(*) AS n FROM main GROUP BY game_id)\n"
+          + f"SELECT l.*, {_WINNER_SQL} AS Winner, " + _LABEL_SQL.replace("lang", "d.lang") + """ AS label_white_win,
+  CAST(ceil(coalesce(c.n, 0) / 2) AS INTEGER) AS total_moves
+FROM long l JOIN documents d ON d.doc_id = l.game_id LEFT JOIN counted c ON c.game_id = l.game_id""")
+def q_enriched_games(spark, d):
+    """Written once as Parquet by phase and read back, as every later step does."""
+    from pawnshop import sources as S
+    from pawnshop.operators.enrich import enriched_games
+    from pawnshop.session import scratch_path
+    path = scratch_path(spark, "enriched")
+    S.write_parquet(enriched_games(ad.chess_games(spark, d), "game_id", "movetext", "Winner"), path, partition_by=["phase"])
+    return rounded(S.read_parquet(spark, path))

@@ -33,7 +33,7 @@ def test_half_moves(games):
     n = {}
     for r in rows:
         n[r.game_id] = max(n.get(r.game_id, 0), r.ply)
-    assert n == {1: 8, 2: 10, 3: 3, 7: 3, 8: 5, 9: 7}
+    assert n == {1: 8, 2: 10, 3: 3, 7: 4, 8: 5, 9: 7}
 
 
 def test_total_moves(games):

@@ -161,7 +161,8 @@ def shards(packed: DataFrame, key: int = 0, per_shard: int = SHARD_SEQUENCES) ->
     inner = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     outer = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = blocks.groupBy("part").agg(F.sum("n").alias("m")).withColumn("before", F.coalesce(F.sum("m").over(outer), F.lit(0)))
-    starts = (blocks.join(parts, "part").select("block", (F.col("before") + F.coalesce(F.sum("n").over(inner), F.lit(0))).alias("start")))
+    starts = blocks.join(parts, "part").select("block", (F.col("before") + F.coalesce(F.sum("n").over(inner), F.lit(0))).alias("start"))
+    starts = settled(starts, "starts")  # small on disk, so that Spark broadcasts it instead of shuffling the sequences
     total = blocks.agg(F.sum("n")).first()[0] or 0
 
     @F.pandas_udf("long")

@@ -100,20 +100,22 @@ class EliasFano:
         last = len(self.upper) * 8 - int(self.ones[-1]) - 1
         live = np.flatnonzero((lo < hi) & (bucket >= 0) & (bucket <= last))
         bucket = bucket[live]
-        place = np.zeros(len(live), np.int64)
+        first = np.zeros(len(live), np.int64)
         later = bucket > 0
-        place[later] = self._select(bucket[later] - 1, self.zeros, True) + 1
+        first[later] = self._select(bucket[later] - 1, self.zeros, True) + 1 - bucket[later]
+        after = self._select(bucket, self.zeros, True) - bucket
+        # within a high part the low parts are sorted: halve what lies in [lo, hi)
+        a, b = np.maximum(first, lo[live]), np.minimum(after, hi[live])
         want = value[live] & self.mask
-        i = place - bucket
+        go = np.flatnonzero(a < b)
+        live, a, b, want = live[go], a[go], b[go], want[go]
         while len(live):
-            one = (self.upper[np.minimum(place >> 3, len(self.upper) - 1)] >> (place & 7).astype(np.uint8) & 1) == 1
-            go = one & (i < hi[live])
-            live, place, i, want = live[go], place[go], i[go], want[go]
-            if not len(live):
-                break
-            own, early = self.low_bits(i), i < lo[live]
-            hit = (own == want) & ~early
-            out[live[hit]] = i[hit]
-            go = (own < want) | early
-            live, place, i, want = live[go], place[go] + 1, i[go] + 1, want[go]
+            middle = (a + b) >> 1
+            own = self.low_bits(middle)
+            hit = own == want
+            out[live[hit]] = middle[hit]
+            below = own < want
+            a, b = np.where(below, middle + 1, a), np.where(below, b, middle)
+            go = (a < b) & ~hit
+            live, a, b, want = live[go], a[go], b[go], want[go]
         return out

@@ -33,8 +33,10 @@ STRENGTH = 200.0
 #: Steps of a quantised log10 probability, in a byte: 0 to -12.75.
 STEP = 0.05
 #: Words in a range of level one, and tokens whose bigrams make a range of level two.
-VOCABULARY_RANGE = 1 << 22
-BIGRAM_RANGE = 1 << 23
+VOCABULARY_RANGE = 1 << 20
+BIGRAM_RANGE = 1 << 21
+#: Bigrams that a counting task holds before it passes them on.
+HELD = 1 << 21
 #: Ends each text, is counted as a word, and is the context of the first.
 END = np.uint64(0x5851F42D4C957F2D)
 
@@ -168,27 +170,33 @@ def _from_planes(raw: bytes) -> np.ndarray:
 
 
 def _bigram_parts(manifest: tuple, bounds: np.ndarray):
-    """The distinct bigrams of each Arrow batch with their counts, cut at the bounds."""
+    """The distinct bigrams of a stretch of texts with their counts, cut at the bounds."""
+    def rows(parts):
+        key = np.concatenate([p[0] for p in parts])
+        n = np.concatenate([p[1] for p in parts])
+        order = np.argsort(key, kind="stable")
+        key, n = key[order], n[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        key, n = key[first], np.add.reduceat(n, first)
+        part = np.searchsorted(bounds, key, "right") - 1
+        names, at = np.unique(part, return_index=True)
+        out = [(int(p), _planes(key[a:b]), n[a:b].astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes())
+               for p, a, b in zip(names.tolist(), at.tolist(), [*at.tolist(), len(key)][1:], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.binary()),
+                                           pa.array([r[2] for r in out], pa.binary())], ["part", "keys", "counts"])
+
     def of(batches):
         vocabulary = _vocabulary(manifest)
+        parts, held = [], 0
         for batch in batches:
-            parts = []
             for _, data, off in tx.runs(batch.column("text")):
                 parts.append(np.unique(_keys(vocabulary, *tokens(data, off))[0], return_counts=True))
-            if not parts:
-                continue
-            key = np.concatenate([p[0] for p in parts])
-            n = np.concatenate([p[1] for p in parts])
-            order = np.argsort(key, kind="stable")
-            key, n = key[order], n[order]
-            first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-            key, n = key[first], np.add.reduceat(n, first) if len(first) else n
-            part = np.searchsorted(bounds, key, "right") - 1
-            names, at = np.unique(part, return_index=True)
-            rows = [(int(p), _planes(key[a:b]), n[a:b].astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes())
-                    for p, a, b in zip(names.tolist(), at.tolist(), [*at.tolist(), len(key)][1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
-                                              pa.array([r[2] for r in rows], pa.binary())], ["part", "keys", "counts"])
+                held += len(parts[-1][0])
+                if held >= HELD:
+                    yield rows(parts)
+                    parts, held = [], 0
+        if parts:
+            yield rows(parts)
     return of
 
 
@@ -331,7 +339,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> NgramModel:
     written = (counts.select("word", "n", _flipped("word").alias("at")).repartitionByRange(ranges, "at").sortWithinPartitions("at").select("word", "n")
                .mapInArrow(_write_vocabulary(folder, step),
                            "path string, first long, words long, tokens long, cut array<long>, upto array<long>, times array<long>"))
-    rows = sorted(written.collect(), key=lambda r: r["first"])  # one row a range of four million words
+    rows = sorted(written.collect(), key=lambda r: r["first"])  # one row a range of a million words
     manifest = tuple((r["path"], r["first"] + (1 << 63), r["words"], r["tokens"]) for r in rows)
     cuts, ids, upto = [], 0, 0
     for r in rows:

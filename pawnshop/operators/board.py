@@ -15,7 +15,7 @@ over that row (bit_count / shifts), so there is one shuffle and no join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pawnshop.schema import FEATURE_KEYS, PIECE_VALUE
 
@@ -39,26 +39,21 @@ def board_decode(df: DataFrame, fen_col: str, keys: list[str]) -> DataFrame:
     """
     rows = F.split(F.split(F.trim(F.col(fen_col)), " ").getItem(0), "/")
     expanded = F.transform(rows, lambda r: _expand_digits(r))
-    ok = (F.col(fen_col).isNotNull() & (F.length(F.trim(F.col(fen_col))) > 0)
-          & (F.size(rows) == 8)
-          & F.forall(expanded, lambda r: r.rlike("^[pnbrqkPNBRQK.]{8}$")))
+    ok = F.coalesce(F.col(fen_col).isNotNull() & (F.length(F.trim(F.col(fen_col))) > 0)
+                    & (F.size(rows) == 8)
+                    & F.forall(expanded, lambda r: r.rlike("^[pnbrqkPNBRQK.]{8}$")), F.lit(False))
     flat = F.array_join(expanded, "")
     cells = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.substring(flat, i + 1, 1))
-    b = df.select(*keys, ok.alias("valid"), F.when(ok, cells).alias("_cells"))
-    # posexplode_outer keeps invalid boards (null array) as one row
-    x = b.select(*keys, "valid", F.posexplode_outer("_cells").alias("_i", "_c"))
-    x = x.where(~F.col("valid") | (F.col("_c") != "."))
-    x = x.select(*keys, "valid",
-                 (F.col("_i") % 8).cast("int").alias("file"),
-                 (F.lit(7) - F.floor(F.col("_i") / 8)).cast("int").alias("rank"),
-                 F.col("_c").alias("piece"))
-    # valid boards with no piece at all: keep one row with a null piece
-    anchor = (df.select(*keys, ok.alias("valid"))
-                .where(F.col("valid") & ~F.array_join(F.transform(rows, lambda r: _expand_digits(r)), "")
-                       .rlike("[pnbrqkPNBRQK]"))
-                .select(*keys, "valid", F.lit(None).cast("int").alias("file"),
-                        F.lit(None).cast("int").alias("rank"), F.lit(None).cast("string").alias("piece")))
-    return x.unionByName(anchor)
+    numbered = F.transform(cells, lambda c, i: F.struct(i.alias("i"), F.when(c != ".", c).alias("c")))
+    held = F.filter(numbered, lambda x: x["c"].isNotNull())
+    # an empty or invalid board keeps one row without a piece
+    none = F.array(F.struct(F.lit(None).cast("int").alias("i"), F.lit(None).cast("string").alias("c")))
+    b = df.select(*keys, ok.alias("valid"), F.when(~ok, none).when(F.size(held) == 0, none).otherwise(held).alias("_cells"))
+    x = b.select(*keys, "valid", F.explode("_cells").alias("_s"))
+    return x.select(*keys, "valid",
+                    (F.col("_s.i") % 8).cast("int").alias("file"),
+                    (F.lit(7) - F.floor(F.col("_s.i") / 8)).cast("int").alias("rank"),
+                    F.col("_s.c").alias("piece"))
 
 
 def _expand_digits(r):
@@ -71,11 +66,14 @@ def fen_encode(pieces: DataFrame, keys: list[str], suffix: str = " w - - 0 1") -
     """Pieces -> FEN text (placement plus a fixed suffix), one row per board.
 
     Each board is at most 64 squares, so gathering its pieces into one row is
-    bounded by construction.
+    bounded by construction.  Of several pieces on a square the first letter
+    counts.
     """
-    sq = F.col("rank") * 8 + F.col("file")
-    per = pieces.where(F.col("piece").isNotNull()).groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct(sq.alias("k"), F.col("piece").alias("v")))).alias("_m"))
+    sq = (F.col("rank") * 8 + F.col("file")).alias("_sq")
+    single = (pieces.where(F.col("piece").isNotNull()).repartition(*keys)
+              .groupBy(*keys, sq).agg(F.min("piece").alias("_p")))
+    per = single.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("_sq").alias("k"), F.col("_p").alias("v")))).alias("_m"))
     rank_txt = []
     for rank in range(7, -1, -1):
         cells = [F.coalesce(F.element_at(F.col("_m"), F.lit(rank * 8 + f)), F.lit("1")) for f in range(8)]
@@ -355,30 +353,42 @@ _KNIGHT = [(1, 2), (2, 1), (2, -1), (1, -2), (-1, -2), (-2, -1), (-2, 1), (-1, 2
 _KING = _DIRS["Q"]
 
 
-def move_patterns() -> list[tuple]:
-    """(color, kind, dir, step, dfile, drank, mode, start_rank_only) for every
-    piece type: sliders step 1..7 along rays, knight/king jumps, pawn pushes
-    (two steps only from the start rank) and pawn captures.  Fixed size.
-    """
-    rows = []
-    for color, fwd, start in (("w", 1, 1), ("b", -1, 6)):
-        for kind in ("R", "B", "Q"):
-            for d, (df_, dr) in enumerate(_DIRS[kind]):
-                for s in range(1, 8):
-                    rows.append((color, kind, d, s, df_ * s, dr * s, "ray", -1))
-        for d, (df_, dr) in enumerate(_KNIGHT):
-            rows.append((color, "N", d, 1, df_, dr, "ray", -1))
-        for d, (df_, dr) in enumerate(_KING):
-            rows.append((color, "K", d, 1, df_, dr, "ray", -1))
-        rows.append((color, "P", 0, 1, 0, fwd, "push", -1))
-        rows.append((color, "P", 0, 2, 0, 2 * fwd, "push", start))
-        rows.append((color, "P", 1, 1, -1, fwd, "hit", -1))
-        rows.append((color, "P", 2, 1, 1, fwd, "hit", -1))
-    return rows
-
-
-PATTERN_SCHEMA = ("_color string, _kind string, _dir int, _step int, _df int, _dr int, "
-                  "_mode string, _start int")
+def _squares(steps) -> list[int]:
+    """For each square the mask of the squares that the steps reach, as a signed 64-bit number."""
+    out = []
+    for square in range(64):
+        mask = 0
+        for df_, dr in steps:
+            f, r = square % 8 + df_, square // 8 + dr
+            if 0 <= f < 8 and 0 <= r < 8:
+                mask |= 1 << (r * 8 + f)
+        out.append(mask - (1 << 64) if mask >> 63 else mask)
+    return out
+
+
+def _at(masks: list[int], square) -> Column:
+    return F.element_at(F.expr(f"array({', '.join(f'{m}L' for m in masks)})"), square.cast("int") + 1)
+
+
+def _lowest(x) -> Column:
+    """Place of the lowest 1; the top bit alone is looked at first, since its negative overflows."""
+    return F.when(x == F.lit(-(1 << 63)), F.lit(63)).otherwise(F.bit_count(x.bitwiseAND(-x) - 1))
+
+
+def _highest(x) -> Column:
+    """Place of the highest 1: the binary digits have no leading zeros."""
+    return F.length(F.bin(x)) - 1
+
+
+def _ray(direction, square, occupied, own) -> Column:
+    """Squares a slider reaches one way: up to the first piece, which counts unless it is its own."""
+    df_, dr = direction
+    masks = _squares([(df_ * k, dr * k) for k in range(1, 8)])
+    ray = _at(masks, square)
+    hit = ray.bitwiseAND(occupied)
+    first = _lowest(hit) if dr * 8 + df_ > 0 else _highest(hit)
+    blocked = _shr(own, first.cast("int")).bitwiseAND(F.lit(1).cast("long"))
+    return F.when(hit == 0, F.bit_count(ray)).otherwise(F.bit_count(ray) - F.bit_count(_at(masks, first)) - blocked)
 
 
 def reach_per_piece(pieces: DataFrame, keys: list[str]) -> DataFrame:
@@ -390,44 +400,38 @@ def reach_per_piece(pieces: DataFrame, keys: list[str]) -> DataFrame:
     own side; pawns push one square (two from the start rank) onto empty
     squares and capture diagonally onto enemy pieces.  No check, pin,
     castling or en passant rules: this is piece activity, not the legal move
-    count.  Occupancy comes from a window over the board (at most 64 rows);
-    the pattern table is fixed (~300 rows) and joined by broadcast, and the
-    two aggregates group on the board keys plus the square, so all of it runs
-    on the input's partitioning by board.
+    count.  Occupancy is a 64-bit mask from a window over the board (at most 64
+    rows); each piece's reach is arithmetic on that mask and constant masks, so
+    there is one row per piece, no join and no further aggregate.
     """
-    spark = pieces.sparkSession
     if "valid" not in pieces.columns:
         pieces = pieces.withColumn("valid", F.lit(True))
-    pat = F.broadcast(spark.createDataFrame(move_patterns(), PATTERN_SCHEMA))  # fixed ~300 rows
     board = Window.partitionBy(*keys)
+    zero = F.lit(0).cast("long")
     bit = _shl(F.lit(1).cast("long"), F.col("rank") * 8 + F.col("file"))
     p = pieces.select(
-        *keys, "file", "rank", "piece", "valid",
-        F.when(F.col("piece") == F.upper(F.col("piece")), "w")
-         .when(F.col("piece") == F.lower(F.col("piece")), "b").alias("_color"),
-        F.upper(F.col("piece")).alias("_kind"),
-        F.bit_or(F.when(_is("w"), bit)).over(board).alias("_occ_w"),
-        F.bit_or(F.when(_is("b"), bit)).over(board).alias("_occ_b"))
-    c = p.join(pat, ["_color", "_kind"], "left")   # rows without moves are kept
-    df_, dr_ = F.col("file") + F.col("_df"), F.col("rank") + F.col("_dr")
-    cand = F.coalesce((df_ >= 0) & (df_ <= 7) & (dr_ >= 0) & (dr_ <= 7)
-                      & ((F.col("_start") < 0) | (F.col("_start") == F.col("rank"))), F.lit(False))
-    dbit = _shl(F.lit(1).cast("long"), dr_ * 8 + df_)
-    own = F.when(F.col("_color") == "w", F.col("_occ_w")).otherwise(F.col("_occ_b"))
-    occ = F.coalesce(F.col("_occ_w"), F.lit(0)).bitwiseOR(F.coalesce(F.col("_occ_b"), F.lit(0)))
-    is_occ = occ.bitwiseAND(dbit) != 0
-    is_own = F.coalesce(own, F.lit(0)).bitwiseAND(dbit) != 0
-    # first occupied step on each ray; the low bit says whether it is our own piece
-    key = F.when(cand & is_occ, F.col("_step") * 2 + F.when(is_own, 1).otherwise(0))
-    square = [*keys, "file", "rank", "piece", "valid"]
-    per_dir = c.groupBy(*square, "_dir", "_mode").agg(F.min(key).alias("_k"), F.count_if(cand).alias("_n"))
-    k = F.col("_k")
-    block, enemy = F.floor(k / 2), (k % 2 == 0)
-    reach = (F.when(F.col("_mode") == "hit", F.when(k.isNotNull() & enemy, 1).otherwise(0))
-              .when(k.isNull(), F.col("_n"))
-              .when(F.col("_mode") == "push", block - 1)
-              .otherwise(block - 1 + F.when(enemy, 1).otherwise(0)))
-    return per_dir.groupBy(*square).agg(F.sum(reach).cast("long").alias("_reach"))
+        *keys, "file", "rank", "piece", "valid", (F.col("rank") * 8 + F.col("file")).alias("_at"),
+        (F.col("piece") == F.upper("piece")).alias("_white"), F.upper(F.col("piece")).alias("_kind"),
+        F.coalesce(F.bit_or(F.when(_is("w"), bit)).over(board), zero).alias("_occ_w"),
+        F.coalesce(F.bit_or(F.when(_is("b"), bit)).over(board), zero).alias("_occ_b"))
+    p = p.select("*", F.when(F.col("_white"), F.col("_occ_w")).otherwise(F.col("_occ_b")).alias("_own"),
+                 F.when(F.col("_white"), F.col("_occ_b")).otherwise(F.col("_occ_w")).alias("_foe"),
+                 F.col("_occ_w").bitwiseOR(F.col("_occ_b")).alias("_occ"))
+    square, own, foe, occ, kind = (F.col(c) for c in ("_at", "_own", "_foe", "_occ", "_kind"))
+    free = lambda steps: F.bit_count(_at(_squares(steps), square).bitwiseAND(F.bitwise_not(own)))
+    rays = lambda k: sum((_ray(d, square, occ, own) for d in _DIRS[k]), F.lit(0))
+
+    def pawn(fwd: int, start: int) -> Column:
+        one = _at(_squares([(0, fwd)]), square)
+        two = _at(_squares([(0, 2 * fwd)]), square)
+        open_ = (one != 0) & (one.bitwiseAND(occ) == 0)
+        push = F.when(open_ & (F.col("rank") == start) & (two.bitwiseAND(occ) == 0), 2).when(open_, 1).otherwise(0)
+        return push + F.bit_count(_at(_squares([(-1, fwd), (1, fwd)]), square).bitwiseAND(foe))
+
+    reach = (F.when(kind.isin("R", "Q"), rays("R")).otherwise(0) + F.when(kind.isin("B", "Q"), rays("B")).otherwise(0)
+             + F.when(kind == "N", free(_KNIGHT)).when(kind == "K", free(_KING))
+                .when((kind == "P") & F.col("_white"), pawn(1, 1)).when(kind == "P", pawn(-1, 6)).otherwise(0))
+    return p.select(*keys, "file", "rank", "piece", "valid", reach.cast("long").alias("_reach"))
 
 
 def piece_reach(pieces: DataFrame, keys: list[str]) -> DataFrame:

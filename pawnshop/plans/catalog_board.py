@@ -66,9 +66,21 @@ _PER_SIDE = f"""per_side AS (
  FROM sides s)"""
 
 
+def _patterns() -> list[tuple]:
+    """(color, kind, direction, step, files, ranks, mode, start rank or -1) of every way a piece can go."""
+    straight, slant = [(0, 1), (0, -1), (1, 0), (-1, 0)], [(1, 1), (1, -1), (-1, 1), (-1, -1)]
+    jumps = [(a, b) for a in (-2, -1, 1, 2) for b in (-2, -1, 1, 2) if abs(a) != abs(b)]
+    out = []
+    for color, fwd, start in (("w", 1, 1), ("b", -1, 6)):
+        for kind, ways, far in (("R", straight, 8), ("B", slant, 8), ("Q", straight + slant, 8), ("K", straight + slant, 2), ("N", jumps, 2)):
+            out += [(color, kind, d, s, a * s, b * s, "ray", -1) for d, (a, b) in enumerate(ways) for s in range(1, far)]
+        out += [(color, "P", 0, 1, 0, fwd, "push", -1), (color, "P", 0, 2, 0, 2 * fwd, "push", start),
+                (color, "P", 1, 1, -1, fwd, "hit", -1), (color, "P", 2, 1, 1, fwd, "hit", -1)]
+    return out
+
+
 def _pattern_values() -> str:
-    rows = ", ".join(f"('{c}', '{k}', {d}, {s}, {a}, {b}, '{m}', {st})" for c, k, d, s, a, b, m, st in
-                     B.move_patterns())
+    rows = ", ".join(f"('{c}', '{k}', {d}, {s}, {a}, {b}, '{m}', {st})" for c, k, d, s, a, b, m, st in _patterns())
     return f"pat AS (SELECT * FROM (VALUES {rows}) t(color, kind, dir, step, df, dr, mode, start))"
 
 

@@ -31,6 +31,8 @@ PER_SKETCH = 3
 LEAST_SHARED = 2
 # Below so many shingles one shared sketch is enough: the chance above holds for longer texts.
 FEW_SHINGLES = 32
+#: Centres that each bucket gets in a turn after the first.
+CENTRES = 3
 _SEEDS = tx.mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -38,7 +40,7 @@ def _smallest(labelled: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """Hash of the smallest labelled shingles in text order, one for each seed."""
     n = len(labelled)
     take = min(PER_SKETCH, n)
-    order = labelled[None, :] * seeds[:, None]
+    order = (labelled[None, :] ^ seeds[:, None]) * seeds[:, None]
     order ^= order >> np.uint64(32)
     order *= np.uint64(0xD6E8FEB86659FD93)
     at = np.argpartition(order, take - 1, axis=1)[:, :take] if take < n else np.tile(np.arange(n), (len(seeds), 1))
@@ -147,8 +149,8 @@ def _aligned(batches):
             sides.append([flat[x:y] for x, y in zip(off[:-1], off[1:], strict=True)])
         score = np.array([similarity(x, y) for x, y in zip(*sides, strict=True)], float)
         ok = np.flatnonzero(score >= SIMILARITY)
-        yield pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(ok)), batch.column("b").take(pa.array(ok)),
-                                          pa.array(score[ok])], ["a", "b", "similarity"])
+        names = ["a", "b", "ra", "rb"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(ok)) for c in names), pa.array(score[ok])], [*names, "similarity"])
 
 
 def _keys(sketched: DataFrame) -> DataFrame:
@@ -156,17 +158,41 @@ def _keys(sketched: DataFrame) -> DataFrame:
 
 
 def _pairs(members: DataFrame, turn: int) -> DataFrame:
-    """Each member of a bucket with the bucket's centre, if their classes differ.
+    """Each member of a bucket with the bucket's centres, if their classes differ: (a, b, class of a, class of b).
 
-    One row a member at most, so linear in the bucket; the centre is a member
-    drawn by a hash of its id, the band and the turn.
+    A few rows a member at most, so linear in the bucket.  A centre is the
+    member that a hash of the ids puts first; one hash serves all bands, so
+    that a group that shares many buckets shares its centres as well.
     """
-    centres = (members.groupBy("band", "key")
-               .agg(F.min(F.struct(F.xxhash64("id", "band", F.lit(turn)).alias("draw"), "id", "n", "sketch", "root")).alias("c")))
+    draws = range(CENTRES * turn, CENTRES * (turn + 1)) if turn else range(1)
+    drawn = [F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("draw"), "id", "n", "sketch", "root")) for k in draws]
+    centres = (members.groupBy("band", "key").agg(F.array(*drawn).alias("all"))
+               .select("band", "key", F.explode(F.array_distinct(F.transform("all", lambda c: c.dropFields("draw")))).alias("c")))
     shared = F.size(F.filter(F.zip_with("sketch", "c.sketch", lambda x, y: x == y), lambda x: x))
+    first = F.col("id") > F.col("c.id")
     return (members.join(centres, ["band", "key"]).filter("root <> c.root")
             .filter((shared >= LEAST_SHARED) | (F.least("n", "c.n") < FEW_SHINGLES))
-            .select(F.greatest("id", "c.id").alias("a"), F.least("id", "c.id").alias("b")).distinct())
+            .select(F.greatest("id", "c.id").alias("a"), F.least("id", "c.id").alias("b"),
+                    F.when(first, F.col("root")).otherwise(F.col("c.root")).alias("ra"),
+                    F.when(first, F.col("c.root")).otherwise(F.col("root")).alias("rb")).distinct())
+
+
+def _merged(roots: DataFrame | None, found: DataFrame) -> DataFrame:
+    """(id, root) after the classes of each found pair were drawn together.
+
+    Every class moves to its smallest neighbour, twice over.  Chains may stay
+    apart here and be merged by a later turn; the final classes are the
+    components of all links.
+    """
+    edges = found.select(F.explode(F.array(F.struct(F.col("ra").alias("x"), F.col("rb").alias("y")),
+                                           F.struct(F.col("rb").alias("x"), F.col("ra").alias("y")))).alias("e")).select("e.*")
+    step = settled(edges.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m")), "steps")
+    further = step.select(F.col("x").alias("m"), F.col("m").alias("m2"))
+    step = step.join(further, "m", "left").select("x", F.coalesce("m2", "m").alias("m"))
+    ids = step.select(F.col("x").alias("id"), F.col("x").alias("root"))
+    if roots is not None:
+        ids = ids.unionByName(roots).groupBy("id").agg(F.min("root").alias("root"))
+    return settled(ids.join(step, ids["root"] == step["x"], "left").select("id", F.coalesce("m", "root").alias("root")), "classes")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -183,7 +209,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Equal texts are first collapsed to one representative, so copies cost one
     row per task.  Every bucket of equal sketches is compared with its centre
     only, never within itself; buckets that still hold several classes go
-    through further rounds with other centres until a round adds no link.  No
+    through further turns with other centres, until a turn adds no link.  No
     bucket, group or number of candidates is capped.
     """
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -197,29 +223,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = settled(src.join(members.select("id").distinct(), "id", "left_semi").mapInArrow(_shingle_rows, _SHINGLES)
                     .dropDuplicates(["id"]), "shingles")
 
-    links, tested, turn = None, None, 0
+    links, classes, turn = None, None, 0
     todo = members.withColumn("root", F.col("id"))
     while True:
         pairs = _pairs(todo, turn)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = settled(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
         found = settled(pairs.join(texts.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
                         .join(texts.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
-                        .select("a", "b", "left", "right")
-                        .mapInArrow(_aligned, "a long, b long, similarity double"), "links")
+                        .select("a", "b", "ra", "rb", "left", "right")
+                        .mapInArrow(_aligned, "a long, b long, ra long, rb long, similarity double"), "links")
         if found.isEmpty():
             break
         links = found if links is None else links.unionByName(found)
-        roots = components(links.select("a", "b"))
-        classed = (members.join(roots, members["id"] == roots["node"], "left")
-                   .select("id", "n", "sketch", "band", "key", F.coalesce("root", "id").alias("root")))
+        classes = _merged(classes, found)
+        classed = members.join(classes, "id", "left").withColumn("root", F.coalesce("root", "id"))
         mixed = classed.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
         todo = settled(classed.join(mixed.select("band", "key"), ["band", "key"]), "mixed")
         turn += 1
     rep_class = reps.select("n", "print1", "print2", "rep")
     if links is not None:
+        roots = components(links.select("a", "b"))
         rep_class = (rep_class.join(roots, rep_class["rep"] == roots["node"], "left")
                      .select("n", "print1", "print2", F.coalesce("root", "rep").alias("rep")))
     classes = prints.join(rep_class, ["n", "print1", "print2"]).groupBy("id").agg(F.min("rep").alias("class_id"))

@@ -82,9 +82,13 @@ def _tokens(batches):
                                               tx.list_array(tx.signed(word), first, pa.int64())], ["item_id", "item_words"])
 
 
+def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of the filter that a hash needs: its first and its last ``FILTER_BITS`` bits."""
+    return hashes >> np.uint64(64 - FILTER_BITS), hashes & np.uint64((1 << FILTER_BITS) - 1)
+
+
 def _hits(short: list[int], bits: np.ndarray):
     masks = _masks(short)
-    shift = np.uint64(64 - FILTER_BITS)
 
     def of(batches):
         for batch in batches:
@@ -94,10 +98,14 @@ def _hits(short: list[int], bits: np.ndarray):
                 pos, hashes = [], []
                 for number, mask in masks:
                     p, h = _seed_hashes(word, first, mask, number)
-                    slot = h >> shift
-                    hit = (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                    pos.append(p[hit])
-                    hashes.append(h[hit])
+                    for part in range(2):
+                        places = _slots(h)[part]
+                        hit = (bits[(places >> np.uint64(3)).astype(np.int64)] >> (places & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                        p, h = p[hit], h[hit]
+                        if not len(p):
+                            break
+                    pos.append(p)
+                    hashes.append(h)
                 pos, hashes = np.concatenate(pos), np.concatenate(hashes)
                 row = np.searchsorted(first, pos, "right") - 1
                 order = np.argsort(row, kind="stable")
@@ -159,8 +167,9 @@ def _filter_bits(hashes: DataFrame) -> np.ndarray:
     Spark ORs the bits of equal 64-bit words, so at most 2 ** (FILTER_BITS - 6)
     small rows reach the driver, whatever the benchmark's size.
     """
-    slot = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
-    rows = (hashes.select(F.shiftright(slot, 6).cast("int").alias("word"), (slot % 64).cast("int").alias("bit"))
+    both = F.array(F.shiftrightunsigned("hash", 64 - FILTER_BITS), F.col("hash").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)))
+    slot = F.col("slot")
+    rows = (hashes.select(F.explode(both).alias("slot")).select(F.shiftright(slot, 6).cast("int").alias("word"), (slot % 64).cast("int").alias("bit"))
             .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toPandas())
     out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)

@@ -1,10 +1,10 @@
 """Near-duplicate groups by Order MinHash.
 
-A text is its sequence of five-word shingles.  Each shingle is labelled with how
-often it has occurred before, so that every labelled shingle of a text is
-distinct.  For each of ``SKETCHES`` random orders of all labelled shingles, the
-``PER_SKETCH`` smallest are taken and kept *in text order*; their hash is the
-sketch.  Two texts share a sketch only if they share those shingles in the same
+A text is the sequence of its distinct five-word shingles, each where it occurs
+first; search and alignment use the same sequence, so that a line's number of
+repeats counts in neither.  For each of ``SKETCHES`` random orders of all
+shingles, the ``PER_SKETCH`` smallest are taken and kept *in text order*; their
+hash is the sketch.  Two texts share a sketch only if they share those shingles in the same
 order, which makes the chance of a shared sketch follow edit similarity rather
 than set similarity.  Texts that share a sketch are candidates; a banded
 alignment of their shingle sequences decides.
@@ -36,27 +36,27 @@ CENTRES = 3
 _SEEDS = tx.mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def _smallest(labelled: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """Hash of the smallest labelled shingles in text order, one for each seed."""
-    n = len(labelled)
+def _smallest(mixed: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """Hash of the smallest shingles in text order, one for each seed."""
+    n = len(mixed)
     take = min(PER_SKETCH, n)
-    order = (labelled[None, :] ^ seeds[:, None]) * seeds[:, None]
+    order = (mixed[None, :] ^ seeds[:, None]) * seeds[:, None]
     order ^= order >> np.uint64(32)
     order *= np.uint64(0xD6E8FEB86659FD93)
     at = np.argpartition(order, take - 1, axis=1)[:, :take] if take < n else np.tile(np.arange(n), (len(seeds), 1))
     at.sort(axis=1)
     out = np.full(len(seeds), n if n < PER_SKETCH else 0, np.uint64)
     for j in range(take):
-        out = tx.mix(out * np.uint64(31) + labelled[at[:, j]])
+        out = tx.mix(out * np.uint64(31) + mixed[at[:, j]])
     return out
 
 
 def order_minhash(shingle: np.ndarray) -> np.ndarray:
-    """``SKETCHES`` order-sensitive sketches of one text's shingle hashes."""
-    labelled = tx.mix(shingle + tx.occurrence(shingle).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    """``SKETCHES`` order-sensitive sketches of one text's distinct shingle hashes."""
+    mixed = tx.mix(shingle)
     if len(shingle) <= 65536:
-        return _smallest(labelled, _SEEDS)
-    return np.concatenate([_smallest(labelled, _SEEDS[i:i + 1]) for i in range(SKETCHES)])
+        return _smallest(mixed, _SEEDS)
+    return np.concatenate([_smallest(mixed, _SEEDS[i:i + 1]) for i in range(SKETCHES)])
 
 
 def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
@@ -105,19 +105,21 @@ def _sketch(batches):
             word, first = tx.words(data, off)
             sh, start = tx.shingles(word, first, WORDS)
             keep = np.flatnonzero(np.diff(start))
-            sketches = []
+            sketches, distinct = [], []
             place = np.arange(len(sh), dtype=np.uint64)
             # two independent fingerprints of the whole shingle sequence
             one = np.concatenate([[np.uint64(0)], np.cumsum(tx.mix(sh))])
             two = np.concatenate([[np.uint64(0)], np.cumsum(
                 tx.mix(sh ^ ((place - np.repeat(start[:-1], np.diff(start)).astype(np.uint64)) * np.uint64(0xA24BAED4963EE407))))])
             for r in keep:
-                sketches.append(order_minhash(sh[start[r]:start[r + 1]]))
+                own = distinct_in_order(sh[start[r]:start[r + 1]])
+                distinct.append(len(own))
+                sketches.append(order_minhash(own))
             prints, other = one[start[keep + 1]] - one[start[keep]], two[start[keep + 1]] - two[start[keep]]
             flat = tx.signed(np.concatenate(sketches)) if sketches else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([
                 ids.slice(at, len(off) - 1).take(pa.array(keep)).cast(pa.int64()),
-                pa.array(np.diff(start)[keep], pa.int32()),
+                pa.array(distinct, pa.int32()),
                 pa.array(tx.signed(prints), pa.int64()),
                 pa.array(tx.signed(other), pa.int64()),
                 tx.list_array(flat, np.arange(len(keep) + 1) * SKETCHES, pa.int64())],

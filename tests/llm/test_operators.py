@@ -123,6 +123,16 @@ def test_near_duplicates_equal_brute_force(spark, documents):
     assert got == _brute_classes(texts)
 
 
+def test_repeated_lines_do_not_hide_near_duplicates(spark):
+    texts = []
+    for k in range(6):
+        body, line = " ".join(_words(200, 50 + k)), " ".join(_words(8, 80 + k))
+        texts += [(10 * k, " ".join([body] + [line] * 10)), (10 * k + 1, " ".join([body] + [line] * 300)),
+                  (10 * k + 2, " ".join([body] + [line] * 40 + _words(5, 90 + k))), (10 * k + 3, " ".join([line] * 300))]
+    got = dict(rows(near_dedup.near_duplicates(frame(spark, texts))))
+    assert got == _brute_classes(texts) and got[51] == got[52] == 50 and got[53] == 53
+
+
 def test_near_duplicates_awkward(awkward, empty):
     got = rows(near_dedup.near_duplicates(awkward))
     assert len(got) == len(AWKWARD)

@@ -33,6 +33,8 @@ LEAST_SHARED = 2
 FEW_SHINGLES = 32
 #: Centres that each bucket gets in a turn after the first.
 CENTRES = 3
+#: Buckets of at most so many members are compared pair by pair; the members of larger ones by rare shingles.
+FEW_MEMBERS = 32
 _SEEDS = tx.mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -179,6 +181,48 @@ def _pairs(members: DataFrame, turn: int) -> DataFrame:
                     F.when(first, F.col("c.root")).otherwise(F.col("root")).alias("rb")).distinct())
 
 
+def _sharing(pairs: DataFrame) -> DataFrame:
+    """Of pairs with the columns x and y (id, n, sketch, root): those of two classes that could be links, as (a, b, ra, rb).
+
+    The length filter is exact: 0.8 of the shingles of both are at most those of the smaller.
+    """
+    shared = F.size(F.filter(F.zip_with("x.sketch", "y.sketch", lambda x, y: x == y), lambda x: x))
+    return (pairs.filter(F.col("x.root") != F.col("y.root"))
+            .filter(F.least("x.n", "y.n") >= SIMILARITY * F.greatest("x.n", "y.n") - 1e-9)
+            .filter((shared >= LEAST_SHARED) | ((shared >= 1) & (F.least("x.n", "y.n") < FEW_SHINGLES)))
+            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.root").alias("ra"), F.col("y.root").alias("rb")))
+
+
+def _sizes(members: DataFrame) -> DataFrame:
+    return members.groupBy("band", "key").agg(F.count("*").alias("size"))
+
+
+def _remaining(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Every pair of two classes that shares a bucket and could be a link: (a, b, class of a, class of b).
+
+    Small buckets give their pairs.  In large ones two texts meet if they share
+    one of their rarest shingles: a text of n shingles that is linked to another
+    lacks at most n - 0.8 n of them there, so one of its n - 0.8 n + 1 rarest is
+    among the other's rarest as well, and no link is lost.
+    """
+    sizes = _sizes(members)
+    row = F.struct("id", "n", "sketch", "root")
+    small = members.join(sizes.filter(F.col("size") <= FEW_MEMBERS).select("band", "key"), ["band", "key"])
+    near = small.select("band", "key", row.alias("x")).join(small.select("band", "key", row.alias("y")), ["band", "key"]).filter("x.id > y.id")
+    crowd = settled(members.join(sizes.filter(F.col("size") > FEW_MEMBERS).select("band", "key"), ["band", "key"])
+                    .select("id", "n", "sketch", "root").dropDuplicates(["id"]), "crowd")
+    if crowd.isEmpty():
+        return _sharing(near).distinct()
+    shingle = texts.join(crowd.select("id"), "id", "left_semi").select("id", F.explode("shingles").alias("shingle"))
+    counts = shingle.groupBy("shingle").agg(F.count("*").alias("texts"))
+    prefix = F.expr(f"slice(all, 1, cast(size(all) - ceil({SIMILARITY} * size(all) - 1e-9) + 1 as int))")
+    rare = settled(shingle.join(counts, "shingle").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("all"))
+                   .select("id", F.explode(prefix).alias("r")).filter("r.texts > 1").select("id", F.col("r.shingle").alias("shingle"))
+                   .join(crowd, "id"), "rare")
+    far = rare.select("shingle", row.alias("x")).join(rare.select("shingle", row.alias("y")), "shingle").filter("x.id > y.id")
+    return _sharing(near).unionByName(_sharing(far)).distinct()
+
+
 def _merged(roots: DataFrame | None, found: DataFrame) -> DataFrame:
     """(id, root) after the classes of each found pair were drawn together.
 
@@ -209,10 +253,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ignored, whatever their names; an empty table gives an empty result.
 
     Equal texts are first collapsed to one representative, so copies cost one
-    row per task.  Every bucket of equal sketches is compared with its centre
-    only, never within itself; buckets that still hold several classes go
-    through further turns with other centres, until a turn adds no link.  No
-    bucket, group or number of candidates is capped.
+    row per task.  Every bucket of equal sketches is first compared with drawn
+    centres; buckets that still hold several classes go through further turns
+    with other centres as long as these add links.  What is left of several
+    classes then is compared whole, every pair that shares enough sketches and
+    that exact filters don't exclude.  No bucket, group or number of candidates
+    is capped.
     """
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sketched = settled(src.filter("id is not null").mapInArrow(_sketch, _SKETCHED), "sketch")
@@ -225,14 +271,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = settled(src.join(members.select("id").distinct(), "id", "left_semi").mapInArrow(_shingle_rows, _SHINGLES)
                     .dropDuplicates(["id"]), "shingles")
 
+    def linked(pairs: DataFrame) -> DataFrame:
+        return settled(pairs.join(texts.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
+                       .join(texts.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
+                       .select("a", "b", "ra", "rb", "left", "right")
+                       .mapInArrow(_aligned, "a long, b long, ra long, rb long, similarity double"), "links")
+
     links, classes, turn = None, None, 0
     todo = members.withColumn("root", F.col("id"))
     while True:
-        pairs = _pairs(todo, turn)
-        found = settled(pairs.join(texts.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
-                        .join(texts.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
-                        .select("a", "b", "ra", "rb", "left", "right")
-                        .mapInArrow(_aligned, "a long, b long, ra long, rb long, similarity double"), "links")
+        found = linked(_pairs(todo, turn))
         if found.isEmpty():
             break
         links = found if links is None else links.unionByName(found)
@@ -241,11 +289,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         mixed = classed.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
         todo = settled(classed.join(mixed.select("band", "key"), ["band", "key"]), "mixed")
         turn += 1
+        if _sizes(todo).filter(F.col("size") > FEW_MEMBERS).isEmpty():
+            break
+    # a turn without a link says nothing of the pairs it didn't draw
+    found = linked(_remaining(todo, texts))
+    links = found if links is None else links.unionByName(found)
     rep_class = reps.select("n", "print1", "print2", "rep")
-    if links is not None:
-        roots = components(links.select("a", "b"))
-        rep_class = (rep_class.join(roots, rep_class["rep"] == roots["node"], "left")
-                     .select("n", "print1", "print2", F.coalesce("root", "rep").alias("rep")))
+    roots = components(links.select("a", "b"))
+    rep_class = (rep_class.join(roots, rep_class["rep"] == roots["node"], "left")
+                 .select("n", "print1", "print2", F.coalesce("root", "rep").alias("rep")))
     classes = prints.join(rep_class, ["n", "print1", "print2"]).groupBy("id").agg(F.min("rep").alias("class_id"))
     # an id that repeats with several texts joins their classes under its smallest
     return (src.select("id").join(classes, "id", "left")

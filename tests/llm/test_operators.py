@@ -133,6 +133,19 @@ def test_repeated_lines_do_not_hide_near_duplicates(spark):
     assert got == _brute_classes(texts) and got[51] == got[52] == 50 and got[53] == 53
 
 
+def test_sparse_links_in_hot_buckets_equal_brute_force(spark):
+    texts = []
+    for size, at, pairs in ((130, 0, range(10, 130, 15)), (24, 5000, range(2, 24, 7))):
+        core = _words(400, 7 + size)
+        own = [_words(50, at + 300 + k) for k in range(size)]
+        # any two are 0.798 of each other and share most buckets; pairs that begin their own words alike are 0.806
+        for k in pairs:
+            own[k][:2] = own[k - 1][:2]
+        texts += [(at + k, " ".join(core + w)) for k, w in enumerate(own)]
+    got = dict(rows(near_dedup.near_duplicates(frame(spark, texts))))
+    assert got == _brute_classes(texts) and got[100] == 99 and got[5009] == 5008 and len(set(got.values())) == 142
+
+
 def test_near_duplicates_awkward(awkward, empty):
     got = rows(near_dedup.near_duplicates(awkward))
     assert len(got) == len(AWKWARD)

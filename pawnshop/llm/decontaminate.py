@@ -3,8 +3,8 @@
 A spaced seed is a fixed mask over consecutive words, such as 1101100101111: the
 hash at a position covers the words under a 1 and ignores those under a 0, so a
 changed word under a 0 doesn't hide the overlap.  Hashes of test items and of
-training texts are joined; around each hit the two texts are compared word by
-word, allowing substitutions.
+training texts are joined; at the shift of each hit the two texts are compared
+word by word over their whole length, allowing substitutions.
 """
 
 from __future__ import annotations
@@ -122,24 +122,26 @@ def _hits(short: list[int], bits: np.ndarray):
     return of
 
 
-def overlap(doc: np.ndarray, item: np.ndarray, shift: int, anchor: int) -> tuple[int, int, int]:
-    """The best stretch of item words around ``anchor`` against doc words ``shift`` further on.
+def overlap(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]:
+    """The best stretch of item words against doc words ``shift`` further on.
 
-    Returns (start, end, equal words) in the item.  Grown from the anchor in
-    both directions to the furthest end at which at least ``LEAST_SHARE`` of the
-    words are equal on that side of the anchor.
+    Returns (start, end, equal words) in the item.  Of all stretches that begin
+    and end with an equal word, span ``LEAST_WORDS`` words (the whole of a
+    shorter item) or more and have ``LEAST_SHARE`` of them equal, the first with
+    the most equal words; (0, 0, 0) if there is none.
     """
     lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
-    same = doc[lo + shift:hi + shift] == item[lo:hi]
-    a = anchor - lo
-
-    def reach(side: np.ndarray) -> int:
-        good = np.flatnonzero((np.cumsum(side) >= LEAST_SHARE * np.arange(1, len(side) + 1)) & side)
-        return int(good[-1]) + 1 if len(good) else 0
-
-    right = a + reach(same[a:])
-    left = a - reach(same[:a][::-1])
-    return lo + left, lo + right, int(same[left:right].sum())
+    at = np.flatnonzero(doc[lo + shift:hi + shift] == item[lo:hi])
+    if not len(at):
+        return 0, 0, 0
+    # equal words i .. j have the share if gain[j] - gain[i] + 1 >= LEAST_SHARE: the first such i is where the
+    # running minimum of gain falls below that
+    gain = np.arange(len(at)) - LEAST_SHARE * at
+    i = np.searchsorted(-np.minimum.accumulate(gain), -(gain + 1 - LEAST_SHARE + 1e-9))
+    count = np.arange(len(at)) - i + 1
+    count[at - at[i] + 1 < min(LEAST_WORDS, len(item))] = 0
+    j = int(np.argmax(count))
+    return (lo + int(at[i[j]]), lo + int(at[j]) + 1, int(count[j])) if count[j] else (0, 0, 0)
 
 
 def _verified(batches):
@@ -150,11 +152,11 @@ def _verified(batches):
             doc_col, item_col = batch.column("words"), batch.column("item_words")
             flat = [(c.offsets.to_numpy(), c.values.to_numpy(zero_copy_only=False)) for c in (doc_col, item_col)]
             ids, items = batch.column("doc_id").to_pylist(), batch.column("item_id").to_pylist()
-            shifts, anchors = batch.column("shift").to_numpy(), batch.column("anchor").to_numpy()
+            shifts = batch.column("shift").to_numpy()
             for k in range(batch.num_rows):
                 doc, item = (v[o[k]:o[k + 1]] for o, v in flat)
-                start, end, equal = overlap(doc, item, int(shifts[k]), int(anchors[k]))
-                if end - start >= min(LEAST_WORDS, len(item)) and equal >= LEAST_SHARE * (end - start):
+                start, end, equal = overlap(doc, item, int(shifts[k]))
+                if equal:
                     for name, v in zip(out, (ids[k], items[k], start + shifts[k], end + shifts[k], equal, len(item)), strict=True):
                         out[name].append(v)
         yield pa.RecordBatch.from_arrays([pa.array(out[k], pa.int64() if k in ("doc_id", "item_id") else pa.int32())
@@ -207,9 +209,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                                     "doc_id long, words array<long>, pos array<int>, hash array<long>"), "hits")
     shift = (F.col("pos") - F.col("item_pos")).alias("shift")
     places = (hits.select("doc_id", F.explode(F.arrays_zip("pos", "hash")).alias("h")).select("doc_id", "h.pos", "h.hash")
-              .join(seeds, "hash").groupBy("doc_id", "item_id", shift).agg(F.min("item_pos").alias("anchor")))
+              .join(seeds, "hash").select("doc_id", "item_id", shift).distinct())
     found = (places.join(hits.select("doc_id", "words"), "doc_id").join(items, "item_id")
-             .select("doc_id", "item_id", "shift", "anchor", "words", "item_words")
+             .select("doc_id", "item_id", "shift", "words", "item_words")
              .mapInArrow(_verified, "doc_id long, item_id long, doc_start int, doc_end int, equal_words int, item_words int"))
     best = F.max(F.struct("equal_words", (-F.col("doc_start")).alias("first"), "doc_end", "item_words")).alias("b")
     return (found.groupBy("doc_id", "item_id").agg(best)

@@ -193,6 +193,31 @@ def test_decontamination_finds_substituted_passages_and_nothing_else(spark):
     assert (exact[203].doc_start, exact[203].doc_end, exact[203].equal_words, exact[203].item_words) == (60, 73, 13, 40)
 
 
+def _brute_overlap(doc, item, shift):
+    best = (0, 0, 0)
+    for a in range(len(item)):
+        for b in range(a + min(13, len(item)), len(item) + 1):
+            if 0 <= a + shift and b + shift <= len(doc):
+                same = [doc[k + shift] == item[k] for k in range(a, b)]
+                if same[0] and same[-1] and sum(same) >= 0.8 * len(same) and sum(same) > best[2]:
+                    best = (a, b, sum(same))
+    return best
+
+
+def test_passages_behind_a_changed_stretch_are_found(spark):
+    item, filler = _words(80, 1), _words(30, 2)
+    doc = filler + item[:10] + [f"c{k}" for k in range(20)] + item[30:] + filler
+    test = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    docs = [(1, " ".join(doc)), (2, " ".join(filler + item[:10] + filler))]
+    assert rows(decontaminate.contaminated(frame(spark, docs), test)) == [(1, 1, 60, 110, 50, 80)]
+    rng = random.Random(4)
+    for _ in range(400):
+        item, share = np.array([rng.randrange(9) for _ in range(rng.randrange(4, 40))]), rng.random()
+        doc = np.array([rng.randrange(9) for _ in range(3)] + [x if rng.random() < share else 9 for x in item.tolist()])
+        for shift in (3, rng.randrange(-3, 6)):
+            assert decontaminate.overlap(doc, item, shift) == _brute_overlap(doc.tolist(), item.tolist(), shift)
+
+
 def test_decontamination_awkward(spark, awkward, empty):
     test = spark.createDataFrame([(1, LONG), (2, None), (3, "same row")], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(awkward, test).collect()}

@@ -150,7 +150,8 @@ def _extract(batches):
                 base[r] = [{"kind": k, "start": char(a), "end": char(b)} for a, b, k in own]
                 for a, b, seed, kinds in [(a, b, k, [k]) for a, b, k in own] + [(a, b, None, k) for a, b, k in _candidates(raw, own)]:
                     found = contexts(raw, a, b)
-                    if found:
+                    # a candidate without a context is no edge of the graph, but may be an instance found elsewhere
+                    if found or seed is None:
                         slots[r].append({"start": char(a), "end": char(b), "seed": seed, "kinds": kinds,
                                          "instance": _code(raw[a:b].lower()), "patterns": found})
             yield pa.RecordBatch.from_arrays([batch.column("id").slice(at, n), batch.column("print").slice(at, n),
@@ -186,7 +187,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     start, then kind.  ``print`` is a hash of the text, so that rows that repeat
     an id keep their own spans.  An added span overlaps no base span, looks like
     an identifier of its kind (a string with @; 7 to 15 digits; 12 to 19 digits;
-    three dots or colons) and scores ``CONFIDENCE`` or more.
+    three dots or colons) and scores ``CONFIDENCE`` or more; it is added wherever
+    the same string occurs, also where the words around it make no pattern.
 
     Null and empty texts have no spans; null ids and repeated rows are kept;
     equal scores go to the first kind listed; other columns are ignored,

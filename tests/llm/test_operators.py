@@ -295,6 +295,18 @@ def test_contexts_find_unseen_identifiers(spark):
     assert masked[3]["id"] == "x" and masked[3].root == 2
 
 
+def test_accepted_identifiers_are_added_without_a_context(spark):
+    seeds = [(k, f"filler{k} text. Please call me at +1 (555) 010-{1000 + k} today about order {k}") for k in range(30)]
+    new = [(100, "Please call me at 555 0199 4421 today"), (101, "555 0199 4421 once more"), (102, "| 555 0199 4421 |"),
+           (103, "* 555 0199 4422 *"), (104, "555 0199 4421")]
+    docs = frame(spark, seeds + new)
+    found = pii.personal_data(docs)
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in found.collect()}
+    assert [got[k] for k in range(100, 105)] == [[("phone", 18, 31)], [("phone", 0, 13)], [("phone", 2, 15)], [], [("phone", 0, 13)]]
+    masked = {r.doc_id: r.text for r in pii.masked(docs, found).collect()}
+    assert masked[101] == "<PHONE> once more" and masked[102] == "| <PHONE> |" and masked[103] == new[3][1]
+
+
 def test_masking_keeps_awkward_rows(awkward):
     got = pii.masked(awkward, pii.personal_data(awkward))
     assert got.columns == awkward.columns

@@ -19,6 +19,12 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pawnshop.llm.near_dedup import near_duplicates
 
@@ -107,7 +113,21 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.index(order.shards(packed, key=2024))
 
 
+def op12_offset_preserving_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pawnshop.llm.sentence_pieces import Encoder
+
+    return Encoder(piece_model_path()).digests(table(spark, sf_dir, "documents"))
+
+
+def op13_path_ranked_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pawnshop.llm import conversation_repair as repair
+
+    rows = table(spark, sf_dir, "conversations")
+    return repair.report(repair.damaged(rows), rows.select("conv_id"))
+
+
 Q = {f.__name__: f for f in (op1_order_minhash, op2_spaced_seed_decontamination, op3_bootstrapped_pii,
                               op4_union_free_wrappers, op5_randomness_battery, op6_elias_fano_lm,
-                              op7_positive_unlabelled_quality, op8_hash_prefix_forest, op9_transducer_bpe, op10_feistel_shards)}
+                              op7_positive_unlabelled_quality, op8_hash_prefix_forest, op9_transducer_bpe, op10_feistel_shards,
+                              op12_offset_preserving_pieces, op13_path_ranked_repair)}
 SQL: dict[str, str] = {}

@@ -113,6 +113,37 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.index(order.shards(packed, key=2024))
 
 
+#: Labels are shifted where the id is divisible by the first number, anchors are rows whose id is divisible by the second.
+SHIFTED_LABELS, ANCHORS = 7, 100
+
+
+def op11_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pawnshop.llm import hard_negatives
+
+    label = F.col("label").cast("long")
+    shifted = F.when(F.col("vec_id") % SHIFTED_LABELS == 0, (label + 1) % 10).otherwise(label)
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return hard_negatives.mine(rows, F.col("id") % ANCHORS == 0)
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10"""
+
+
 def op12_offset_preserving_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pawnshop.llm.sentence_pieces import Encoder
 
@@ -129,5 +160,5 @@ def op13_path_ranked_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 Q = {f.__name__: f for f in (op1_order_minhash, op2_spaced_seed_decontamination, op3_bootstrapped_pii,
                               op4_union_free_wrappers, op5_randomness_battery, op6_elias_fano_lm,
                               op7_positive_unlabelled_quality, op8_hash_prefix_forest, op9_transducer_bpe, op10_feistel_shards,
-                              op12_offset_preserving_pieces, op13_path_ranked_repair)}
-SQL: dict[str, str] = {}
+                              op11_threshold_negatives, op12_offset_preserving_pieces, op13_path_ranked_repair)}
+SQL: dict[str, str] = {"op11_threshold_negatives": OP11_SQL}

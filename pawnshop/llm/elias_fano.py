@@ -90,7 +90,7 @@ class EliasFano:
         return high << np.uint64(self.low) | self.low_bits(i)
 
     def find(self, value: np.ndarray, lo: np.ndarray | int = 0, hi: np.ndarray | None = None) -> np.ndarray:
-        """Position in [lo, hi) of each value, or -1: a successor search that starts at the value's own high part."""
+        """First position in [lo, hi) of each value, or -1: a successor search that starts at the value's own high part."""
         out = np.full(len(value), -1, np.int64)
         if not self.n or not len(value):
             return out
@@ -107,15 +107,14 @@ class EliasFano:
         # within a high part the low parts are sorted: halve what lies in [lo, hi)
         a, b = np.maximum(first, lo[live]), np.minimum(after, hi[live])
         want = value[live] & self.mask
+        end = b.copy()
         go = np.flatnonzero(a < b)
-        live, a, b, want = live[go], a[go], b[go], want[go]
-        while len(live):
-            middle = (a + b) >> 1
-            own = self.low_bits(middle)
-            hit = own == want
-            out[live[hit]] = middle[hit]
-            below = own < want
-            a, b = np.where(below, middle + 1, a), np.where(below, b, middle)
-            go = (a < b) & ~hit
-            live, a, b, want = live[go], a[go], b[go], want[go]
+        while len(go):
+            middle = (a[go] + b[go]) >> 1
+            below = self.low_bits(middle) < want[go]
+            a[go], b[go] = np.where(below, middle + 1, a[go]), np.where(below, b[go], middle)
+            go = go[a[go] < b[go]]
+        hit = np.flatnonzero(a < end)
+        hit = hit[self.low_bits(a[hit]) == want[hit]]
+        out[live[hit]] = a[hit]
         return out

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pawnshop.llm.frames import settled
@@ -43,7 +44,7 @@ def usable(rows: DataFrame, id_col: str = "vec_id", label_col: str = "label", ve
 
 
 def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
-    flat = pa.compute.list_flatten(column)
+    flat = pc.list_flatten(column)
     flat = flat.combine_chunks() if isinstance(flat, pa.ChunkedArray) else flat
     return flat.to_numpy(zero_copy_only=False).astype(np.int64).reshape(rows, -1)
 

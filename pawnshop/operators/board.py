@@ -136,7 +136,11 @@ def board_aggregate(pieces: DataFrame, keys: list[str]) -> DataFrame:
         _shl(F.lit(1), F.col("rank")).alias("_rbit"),
         *([F.col("_reach")] if "_reach" in pieces.columns else []))
     aggs = _board_aggs() + (_reach_aggs() if "_reach" in pieces.columns else [])
-    agg = pre.groupBy(*keys).agg(*aggs)
+    return _shared(pre.groupBy(*keys).agg(*aggs))
+
+
+def _shared(agg: DataFrame) -> DataFrame:
+    """Per-file intermediates that the feature expressions share."""
     mid = [F.col("*")]
     for c in ("w", "b"):
         for f in range(8):
@@ -320,6 +324,39 @@ def board_features(pieces: DataFrame, keys: list[str], groups) -> DataFrame:
     return _select_features(board_aggregate(pieces, keys), keys, groups)
 
 
+def mask_features(boards: DataFrame, keys: list[str], groups) -> DataFrame:
+    """Features of boards given as one row each: ``white_pawns``/``black_pawns``
+    (a bit for each square, rank * 8 + file), ``white_king``/``black_king``
+    (squares) and ``material_white``/``material_black``.  Nothing is grouped or
+    shuffled; the moments come from whole counts."""
+    step = [*keys, F.lit(True).alias("_valid")]
+    for side, c in SIDES.items():
+        mask = F.col(f"{side}_pawns")
+        bit = lambda r, f: _shr(mask, r * 8 + f).bitwiseAND(F.lit(1).cast("bigint")).cast("int")  # noqa: B023, E731
+        step += [F.col(f"material_{side}").alias(f"_mat_{c}"), F.col(f"{side}_king").alias(f"_k_{c}")]
+        step += [_sum(_shl(bit(r, f), r) for r in range(8)).alias(f"_m_{c}{f}") for f in range(8)]
+        step += [F.bit_count(mask.bitwiseAND(_shl(F.lit(255).cast("bigint"), r * 8))).alias(f"_r_{c}{r}") for r in range(8)]
+    x = boards.select(*step)
+    counted = [F.col("*")]
+    for c in SIDES.values():
+        for axis, counts in (("file", [F.bit_count(f"_m_{c}{f}") for f in range(8)]), ("rank", [F.col(f"_r_{c}{r}") for r in range(8)])):
+            held = F.array(*counts)
+            counted.append(F.struct(
+                _sum(counts).alias("n"), _sum(n * i for i, n in enumerate(counts)).alias("s"), _sum(n * (i * i) for i, n in enumerate(counts)).alias("q"),
+                F.array_max(F.transform(held, lambda n, i: F.when(n > 0, i))).alias("hi"),
+                F.array_min(F.transform(held, lambda n, i: F.when(n > 0, i))).alias("lo")).alias(f"_t_{c}_{axis}"))
+    x = x.select(*counted)
+    moments = [F.col("*")]
+    for c in SIDES.values():
+        for axis in ("file", "rank"):
+            t = F.col(f"_t_{c}_{axis}")
+            some = t["n"] > 0
+            moments += [F.when(some, t["s"] / t["n"]).alias(f"_avg_{c}_{axis}"),
+                        F.when(some, F.sqrt(t["n"] * t["q"] - t["s"] * t["s"]) / t["n"]).alias(f"_std_{c}_{axis}"),
+                        F.when(some, t["hi"] - t["lo"]).alias(f"_span_{c}_{axis}")]
+    return _select_features(_shared(x.select(*moments)), keys, groups)
+
+
 def board_material(pieces, keys):
     """B2: material per side (P1 N3 B3 R5 Q9, king 0) and white - black."""
     return board_features(pieces, keys, ("material",))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from pawnshop.functions.scalar import binary_label
-from pawnshop.operators import moves as M
+from pawnshop.operators import movefold as M
+from pawnshop.operators.moves import DEFAULT_PHASES
 
 
-def enriched_games(games: DataFrame, key: str, text: str, winner: str, phases=M.DEFAULT_PHASES) -> DataFrame:
+def enriched_games(games: DataFrame, key: str, text: str, winner: str, phases=DEFAULT_PHASES) -> DataFrame:
     """One row per game and snapshot: the columns of ``games`` without the text,
     ``label_white_win``, ``total_moves`` and the position features.
 

@@ -33,12 +33,16 @@ SAN_PATTERN = (r"^(?:[NBRQK][a-h]?[1-8]?x?[a-h][1-8]|[a-h](?:x[a-h])?[1-8](?:=?[
 BACK_RANK = "RNBQKBNR"
 
 
-def _clean_text(col):
+def _clean_body(col):
+    """Text without comments, tag pairs and numeric annotations."""
     s = F.regexp_replace(col, r"\{[^}]*\}", " ")        # comments
     s = F.regexp_replace(s, r";[^\n]*", " ")             # rest-of-line comments
     s = F.regexp_replace(s, r"\[[^\]]*\]", " ")          # tag pairs
-    s = F.regexp_replace(s, r"\$[0-9]+", " ")            # numeric annotations
-    return F.regexp_replace(s, r"([()])", " $1 ")        # variations as own tokens
+    return F.regexp_replace(s, r"\$[0-9]+", " ")         # numeric annotations
+
+
+def _clean_text(col):
+    return F.regexp_replace(_clean_body(col), r"([()])", " $1 ")  # variations as own tokens
 
 
 def token_rows(df: DataFrame, key: str, text: str, context: bool = False, by: str | None = None) -> DataFrame:

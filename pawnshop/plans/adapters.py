@@ -154,6 +154,13 @@ _RESULT = "CASE lang WHEN 'en' THEN '1-0' WHEN 'de' THEN '0-1' WHEN 'fr' THEN '1
 _HEADER = "CASE WHEN source = 'src0' THEN '[Event \"' || source || '\"] ' ELSE '' END"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df``'s rows over all cores where it has fewer files than these: work within
+    rows is not shuffled later, and a file of one row group is read by one task."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def movetext(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(game_id, movetext): every word of a document becomes one SAN-shaped
     half-move, with move numbers, comments, variations, annotations, a result
@@ -161,7 +168,8 @@ def movetext(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     words = r"filter(split(text, '\\s+'), w -> w != '')"
     body = f"array_join(transform({words}, (w, i) -> {_token_expr('w', 'i')}), ' ')"
-    return table(spark, sf_dir, "documents").select(
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return docs.select(
         F.col("doc_id").alias("game_id"),
         F.expr(f"{_HEADER} || {body} || ' ' || {_RESULT}").alias("movetext"))
 

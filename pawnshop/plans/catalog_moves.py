@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pawnshop.operators import moves as M
+from pawnshop.operators import movefold as MF, moves as M
 from pawnshop.operators.reshape import expand_struct, phase_pivot
 from pawnshop.plans import adapters as ad
 from pawnshop.plans.common import R, rounded
@@ -51,7 +51,7 @@ MT = ad.with_ctes(ad.MOVETEXT_SQL, _TOKENS_SQL)
 @register("movetext_tokens", MT + """
 SELECT game_id, CAST(row_number() OVER (PARTITION BY game_id ORDER BY pos) AS INTEGER) AS ply, san FROM main""")
 def q_movetext_tokens(spark, d):
-    return M.movetext_tokens(_mt(spark, d), "game_id", "movetext")
+    return MF.movetext_tokens(_mt(spark, d), "game_id", "movetext")
 
 
 @register("total_moves", MT + """
@@ -59,7 +59,7 @@ SELECT m.game_id, CASE WHEN m.movetext IS NULL OR regexp_matches(m.movetext, '^\
   ELSE CAST(ceil(coalesce(c.n, 0) / 2) AS INTEGER) END AS total_moves
 FROM movetext m LEFT JOIN (SELECT game_id, count(*) AS n FROM main GROUP BY game_id) c USING (game_id)""")
 def q_total_moves(spark, d):
-    return M.total_moves(_mt(spark, d), "game_id", "movetext")
+    return MF.total_moves(_mt(spark, d), "game_id", "movetext")
 
 
 # generic as-of snapshots over an ordered event table (conversation turns)
@@ -154,7 +154,7 @@ SELECT game_id, CAST(ply AS INTEGER) AS ply,
     AS material_black
 FROM deltas""")
 def q_material_timeline(spark, d):
-    return M.material_timeline(_mt(spark, d), "game_id", "movetext")
+    return MF.material_timeline(_mt(spark, d), "game_id", "movetext")
 
 
 @register("king_square_at", CHESS + ",\nk AS (" + "\nUNION ALL ".join(
@@ -163,8 +163,7 @@ def q_material_timeline(spark, d):
 SELECT game_id, phase, color, CAST(sq % 8 AS INTEGER) AS file, CAST(sq // 8 AS INTEGER) AS rank
 FROM k WHERE sq IS NOT NULL""")
 def q_king_square_at(spark, d):
-    ev = M.resolved_events(_mt(spark, d), "game_id", "movetext")
-    return M.king_square_at(ev, "game_id")
+    return MF.king_squares(_mt(spark, d), "game_id", "movetext")
 
 
 @register("pawn_squares_at", CHESS + ",\ns AS (" + "\nUNION ALL ".join(
@@ -173,8 +172,7 @@ def q_king_square_at(spark, d):
     + """)
 SELECT game_id, phase, st.color AS color, file, rank FROM s WHERE st.etype = 'A' AND st.piece = 'P'""")
 def q_pawn_squares_at(spark, d):
-    ev = M.resolved_events(_mt(spark, d), "game_id", "movetext")
-    return M.pawn_squares_at(ev, "game_id")
+    return MF.pawn_squares(_mt(spark, d), "game_id", "movetext")
 
 
 def _game_features_sql() -> str:
@@ -213,14 +211,14 @@ GAME_FEATURES_SQL = _game_features_sql()
 
 @register("game_position_features", GAME_FEATURES_SQL + "\nSELECT * FROM long")
 def q_game_position_features(spark, d):
-    return rounded(M.game_position_features(_mt(spark, d), "game_id", "movetext"))
+    return rounded(MF.game_position_features(_mt(spark, d), "game_id", "movetext"))
 
 
 @register("phase_pivot", GAME_FEATURES_SQL + "\nSELECT game_id, " + ", ".join(
     f"max({n}) FILTER (WHERE phase = '{ph}') AS {pre}{n}" for ph, pre in PHASES.items() for n in FEATURE_KEYS)
     + " FROM long GROUP BY game_id")
 def q_phase_pivot(spark, d):
-    long = M.game_position_features(_mt(spark, d), "game_id", "movetext")
+    long = MF.game_position_features(_mt(spark, d), "game_id", "movetext")
     wide = phase_pivot(long, ["game_id"], "phase", FEATURE_KEYS, PHASES)
     return rounded(wide)
 
@@ -261,7 +259,7 @@ def q_pawn_effects_by_result(spark, d):
     from pawnshop.functions.scalar import binary_label
     from pawnshop.operators.profile import conditional_means
     games = ad.chess_games(spark, d)
-    feats = M.game_position_features(games, "game_id", "movetext", {"final": None})
+    feats = MF.game_position_features(games, "game_id", "movetext", {"final": None})
     lab = games.select("game_id", binary_label("Winner").alias("label_white_win"))
     return rounded(conditional_means(feats.join(lab, "game_id"), "label_white_win", PAWN_EFFECTS))
 

@@ -125,6 +125,19 @@ def logistic_phase(df: DataFrame, label: str, features: list[str], key: str, pha
     return _metrics_row(df.sparkSession, {**info, "train_rows": n}, _score(model, test, label, "logistic"), 0.5)
 
 
+def logistic_weights(df: DataFrame, label: str, features: list[str], key: str, seed: int = 42) -> DataFrame:
+    """(feature, weight) of the logistic model of ``logistic_phase`` on standardized features, the intercept as a
+    row of its own; no rows where there is too little to fit on."""
+    train = hash_split(prepared(df, label, features, key), key, seed=seed).where("split = 'train'")
+    spark = df.sparkSession
+    if train.select(label).distinct().count() < 2:
+        return spark.createDataFrame([], "feature string, weight double")
+    model = Pipeline(stages=_scaled(features) + [
+        LogisticRegression(featuresCol="features", labelCol=label, maxIter=100, regParam=0.1, elasticNetParam=0.0)]).fit(train)
+    top = spark.createDataFrame([("intercept", float(model.stages[-1].intercept))], "feature string, weight double")
+    return feature_weights(spark, model, features).unionByName(top)
+
+
 def _weighted_tree(df, label, features, key, phase, name, estimator, seed):
     """Shared flow of L5/L6: stratified 60/20/20 split, class weights from the
     training rows, threshold chosen on validation, metrics on test."""

@@ -27,7 +27,8 @@ def test_every_sql_has_a_query():
     assert set(s) <= set(q)
     rows_only = own(q) - own(s)
     assert rows_only == {"linear_phase", "logistic_phase", "forest_phase", "boosting_phase",
-                         "feature_weights", "permutation_importance", "metrics_table"}
+                         "feature_weights", "permutation_importance", "metrics_table",
+                         "linear_summary", "linear_weights", "logistic_weights"}
 
 
 def test_bench_prints_one_json_line():
@@ -48,4 +49,4 @@ def test_catalog_imports_without_spark():
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=ROOT)
     assert out.returncode == 0, out.stderr[-2000:]
     n_sql, n_q = map(int, out.stdout.split())
-    assert n_sql == 71 and n_q == 78
+    assert n_sql == 72 and n_q == 82

@@ -81,12 +81,18 @@ def _metrics_row(spark, info: dict, scored, threshold: float, with_regression: b
     return spark.createDataFrame([tuple(row.get(n) for n in names)], schema)
 
 
-def _guard(spark, info, n_train):
+def _rows_by_split(data: DataFrame) -> dict:
+    return {r["split"]: r["count"] for r in data.groupBy("split").count().collect()}
+
+
+def _guard(spark, info, n_train, n_test=None):
     """An error record instead of a failure when there is too little data,
     a warning when there are fewer than ``MIN_ROWS`` training rows."""
     if n_train < 2:
         return spark.createDataFrame([(*info.values(), f"only {n_train} training rows")],
                                      [*info.keys(), "error"])  # D6: typed error record
+    if n_test == 0:
+        return spark.createDataFrame([(*info.values(), "no test rows")], [*info.keys(), "error"])
     if n_train < MIN_ROWS:
         warnings.warn(f"{info}: fitted on {n_train} rows, fewer than {MIN_ROWS}", stacklevel=3)
     return None
@@ -99,8 +105,9 @@ def linear_phase(df: DataFrame, label: str, features: list[str], key: str, phase
     data = hash_split(prepared(df, label, features, key), key, seed=seed)
     train, test = data.where("split = 'train'"), data.where("split = 'test'")
     info = {"phase": phase, "model": "linear"}
-    n = train.count()
-    bad = _guard(df.sparkSession, info, n)
+    rows = _rows_by_split(data)
+    n = rows.get("train", 0)
+    bad = _guard(df.sparkSession, info, n, rows.get("test", 0))
     if bad is not None:
         return bad
     model = Pipeline(stages=_scaled(features) + [
@@ -115,8 +122,9 @@ def logistic_phase(df: DataFrame, label: str, features: list[str], key: str, pha
     data = hash_split(prepared(df, label, features, key), key, seed=seed)
     train, test = data.where("split = 'train'"), data.where("split = 'test'")
     info = {"phase": phase, "model": "logistic"}
-    n = train.count()
-    bad = _guard(df.sparkSession, info, n)
+    rows = _rows_by_split(data)
+    n = rows.get("train", 0)
+    bad = _guard(df.sparkSession, info, n, rows.get("test", 0))
     if bad is not None:
         return bad
     model = Pipeline(stages=_scaled(features) + [

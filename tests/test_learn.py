@@ -48,3 +48,11 @@ def test_feature_weights_and_guard(spark, table):
     assert {r.feature for r in top} == set(FEATS)
     empty = table.where("game_id < 0")
     assert L.logistic_phase(empty, "label", FEATS, "game_id").first().error.startswith("only 0")
+
+
+def test_an_empty_test_split_gives_a_record(spark, table):
+    from pawnshop.operators.sampling import hash_split
+    train_only = hash_split(table, "game_id", seed=42).where("split = 'train'").drop("split")
+    for fit in (L.linear_phase, L.logistic_phase):
+        r = fit(train_only, "label", FEATS, "game_id").first()
+        assert r.error == "no test rows" and r.model

@@ -24,7 +24,7 @@ def standardize(df: DataFrame, cols: list[str], keep: list[str] = (), prefix: st
 
 from pyspark.ml import Pipeline  # noqa: E402
 from pyspark.ml.classification import (  # noqa: E402
-    GBTClassifier, LogisticRegression, RandomForestClassifier,
+    LogisticRegression, RandomForestClassifier,
 )
 from pyspark.ml.feature import StandardScaler, VectorAssembler  # noqa: E402
 from pyspark.ml.functions import vector_to_array  # noqa: E402
@@ -147,14 +147,15 @@ def logistic_weights(df: DataFrame, label: str, features: list[str], key: str, s
 
 
 def _weighted_tree(df, label, features, key, phase, name, estimator, seed):
-    """Shared flow of L5/L6: stratified 60/20/20 split, class weights from the
+    """Flow of L5: stratified 60/20/20 split, class weights from the
     training rows, threshold chosen on validation, metrics on test."""
     data = stratified_split(prepared(df, label, features, key), label, key, seed=seed).checkpoint(eager=True)
     train = class_weights(data.where("split = 'train'"), label)
     val, test = data.where("split = 'validation'"), data.where("split = 'test'")
     info = {"phase": phase, "model": name}
-    n = train.count()
-    bad = _guard(df.sparkSession, info, n)
+    rows = _rows_by_split(data)
+    n = rows.get("train", 0)
+    bad = _guard(df.sparkSession, info, n, rows.get("test", 0))
     if bad is not None:
         return bad, None
     model = Pipeline(stages=[assembler(features), estimator]).fit(train)
@@ -173,11 +174,32 @@ def forest_phase(df: DataFrame, label: str, features: list[str], key: str, phase
 
 
 def boosting_phase(df: DataFrame, label: str, features: list[str], key: str, phase: str = "mid",
-                   rounds: int = 300, depth: int = 6, rate: float = 0.1, seed: int = 42) -> DataFrame:
-    """L6 (re-aimed): distributed gradient-boosted trees with class weights."""
-    est = GBTClassifier(featuresCol="features", labelCol=label, weightCol="class_weight",
-                        maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed)
-    return _weighted_tree(df, label, features, key, phase, "boosting", est, seed)[0]
+                   rounds: int = 300, depth: int = 6, rate: float = 0.1, seed: int = 42, patience: int = 15,
+                   folder: str | None = None) -> DataFrame:
+    """L6 (re-aimed): gradient-boosted trees with class weights, up to ``rounds`` of them; stops ``patience`` rounds
+    after the least validation loss and scores with the trees up to it.  With a ``folder`` of the caller's, a driver
+    that died is replaced by a new call, which goes on after the last finished round."""
+    from pawnshop.operators import boosting as B
+    from pawnshop.session import scratch_path
+
+    spark = df.sparkSession
+    data = stratified_split(prepared(df, label, features, key), label, key, seed=seed).checkpoint(eager=True)
+    info = {"phase": phase, "model": "boosting"}
+    rows = _rows_by_split(data)
+    n = rows.get("train", 0)
+    bad = _guard(spark, info, n, rows.get("test", 0))
+    if bad is not None:
+        return bad
+    folder = folder or scratch_path(spark, "boosting")
+    train = class_weights(data.where("split = 'train'"), label)
+    weighted = train.unionByName(data.where("split = 'validation'").withColumn("class_weight", F.lit(1.0)))
+    losses = B.boost(weighted, label, features, "class_weight", folder, rounds, depth, rate, patience=patience, seed=seed)
+    trees = B.boosted_trees(spark, folder, 1, B.best_round(losses))
+    scored = (B.with_margin(data, trees, features, depth, rate, "_margin")
+              .select("split", F.col(label).alias("label"), B.probability(F.col("_margin")).alias("prob1")))
+    best = ev.best_threshold(ev.threshold_scan(scored.where("split = 'validation'").drop("split"), "label", "prob1", THRESHOLDS)).first()
+    return _metrics_row(spark, {**info, "train_rows": n}, scored.where("split = 'test'").drop("split"),
+                        best["threshold"] if best else 0.5)
 
 
 def feature_weights(spark, model, features: list[str]) -> DataFrame:

@@ -64,8 +64,9 @@ def _score(model, df, label, kind):
     return pred.select(F.col(label).alias("label"), vector_to_array("probability")[1].alias("prob1"))
 
 
-def _metrics_row(spark, info: dict, scored, threshold: float, with_regression: bool = False):
-    """One result row: confusion metrics, exact AUC and (optionally) RMSE/R^2.
+def _metrics_row(spark, info: dict, scored, threshold: float, with_regression: bool = False, scan=None, top=None):
+    """One result row: confusion metrics, exact AUC and (optionally) RMSE/R^2, with the
+    scan of thresholds on validation and the heaviest features where there are any.
     Each part is a one-row aggregate; the final row is assembled on the driver
     (a handful of numbers, not data)."""
     row = dict(info)
@@ -78,7 +79,15 @@ def _metrics_row(spark, info: dict, scored, threshold: float, with_regression: b
               "fn long, accuracy double, precision double, recall double, f1 double, auc double, "
               "rmse double, r2 double")
     names = [c.split(" ")[0] for c in schema.split(", ")]
-    return spark.createDataFrame([tuple(row.get(n) for n in names)], schema)
+    lists = ", scan array<struct<threshold: double, precision: double, recall: double, f1: double>>, top_features array<struct<feature: string, weight: double>>"
+    scan = [(r["threshold"], r["precision"], r["recall"], r["f1"]) for r in scan] if scan is not None else None
+    top = [(r["feature"], r["weight"]) for r in top] if top is not None else None
+    return spark.createDataFrame([(*(row.get(n) for n in names), scan, top)], schema + lists)
+
+
+def _top(weights: DataFrame, k: int = 15) -> list:
+    """The k heaviest features, a list as short as k."""
+    return ev.top_k_abs(weights, "weight", "feature", k).collect()
 
 
 def _rows_by_split(data: DataFrame) -> dict:
@@ -113,7 +122,8 @@ def linear_phase(df: DataFrame, label: str, features: list[str], key: str, phase
     model = Pipeline(stages=_scaled(features) + [
         LinearRegression(featuresCol="features", labelCol=label, maxIter=50, regParam=0.1)]).fit(train)
     return _metrics_row(df.sparkSession, {**info, "train_rows": n},
-                        _score(model, test, label, "linear"), 0.5, with_regression=True)
+                        _score(model, test, label, "linear"), 0.5, with_regression=True,
+                        top=_top(feature_weights(df.sparkSession, model, features)))
 
 
 def logistic_phase(df: DataFrame, label: str, features: list[str], key: str, phase: str = "mid",
@@ -130,7 +140,8 @@ def logistic_phase(df: DataFrame, label: str, features: list[str], key: str, pha
     model = Pipeline(stages=_scaled(features) + [
         LogisticRegression(featuresCol="features", labelCol=label, maxIter=100, regParam=0.1,
                            elasticNetParam=0.0)]).fit(train)
-    return _metrics_row(df.sparkSession, {**info, "train_rows": n}, _score(model, test, label, "logistic"), 0.5)
+    return _metrics_row(df.sparkSession, {**info, "train_rows": n}, _score(model, test, label, "logistic"), 0.5,
+                        top=_top(feature_weights(df.sparkSession, model, features)))
 
 
 def logistic_weights(df: DataFrame, label: str, features: list[str], key: str, seed: int = 42) -> DataFrame:
@@ -160,9 +171,16 @@ def _weighted_tree(df, label, features, key, phase, name, estimator, seed):
         return bad, None
     model = Pipeline(stages=[assembler(features), estimator]).fit(train)
     scan = ev.threshold_scan(_score(model, val, label, "tree"), "label", "prob1", THRESHOLDS)
+    t, scan = _tuned(scan)
+    return _metrics_row(df.sparkSession, {**info, "train_rows": n}, _score(model, test, label, "tree"), t, scan=scan,
+                        top=_top(feature_weights(df.sparkSession, model, features))), model
+
+
+def _tuned(scan: DataFrame) -> tuple[float, list]:
+    """E5: the best threshold on validation (0.5 without validation rows) and the scan, a row per threshold."""
+    scan = scan.orderBy("threshold").checkpoint(eager=True)
     best = ev.best_threshold(scan).first()
-    t = best["threshold"] if best else 0.5
-    return _metrics_row(df.sparkSession, {**info, "train_rows": n}, _score(model, test, label, "tree"), t), model
+    return (best["threshold"] if best else 0.5), scan.collect()
 
 
 def forest_phase(df: DataFrame, label: str, features: list[str], key: str, phase: str = "mid",
@@ -179,7 +197,7 @@ def boosting_phase(df: DataFrame, label: str, features: list[str], key: str, pha
     """L6 (re-aimed): gradient-boosted trees with class weights, up to ``rounds`` of them; stops ``patience`` rounds
     after the least validation loss and scores with the trees up to it.  With a ``folder`` of the caller's, a driver
     that died is replaced by a new call, which goes on after the last finished round."""
-    from pawnshop.operators import boosting as B
+    from pawnshop.operators import boosting as B, trees as T
     from pawnshop.session import scratch_path
 
     spark = df.sparkSession
@@ -197,9 +215,9 @@ def boosting_phase(df: DataFrame, label: str, features: list[str], key: str, pha
     trees = B.boosted_trees(spark, folder, 1, B.best_round(losses))
     scored = (B.with_margin(data, trees, features, depth, rate, "_margin")
               .select("split", F.col(label).alias("label"), B.probability(F.col("_margin")).alias("prob1")))
-    best = ev.best_threshold(ev.threshold_scan(scored.where("split = 'validation'").drop("split"), "label", "prob1", THRESHOLDS)).first()
-    return _metrics_row(spark, {**info, "train_rows": n}, scored.where("split = 'test'").drop("split"),
-                        best["threshold"] if best else 0.5)
+    t, scan = _tuned(ev.threshold_scan(scored.where("split = 'validation'").drop("split"), "label", "prob1", THRESHOLDS))
+    return _metrics_row(spark, {**info, "train_rows": n}, scored.where("split = 'test'").drop("split"), t, scan=scan,
+                        top=_top(T.importances(trees, features)))
 
 
 def feature_weights(spark, model, features: list[str]) -> DataFrame:
@@ -229,64 +247,122 @@ def fit_counts(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame
     return split.groupBy(label, "split").agg(F.count(F.lit(1)).alias("n"))
 
 
-def permutation_importance(df: DataFrame, label: str, features: list[str], key: str, columns: list[str],
-                           repeats: int = 5, seed: int = 42, trees: int = 20, depth: int = 6) -> DataFrame:
-    """Mean F1 drop on validation when one column is permuted.
+def cyclic_donors(df: DataFrame, key: str, columns: list[str], repeats: int = 5, seed: int = 42) -> DataFrame:
+    """Each row ``repeats`` times with the values of another row: ``repeat`` and the array ``donor`` of ``columns``.
 
-    The permutation pairs the row at position p in key order with the value of
-    the row at position p in hash order (exact positions from the bucketed
-    ranking), then rescoring is one pass; every row of validation is used.
+    Rows stand in hash order once; in repeat r the row at position p of n takes
+    the values of position (p + 1 + floor(r (n - 1) / repeats)) mod n, so that
+    every repeat is a permutation without a fixed row, and no two are the same
+    while there are more rows than repeats.  A single row is its own donor.
     """
     from pawnshop.functions.scalar import hash_unit
     from pawnshop.operators.ranking import row_position
 
+    order = row_position(df.withColumn("_h", hash_unit(key, seed, "permute")), ["_h", key], name="_p", uniform=True).checkpoint(eager=True)
+    n, r = F.col("_p_n"), F.col("repeat")
+    shift = F.when(n > 1, 1 + F.expr(f"(repeat * (_p_n - 1)) div {int(repeats)}")).otherwise(F.lit(0))
+    wants = (order.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+             .withColumn("_from", F.pmod(F.col("_p") + shift, n)).drop("_p", "_p_n", "_h"))
+    gives = order.select(F.col("_p").alias("_from"), F.array(*[F.col(c).cast("double") for c in columns]).alias("donor"))
+    return wants.join(gives, "_from").drop("_from").withColumn("repeat", r.cast("int"))
+
+
+def permutation_importance(df: DataFrame, label: str, features: list[str], key: str, columns: list[str],
+                           repeats: int = 5, seed: int = 42, trees: int = 20, depth: int = 6) -> DataFrame:
+    """Mean F1 drop on validation when one column takes the values of other rows (``cyclic_donors``).
+
+    One ranking serves all repeats.  A row isn't multiplied by its columns: each
+    column has its own score expression over the row's vector with that one value
+    changed, and one aggregate counts for all columns.  Without training or
+    validation rows there is nothing to measure: no rows (D6).
+    """
+    from pyspark.ml.functions import array_to_vector
+
+    spark, out = df.sparkSession, "feature string, importance double"
     est = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="class_weight",
                                  numTrees=trees, maxDepth=depth, seed=seed)
     data = stratified_split(prepared(df, label, features, key), label, key, seed=seed).checkpoint(eager=True)
+    rows = _rows_by_split(data)
+    if rows.get("train", 0) < 2 or not rows.get("validation", 0):
+        warnings.warn(f"permutation importance: {rows} rows are too few", stacklevel=2)
+        return spark.createDataFrame([], out)
     train = class_weights(data.where("split = 'train'"), label)
     val = data.where("split = 'validation'").drop("split")
-    model = Pipeline(stages=[assembler(features), est]).fit(train)
-
-    def f1_of(frame):
-        return ev.confusion_metrics(_score(model, frame, label, "tree"), "label", score="prob1", threshold=0.5)
-
-    base_f1 = f1_of(val).first()["f1"]
-    by_key = row_position(val, [key], name="_p").checkpoint(eager=True)
-    rows = None
-    for r in range(repeats):
-        h = val.select(key, *columns).withColumn("_h", hash_unit(key, seed + r, "permute"))
-        donor = row_position(h, ["_h", key], name="_p", uniform=True).select("_p", F.struct(*columns).alias("_v"))
-        both = by_key.join(donor, "_p").drop("_p_n")
-        # one row carries every column's donor value; each column is exchanged in turn
-        swapped = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), *[
-            (F.col(f"_v.{x}") if x == c else F.col(x)).alias(x) for x in features]) for c in columns])).alias("_s")
-        wide = both.select(label, swapped).select(label, "_s.*").withColumn("repeat", F.lit(r))
-        scored = model.transform(wide).select("feature", "repeat", F.col(label).alias("label"),
-                                              (vector_to_array("probability")[1] >= 0.5).alias("_yes"))
-        rows = scored if rows is None else rows.unionByName(scored)
-    y = F.col("label")
-    counts = rows.groupBy("feature", "repeat").agg(
-        F.count_if((y == 1) & F.col("_yes")).alias("tp"), F.count_if((y == 0) & F.col("_yes")).alias("fp"),
-        F.count_if((y == 1) & ~F.col("_yes")).alias("fn"))
-    f1 = F.when(2 * F.col("tp") + F.col("fp") + F.col("fn") > 0,
-                2 * F.col("tp") / (2 * F.col("tp") + F.col("fp") + F.col("fn"))).otherwise(F.lit(0.0))
-    return (counts.select("feature", f1.alias("f1")).groupBy("feature")
-                  .agg(F.avg(F.lit(base_f1) - F.col("f1")).alias("importance")))
+    forest = Pipeline(stages=[assembler(features), est]).fit(train).stages[-1]
+
+    def scored(frame, of, name):
+        to = {forest.featuresCol: of, forest.probabilityCol: name, forest.rawPredictionCol: "", forest.predictionCol: ""}
+        return forest.copy(to).transform(frame)
+
+    both = cyclic_donors(val, key, columns, repeats, seed).withColumn("_x", F.array(*[F.col(c).cast("double") for c in features]))
+    both = both.select(F.col(label).alias("_y"), "repeat", "donor", "_x", array_to_vector("_x").alias("_v"))
+    both = scored(both, "_v", "_p")
+
+    def changed(i, c):
+        return array_to_vector(F.transform("_x", lambda v, j: F.when(j == features.index(c), F.get("donor", F.lit(i))).otherwise(v)))
+
+    for i, c in enumerate(columns):
+        both = scored(both.withColumn(f"_v{i}", changed(i, c)), f"_v{i}", f"_p{i}").drop(f"_v{i}")
+    names = ["_p", *[f"_p{i}" for i in range(len(columns))]]
+    y = F.col("_y") == 1
+    yes = both.select(y.alias("_y"), "repeat", *[(vector_to_array(p)[1] >= 0.5).alias(p) for p in names])
+    # F1 = 2 tp / (predicted + positives)
+    counts = yes.groupBy("repeat").agg(F.count_if("_y").alias("_pos"), *[F.struct(
+        F.count_if(F.col("_y") & F.col(p)).alias("tp"), F.count_if(F.col(p)).alias("all")).alias(p) for p in names])
+    f1 = lambda p: F.when(p["all"] + F.col("_pos") > 0, 2 * p["tp"] / (p["all"] + F.col("_pos"))).otherwise(F.lit(0.0))
+    drops = F.array(*[F.struct(F.lit(c).alias("feature"), (f1(F.col("_p")) - f1(F.col(f"_p{i}"))).alias("drop")) for i, c in enumerate(columns)])
+    return (counts.select(F.explode(drops).alias("d")).groupBy(F.col("d.feature").alias("feature"))
+            .agg(F.avg("d.drop").alias("importance")))
 
 
 def fit_all_phases(long: DataFrame, label: str, features: list[str], key: str, phase_col: str = "phase",
-                   phases=("open", "mid", "final"), models=("linear",)) -> DataFrame:
+                   phases=("open", "mid", "final"), models=("linear",), parallelism: int = 3) -> DataFrame:
     """The same fits for every phase of a long (key, phase, features, label)
     table; one result row per phase x model.  Checkpoint ``long`` first when it
-    is expensive: each fit reads it once per phase."""
+    is expensive: each fit reads it once per phase.  The fits don't depend on
+    each other: ``parallelism`` of them submit their jobs at a time, as Spark's
+    own cross-validator does."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
+
     fits = {"linear": linear_phase, "logistic": logistic_phase, "forest": forest_phase,
             "boosting": boosting_phase}
-    results = []
-    for ph in phases:
-        part = long.where(F.col(phase_col) == ph).drop(phase_col)
-        for m in models:
-            results.append(fits[m](part, label, features, key, ph))
-    return metrics_table(results)
+    spark = long.sparkSession
+
+    @inheritable_thread_target(spark)
+    def fit(job):
+        phase, model = job
+        return fits[model](long.where(F.col(phase_col) == phase).drop(phase_col), label, features, key, phase)
+
+    # the long fits first
+    order = sorted([(p, m) for p in phases for m in models], key=lambda job: job[1] != "boosting")
+    with ThreadPool(min(parallelism, len(order))) as pool:
+        return metrics_table(pool.map(fit, order, chunksize=1))
+
+
+#: Name of each model family's list in the report.
+REPORT_LISTS = {"linear": "linear_regression", "logistic": "logistic_regression", "boosting": "hist_gradient_boosting",
+                "forest": "random_forest"}
+
+
+def metrics_report(table: DataFrame, dataset_rows: int) -> DataFrame:
+    """The fit results as one record: when it was made, rows of the data set, and a list of results per model
+    family.  As many entries as fits; a family without fits has an empty list."""
+    rest = F.struct(*[c for c in table.columns if c != "model"])
+    lists = [F.sort_array(F.collect_list(F.when(F.col("model") == m, rest))).alias(name) for m, name in REPORT_LISTS.items()]
+    return table.agg(F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("generated_at"),
+                     F.lit(dataset_rows).cast("long").alias("dataset_rows"), *lists)
+
+
+def report_rows(report: DataFrame) -> DataFrame:
+    """The results of a report as a table again, a row per phase and model."""
+    parts = [report.select("generated_at", "dataset_rows", F.lit(m).alias("model"), F.explode(name).alias("_r"))
+             for m, name in REPORT_LISTS.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("generated_at", "dataset_rows", "model", "_r.*")
 
 
 def metrics_table(results: list[DataFrame]) -> DataFrame:

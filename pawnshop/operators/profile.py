@@ -105,18 +105,36 @@ def entity_profile(df: DataFrame, entity: str, rating: str, category: str,
     without a complete row are dropped (inner-join semantics), and an entity
     with none won gets 0 wins.
     """
-    g = df.where(F.col(entity).isNotNull()).select(
-        F.col(entity).alias("Player"), F.col(category).alias("_cat"),
-        F.col(rating).alias("_elo"),
-        (F.col(rating).isNotNull() & F.col(category).isNotNull()).alias("_ok"),
-        outcome_flag(outcome, win_value).alias("_win"))
-    pairs = g.groupBy("Player", "_cat").agg(
-        F.count_if("_ok").alias("_c"),
-        F.sum(F.when(F.col("_ok"), F.col("_elo"))).alias("_e"),
-        F.sum("_win").alias("_w"))
-    per = pairs.groupBy("Player").agg(
-        F.sum("_c").alias("_n"), F.sum("_e").alias("_e"), F.sum("_w").alias("_w"),
-        F.sum(F.when(F.col("_c") > 0, F.col("_c") * F.log2(F.col("_c")))).alias("_s"))
+    return profile_from_state(profile_state(df, entity, rating, category, outcome, win_value))
+
+
+def profile_state(df: DataFrame, entity: str, rating: str, category: str, outcome: str, win_value: str = "White") -> DataFrame:
+    """A10/A11/J3/J4 as a state that batches can be added to: counts and sums per (entity, category).
+
+    A row of a state: player, opening, complete games, their rating sum (null
+    without one) and all wins.  Sums of whole ratings are exact, so a merged
+    state equals the state of all rows.
+    """
+    return df.where(F.col(entity).isNotNull()).groupBy(F.col(entity).alias("Player"), F.col(category).alias("Opening")).agg(
+        F.count_if(F.col(rating).isNotNull() & F.col(category).isNotNull()).alias("games"),
+        F.sum(F.when(F.col(category).isNotNull(), F.col(rating))).alias("rating_sum"),
+        F.sum(outcome_flag(outcome, win_value)).alias("wins"))
+
+
+def merge_states(*states: DataFrame) -> DataFrame:
+    """The state of the rows of all ``states``; null openings stay a key of their own."""
+    whole = states[0]
+    for s in states[1:]:
+        whole = whole.unionByName(s)
+    return whole.groupBy("Player", "Opening").agg(
+        F.sum("games").alias("games"), F.sum("rating_sum").alias("rating_sum"), F.sum("wins").alias("wins"))
+
+
+def profile_from_state(state: DataFrame) -> DataFrame:
+    """``entity_profile`` read from a state: one pass over players' openings, none over games."""
+    per = state.groupBy("Player").agg(
+        F.sum("games").alias("_n"), F.sum("rating_sum").alias("_e"), F.sum("wins").alias("_w"),
+        F.sum(F.when(F.col("games") > 0, F.col("games") * F.log2(F.col("games")))).alias("_s"))
     return per.where(F.col("_n") > 0).select(
         "Player",
         (F.col("_e") / F.col("_n")).alias("AvgWhiteElo"),

@@ -232,6 +232,14 @@ def q_expand_struct(spark, d):
     return rounded(expand_struct(g, "r", "rating_"))
 
 
+@register("expand_struct_plain", ad.with_ctes(ad.GAMES_SQL) + f"""
+SELECT game_id, {R('WhiteElo')} AS WhiteElo, {R('BlackElo')} AS BlackElo FROM games""")
+def q_expand_struct_plain(spark, d):
+    """A struct's fields under their own names."""
+    g = ad.games(spark, d).select("game_id", F.struct("WhiteElo", "BlackElo").alias("r"))
+    return rounded(expand_struct(g, "r"))
+
+
 @register("standardize", ad.with_ctes(ad.GAMES_SQL) + f""",
 st AS (SELECT avg(WhiteElo) AS mw, stddev_samp(WhiteElo) AS sw, avg(BlackElo) AS mb, stddev_samp(BlackElo) AS sb
        FROM games WHERE WhiteElo IS NOT NULL AND BlackElo IS NOT NULL)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pawnshop.functions.scalar import binary_label, outcome_flag, safe_cast, text_quality
+from pawnshop.functions.scalar import binary_label, hash_unit, outcome_flag, safe_cast, text_quality
 from pawnshop.operators import evaluate as ev, profile as pr, sampling as sa
 from pawnshop.plans import adapters as ad
 from pawnshop.plans.common import R, rounded
 from pawnshop.schema import QUARTILE_LABELS
+from pawnshop.session import scratch_path
+from pawnshop.sources import read_parquet, write_parquet
 
 G = ad.with_ctes(ad.GAMES_SQL)
 S = ad.with_ctes(ad.SCORES_SQL)
@@ -117,6 +119,20 @@ def q_entity_profile(spark, d):
     return rounded(_profile(spark, d))
 
 
+@register("entity_profile_merged", PROFILE_SQL + f"""
+SELECT Player, {R('AvgWhiteElo')} AS AvgWhiteElo, GamesAsWhite, {R('ShannonEntropy')} AS ShannonEntropy,
+       WinsAsWhite FROM profile""")
+def q_entity_profile_merged(spark, d):
+    """J3/J4/A10/A11 kept up to date: a written state takes in a second batch; the profile of all games is read from it."""
+    columns = ("WhiteName", "WhiteElo", "Opening", "Winner")
+    games = _games(spark, d)
+    first = hash_unit("game_id", 42, "batch") < 0.5
+    kept, path = scratch_path(spark, "profile"), scratch_path(spark, "profile")
+    write_parquet(pr.profile_state(games.where(first), *columns), kept)
+    write_parquet(pr.merge_states(read_parquet(spark, kept), pr.profile_state(games.where(~first), *columns)), path)
+    return rounded(pr.profile_from_state(read_parquet(spark, path)))
+
+
 # ----------------------------------------------------------------- group 3
 
 @register("binary_label", G + """

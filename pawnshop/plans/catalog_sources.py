@@ -72,6 +72,31 @@ def q_read_games(spark, d):
     return _games_back(df)
 
 
+_TYPED = ["WhiteElo", "BlackElo", "WhiteName", "BlackName", "Winner", "Day", "Month", "Year", "InitialTime", "Increment", "Number_of_Moves"]
+_TYPED_OUT = ("SELECT game_id, " + ", ".join(f"{R(c)} AS {c}" if c.endswith("Elo") else c for c in _TYPED) + " FROM games")
+
+
+def _typed_back(df):
+    return rounded(df.select("game_id", *_TYPED))
+
+
+@register("read_games_typed", G + "\n" + _TYPED_OUT)
+def q_read_games_typed(spark, d):
+    """Typed columns by the declared schema, files chosen by a glob."""
+    from pyspark.sql import types as T
+    path = _games_csv(spark, d, header=True, extra_col=False)
+    return _typed_back(S.read_games(spark, path + "/part-*.csv", header=True, extra_fields=[T.StructField("game_id", T.LongType())]))
+
+
+@register("read_games_file", G + "\n" + _TYPED_OUT)
+def q_read_games_file(spark, d):
+    """The same read from one file, which Spark still reads by several tasks."""
+    from pyspark.sql import types as T
+    path = _games_csv(spark, d, header=True, files=1, extra_col=False)
+    file = spark.read.text(path).select(F.col("_metadata.file_path")).first()[0]
+    return _typed_back(S.read_games(spark, file, header=True, extra_fields=[T.StructField("game_id", T.LongType())]))
+
+
 def _docs_csv(spark, d, files: int = 2) -> str:
     out = scratch_path(spark, "docs-csv")
     (ad.table(spark, d, "documents").orderBy("doc_id").select("text", F.col("doc_id").cast("string"))

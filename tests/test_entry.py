@@ -49,4 +49,4 @@ def test_catalog_imports_without_spark():
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=ROOT)
     assert out.returncode == 0, out.stderr[-2000:]
     n_sql, n_q = map(int, out.stdout.split())
-    assert n_sql == 72 and n_q == 82
+    assert n_sql == 76 and n_q == 86

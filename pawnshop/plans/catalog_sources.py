@@ -142,6 +142,26 @@ def q_align_by_key(spark, d):
     return S.align_by_key(g, m, "game_id").select("game_id", "Winner", F.length("movetext").alias("n_chars"))
 
 
+BUCKETS = 64
+
+
+def _bucketed(spark, df, what: str) -> str:
+    """Written under a fresh name and place; returns the name."""
+    path = scratch_path(spark, what)
+    name = "pawnshop_" + path.rpartition("/")[2].replace("-", "_")
+    S.write_bucketed(df, name, ["game_id"], BUCKETS, path)
+    return name
+
+
+@register("align_bucketed", ad.with_ctes(ad.GAMES_SQL, ad.MOVETEXT_SQL) + """
+SELECT g.game_id, g.Winner, CAST(length(m.movetext) AS INTEGER) AS n_chars FROM games g JOIN movetext m ON g.game_id = m.game_id""")
+def q_align_bucketed(spark, d):
+    """Both tables bucketed and sorted by the game once; the alignment then shuffles nothing."""
+    games = _bucketed(spark, ad.games(spark, d).select("game_id", "Winner"), "games")
+    moves = _bucketed(spark, ad.movetext(spark, d), "moves")
+    return S.align_bucketed(spark, games, moves, "game_id").select("game_id", "Winner", F.length("movetext").alias("n_chars"))
+
+
 @register("alignment_report", ad.with_ctes(ad.GAMES_SQL, ad.MOVETEXT_SQL) + """
 SELECT count(*) FILTER (WHERE g.game_id IS NOT NULL AND m.game_id IS NOT NULL) AS matched,
        count(*) FILTER (WHERE m.game_id IS NULL) AS left_only,

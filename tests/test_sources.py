@@ -112,3 +112,36 @@ def test_multiline_record_longer_than_many_splits_and_empty_files(spark, tmp_pat
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == ["first", "line\n" * 500 + "end", "last"]
+
+
+def test_bucketed_tables_align_and_pivot_without_an_exchange(spark):
+    from pawnshop import sources as S
+    from pawnshop.operators.reshape import phase_pivot
+    from pawnshop.session import scratch_path
+
+    n = F.col("id")
+    left = spark.range(500).select(n.alias("k"), (n * 2).alias("a"))
+    right = spark.range(250, 700).select(n.alias("k"), (n * 3).alias("b")).unionByName(
+        spark.createDataFrame([(None, 1), (300, -1)], "k long, b long"))
+    phases = left.select("k", F.explode(F.array(F.lit("open"), F.lit("final"))).alias("phase"), F.col("a").alias("f"))
+    names = []
+    for df in (left, right, phases):
+        path = scratch_path(spark, "bucketed")
+        names.append("t_" + path.rpartition("-")[2])
+        S.write_bucketed(df, names[-1], ["k"], 7, path)
+        assert spark.read.parquet(path).select(F.col("_metadata.file_path")).distinct().count() <= 7
+
+    def plan_after(df):
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    for how, rows in (("inner", 251), ("full", 702)):
+        got = S.align_bucketed(spark, names[0], names[1], "k", how)
+        want = S.align_by_key(left, right, "k", how=how)
+        assert got.count() == rows and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert "Exchange" not in plan_after(S.align_bucketed(spark, names[0], names[1], "k"))
+    wide = phase_pivot(spark.table(names[2]), ["k"], "phase", ["f"], {"open": "o_", "final": "z_"})
+    assert "Exchange" not in plan_after(wide)
+    assert wide.where("o_f = 2 * k and z_f = 2 * k").count() == 500
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")

@@ -241,6 +241,27 @@ def fit_forest_with_weights(df, label, features, key, phase="mid", trees=60, dep
     return ev.top_k_abs(feature_weights(df.sparkSession, model, features), "weight", "feature", k)
 
 
+def forest_table(df: DataFrame, label: str, features: list[str], key: str, phase: str = "mid",
+                 trees: int = 60, depth: int = 8, seed: int = 42) -> DataFrame:
+    """The nodes of the fitted forest as rows (``trees.nodes_of``) with the features' names; ``trees`` scores and
+    weighs with them.  No rows where there is too little to fit on."""
+    from pawnshop.operators.trees import nodes_of
+    est = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="class_weight",
+                                 numTrees=trees, maxDepth=depth, seed=seed)
+    _, model = _weighted_tree(df, label, features, key, phase, "forest", est, seed)
+    if model is None:
+        return df.sparkSession.createDataFrame([], "tree int, node int, feature string, threshold double, left int, right int, leaf double")
+    names = F.get(F.array(*[F.lit(c) for c in features]), F.col("feature"))
+    return (nodes_of(model.stages[-1]).withColumn("feature", F.when(F.col("left") >= 0, names))
+            .select("tree", "node", "feature", "threshold", "left", "right", "leaf"))
+
+
+def threshold_choices(fit: DataFrame) -> DataFrame:
+    """E5: the validation scan behind a fit's threshold, a row per threshold; ``chosen`` marks the one that was taken."""
+    return fit.select("phase", "model", "threshold", F.explode("scan").alias("_s")).select(
+        "phase", "model", "_s.*", (F.col("_s.threshold") == F.col("threshold")).alias("chosen"))
+
+
 def fit_counts(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame:
     """Rows per class in each part of the split that the tree models fit, tune and test on."""
     split = stratified_split(df.where(F.col(label).isin(0, 1)), label, key, seed=seed)

@@ -32,6 +32,34 @@ def distinct_values(df: DataFrame, col: str, trim: bool = True) -> DataFrame:
     return df.select(c.alias(col)).distinct()
 
 
+def heavy_hitters(df: DataFrame, col: str, k: int = 20, tracked: int = 4096, buckets: int = 4096) -> DataFrame:
+    """A2/A3 for columns of very many values: the exact top k (``top_k_categories``) without counting every value.
+
+    A mergeable sketch of ``tracked`` counters names up to 4 k candidates.  One pass
+    then counts these exactly and all other rows by hash bucket, at most
+    ``4 k + buckets + 1`` groups a task.  A value that is no candidate has at most its bucket's rows,
+    so a bucket below the k-th count is proven to hold none of the top k; only
+    values of the buckets that prove nothing are counted one by one.  Null is a
+    value of its own, ties go to the smaller value, nulls first.  The sketch
+    decides only how much is left to count, never the result.
+    """
+    k, tracked = int(k), max(int(tracked), int(k))
+    found = df.agg(F.expr(f"approx_top_k(`{col}`, {min(4 * k, tracked)}, {tracked})").alias("top")).first()["top"] or []
+    candidates = [r["item"] for r in found if r["item"] is not None]
+    known = F.col(col).isNull() | F.col(col).isin(candidates)
+    bucket = F.pmod(F.xxhash64(col), F.lit(int(buckets)))
+    counts = (df.groupBy(F.when(known, F.col(col)).alias(col), F.when(~known, bucket).alias("_bucket"))
+                .agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True))
+    exact = counts.where("_bucket IS NULL").select(col, "n")
+    order = [F.desc("n"), F.asc_nulls_first(col)]
+    least = exact.orderBy(*order).limit(k).agg(F.when(F.count(F.lit(1)) == k, F.min("n")).otherwise(F.lit(0)).alias("n")).first()["n"]
+    open_buckets = [r["_bucket"] for r in counts.where(F.col("_bucket").isNotNull() & (F.col("n") >= least)).select("_bucket").collect()]
+    if open_buckets:
+        rest = df.where(~known & bucket.isin(open_buckets)).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+        exact = exact.unionByName(rest)
+    return exact.orderBy(*order).limit(k)
+
+
 def filtered_count(df: DataFrame, col: str, value, name: str = "n") -> DataFrame:
     """Rows where col == value (case-sensitive), as a one-row table."""
     return df.where(F.col(col) == F.lit(value)).agg(F.count(F.lit(1)).alias(name))

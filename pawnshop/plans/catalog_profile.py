@@ -9,7 +9,7 @@ from pawnshop.operators import evaluate as ev, profile as pr, sampling as sa
 from pawnshop.plans import adapters as ad
 from pawnshop.plans.common import R, rounded
 from pawnshop.schema import QUARTILE_LABELS
-from pawnshop.session import scratch_path
+from pawnshop.session import checkpoint_dir, scratch_path
 from pawnshop.sources import read_parquet, write_parquet
 
 G = ad.with_ctes(ad.GAMES_SQL)
@@ -51,6 +51,15 @@ def q_top_k(spark, d):
     return pr.top_k_categories(_games(spark, d), "Opening", 20)
 
 
+@register("heavy_hitters", G + """
+SELECT WhiteName, count(*) AS n FROM games GROUP BY WhiteName
+ORDER BY n DESC, WhiteName ASC NULLS FIRST LIMIT 20""")
+def q_heavy_hitters(spark, d):
+    """A2/A3: the players with most games, though only candidates and open buckets are counted by name."""
+    checkpoint_dir(spark)
+    return pr.heavy_hitters(_games(spark, d), "WhiteName", 20)
+
+
 @register("distinct_values", G + "\nSELECT DISTINCT trim(TimeControl) AS TimeControl FROM games")
 def q_distinct(spark, d):
     return pr.distinct_values(_games(spark, d), "TimeControl")

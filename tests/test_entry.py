@@ -28,7 +28,7 @@ def test_every_sql_has_a_query():
     rows_only = own(q) - own(s)
     assert rows_only == {"linear_phase", "logistic_phase", "forest_phase", "boosting_phase",
                          "feature_weights", "permutation_importance", "metrics_table",
-                         "linear_summary", "linear_weights", "logistic_weights"}
+                         "linear_summary", "linear_weights", "logistic_weights", "forest_table", "threshold_choices"}
 
 
 def test_bench_prints_one_json_line():
@@ -49,4 +49,4 @@ def test_catalog_imports_without_spark():
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=ROOT)
     assert out.returncode == 0, out.stderr[-2000:]
     n_sql, n_q = map(int, out.stdout.split())
-    assert n_sql == 76 and n_q == 86
+    assert n_sql == 78 and n_q == 90

@@ -129,3 +129,16 @@ def test_report_keeps_scans_features_and_counts(spark, table, tmp_path):
     assert f.threshold == max(f.scan, key=lambda s: (s.f1, -s.threshold)).threshold
     assert {t.feature for t in f.top_features} == set(FEATS) and sum(t.weight for t in f.top_features) == pytest.approx(1)
     assert L.report_rows(back).count() == 5
+
+
+def test_forest_table_and_threshold_choices(spark, table):
+    nodes = L.forest_table(table, "label", FEATS, "game_id", trees=3, depth=3).collect()
+    assert {r.tree for r in nodes} == {0, 1, 2}
+    for r in nodes:
+        inner = r.left >= 0
+        assert (r.feature in FEATS) == inner == (r.threshold is not None) == (r.leaf is None)
+    assert L.forest_table(table.where("game_id < 0"), "label", FEATS, "game_id").count() == 0
+    got = L.threshold_choices(L.forest_phase(table, "label", FEATS, "game_id", trees=3, depth=3)).collect()
+    assert [r.chosen for r in got].count(True) == 1
+    best = max(got, key=lambda r: (r.f1, -r.threshold))
+    assert best.chosen

@@ -21,10 +21,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one of the smallest id; a row without an id stays."""
+    """One document of each near-duplicate group, the one of the smallest id; a row without an id stays.
+
+    Where that id occurs with several texts, each different text stays once."""
     classes = near_dedup.near_duplicates(docs.select("doc_id", "text"))
     kept = settled(classes.filter("doc_id = class_id").select("doc_id").distinct(), "kept")
-    one = docs.join(kept, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+    one = docs.join(kept, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
     return one.unionByName(docs.filter("doc_id is null"))
 
 

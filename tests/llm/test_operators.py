@@ -632,3 +632,12 @@ def test_pipeline_stages_keep_awkward_rows(spark):
         want = sorted({str(d) for d in want if d is not None}) + ["None"] * 2 if name == "near_duplicates" else sorted(map(str, want))
         assert sorted(ids) == sorted(want), name
         assert stage(spark, df.limit(0), SF).count() == 0
+
+
+def test_pipeline_keeps_every_text_of_a_repeated_id(spark):
+    import corpus_pipeline as cp
+
+    one, two = ("alpha beta gamma delta epsilon zeta eta theta iota kappa", "red orange yellow green blue indigo violet black white grey")
+    docs = spark.createDataFrame([(1, one), (1, two), (1, one), (2, two), (3, None), (3, None)], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in cp.keep_one_of_each(spark, docs, "unused").collect()), key=str)
+    assert got == [(1, one), (1, two), (3, None)]

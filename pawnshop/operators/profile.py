@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pawnshop.functions.scalar import outcome_flag, safe_cast, hash_unit
 from pawnshop.operators.ranking import exact_quantiles
+from pawnshop.operators.selection import EXACT, inlined, selected_quantiles
 
 
 # --------------------------------------------------------------------------- A1-A5
@@ -194,13 +195,16 @@ def conditional_means(df: DataFrame, label: str | list[str], cols: list[str]) ->
 def quantile_bins(df: DataFrame, col: str, labels: list[str], name: str = "bin") -> DataFrame:
     """Equal-frequency bins, right-closed, lowest edge included.
 
-    Edges are exact quantiles computed distributedly; the handful of edge
-    values is then inlined as literals.
+    Edges are exact quantiles, found by counting where a double holds the
+    values; the handful of edges is then inlined as literals.
     """
     k = len(labels)
     probs = [i / k for i in range(k + 1)]
-    edges = exact_quantiles(df, col, probs).first()
-    if edges is None or edges[0] is None:
+    if isinstance(df.schema[col].dataType, EXACT):
+        edges = next(iter(selected_quantiles(df, col, probs)), None)
+    else:
+        edges = exact_quantiles(df, col, probs).first()
+    if edges is None or edges["q0"] is None:
         return df.withColumn(name, F.lit(None).cast("string"))
     e = [edges[f"q{i}"] for i in range(k + 1)]
     expr = F.when(F.col(col).isNull(), F.lit(None).cast("string"))
@@ -215,8 +219,13 @@ def bin_summary(df: DataFrame, bin_col: str, value: str) -> DataFrame:
 
     Whiskers are the most extreme values within 1.5 IQR of the box.
     """
-    q = exact_quantiles(df, value, [0.25, 0.5, 0.75], [bin_col]).select(
-        bin_col, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
+    probs = [0.25, 0.5, 0.75]
+    if isinstance(df.schema[value].dataType, EXACT):
+        kind = df.schema[bin_col].dataType.simpleString()
+        q = inlined(df, selected_quantiles(df, value, probs, [bin_col]), f"`{bin_col}`:{kind},q0:double,q1:double,q2:double")
+    else:
+        q = exact_quantiles(df, value, probs, [bin_col])
+    q = q.select(bin_col, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     j = df.where(F.col(value).isNotNull()).join(q, bin_col)
     iqr = F.col("q3") - F.col("q1")
     lo_fence, hi_fence = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr

@@ -6,10 +6,13 @@ Randomness comes from a hash of each row's key (``hash_unit``), never from
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import math
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pawnshop.functions.scalar import hash_unit
 from pawnshop.operators.ranking import row_position
+from pawnshop.operators.selection import order_statistics
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
@@ -81,16 +84,46 @@ def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.2,
                      validation: float = 0.25, seed: int = 42, name: str = "split") -> DataFrame:
     """Exact stratified train/validation/test split.
 
-    Within each label, rows are ordered by key hash; the first ceil(test*n) go
-    to test, the next ceil(validation * rest) to validation, the others to
-    train.  Ranks come from ``row_position`` (bucketed, no global window).
+    Within each label, rows are ordered by key hash, then key; the first
+    ceil(test*n) go to test, the next ceil(validation * rest) to validation, the
+    others to train.  The two cuts of each label are found by counting
+    (``order_statistics``), so no row is shuffled: a row's split follows from its
+    own hash and key.  Rows that repeat a key stay together, on the later side of
+    a cut that would part them; rows without label or key are left out.
+    """
+    keyed = df.where(F.col(label).isNotNull() & F.col(key).isNotNull()).withColumn("_h", hash_unit(key, seed, "split"))
+
+    def cuts(n: int) -> list[int]:
+        n_test = math.ceil(n * test)
+        return [n_test, n_test + math.ceil((n - n_test) * validation)]
+
+    groups = [(group[label], cuts(n), at) for group, n, at in
+              order_statistics(keyed, "_h", lambda n: [c for c in cuts(n) if c < n], [label])]
+    tied = {(y, i): (at[c][0], c - at[c][1]) for y, own, at in groups for i, c in enumerate(own) if c in at and c > at[c][1]}
+    keys = _tied_keys(keyed, label, key, tied)
+
+    def before(y, i, cut, at):
+        if cut not in at:  # the cut lies behind the last row
+            return F.lit(True)
+        below = F.col("_h") < at[cut][0]
+        return below | ((F.col("_h") == at[cut][0]) & (F.col(key) < F.lit(keys[y, i]))) if (y, i) in keys else below
+
+    expr = F
+    for y, own, at in groups:
+        first, second = (before(y, i, c, at) for i, c in enumerate(own))
+        expr = expr.when(F.col(label) == F.lit(y), F.when(first, F.lit("test")).when(second, F.lit("validation")).otherwise(F.lit("train")))
+    return keyed.withColumn(name, F.lit(None).cast("string") if expr is F else expr).drop("_h")
+
+
+def _tied_keys(keyed: DataFrame, label: str, key: str, tied: dict) -> dict:
+    """The first key behind each cut that falls among rows of one hash: {(label, cut): key}.
+
+    ``tied`` tells the hash and how many of its rows lie before the cut.  Keys
+    that share one 32-bit hash are few; a key that many rows repeat is one row here.
     """
-    h = df.where(F.col(label).isNotNull()).withColumn("_h", hash_unit(key, seed, "split"))
-    r = row_position(h, ["_h", key], [label], name="_pos", uniform=True)
-    n = F.col("_pos_n")
-    n_test = F.ceil(n * F.lit(test))
-    n_val = F.ceil((n - n_test) * F.lit(validation))
-    return (r.withColumn(name, F.when(F.col("_pos") < n_test, F.lit("test"))
-                                 .when(F.col("_pos") < n_test + n_val, F.lit("validation"))
-                                 .otherwise(F.lit("train")))
-              .drop("_h", "_pos", "_pos_n"))
+    out = {}
+    for (y, i), (h, n) in tied.items():
+        same = keyed.where((F.col(label) == F.lit(y)) & (F.col("_h") == h)).groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("_n"))
+        upto = same.withColumn("_upto", F.sum("_n").over(Window.orderBy("_k")))
+        out[y, i] = upto.where(F.col("_upto") > n).agg(F.min("_k")).first()[0]
+    return out

@@ -5,7 +5,8 @@ patterns (the two words before; the word before and the word after).  Every
 other identifier-like string of the corpus in such a context is an instance;
 patterns and instances form a graph whose two sides are scored in turn: a
 pattern is as reliable as the instances it finds, an instance as reliable as
-its patterns.  Instances of high-confidence patterns are added to the seeds.
+its patterns.  Instances of high-confidence patterns are added to the seeds and
+induce patterns in their turn.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from pawnshop.llm import spans as sp, text as tx
 from pawnshop.llm.frames import settled
 
 KINDS = ("email", "ip", "card", "phone")
+#: Rounds at the least.
 ROUNDS = 3
-#: A pattern counts once so many different seeds of one kind stand in it.
+#: A pattern counts once so many different seeds or accepted instances of one kind stand in it.
 LEAST_SEEDS = 3
 CONFIDENCE = 0.8
 
@@ -160,23 +162,40 @@ def _extract(batches):
 
 
 def _scored(edges: DataFrame) -> DataFrame:
-    """(instance, kind, score) of instances that are no seeds, after ``ROUNDS`` rounds over the graph.
+    """(instance, kind, score) of instances that are no seeds, from rounds over the graph.
 
     Edges: (pattern, kind, instance, seed), where seed tells whether the
     instance is a base entity of that kind, of another kind (false) or none (null).
+
+    An instance that scores ``CONFIDENCE`` or more is accepted and stays so: in
+    the next round it is a seed worth its score, so that its other contexts may
+    become patterns and find instances that share no context with any base
+    entity.  The rounds end, after ``ROUNDS`` at least, with the first one that
+    accepts nothing new.
     """
-    scores = None
-    known = F.when(F.col("seed").isNull(), F.coalesce(F.col("score"), F.lit(0.0))).otherwise(F.col("seed").cast("double"))
-    for _ in range(ROUNDS):
+    scores, before, number = None, 0, 0
+    score = F.coalesce("score", F.lit(0.0))
+    accepted = F.col("seed").isNull() & (score >= CONFIDENCE)
+    known = F.when(F.col("seed").isNull(), score).otherwise(F.col("seed").cast("double"))
+    sure = F.when(accepted, score).otherwise(F.coalesce(F.col("seed"), F.lit(False)).cast("double"))
+    while True:
         side = edges.withColumn("score", F.lit(None).cast("double")) if scores is None else edges.join(scores, ["instance", "kind"], "left")
         patterns = (side.groupBy("pattern", "kind")
-                    .agg(F.sum(known).alias("weight"), F.count("*").alias("n"), F.sum(F.coalesce(F.col("seed"), F.lit(False)).cast("int")).alias("seeds"))
-                    .filter(F.col("seeds") >= LEAST_SEEDS)
+                    .agg(F.sum(known).alias("weight"), F.count("*").alias("n"), F.sum(sure).alias("seeds"),
+                         F.count_if(accepted | F.coalesce(F.col("seed"), F.lit(False))).alias("standing"))
+                    .filter(F.col("standing") >= LEAST_SEEDS)
                     # one unseen miss is held against every pattern, unseen instances count for what they are worth so far
                     .select("pattern", "kind", (F.col("seeds") / (F.col("seeds") + 0.5 + F.col("n") - F.greatest("weight", "seeds"))).alias("trust")))
-        scores = settled(edges.filter("seed is null").join(patterns, ["pattern", "kind"])
-                         .groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("trust") * 0.999)))).alias("score")), "scores")
-    return scores
+        found = (edges.filter("seed is null").join(patterns, ["pattern", "kind"])
+                 .groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("trust") * 0.999)))).alias("score")))
+        if scores is not None:
+            found = (found.unionByName(scores.filter(F.col("score") >= CONFIDENCE)).groupBy("instance", "kind").agg(F.max("score").alias("score")))
+        scores = settled(found, "scores")
+        now = scores.filter(F.col("score") >= CONFIDENCE).count()
+        number += 1
+        if number >= ROUNDS and now == before:
+            return scores
+        before = now
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

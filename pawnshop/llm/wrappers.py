@@ -42,6 +42,7 @@ _ASIDE_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising
  cookie cookies consent disqus footer header masthead menu modal nav navbar navigation newsletter notice notices notification pagination
  popup promo promoted promotion recommended related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe
  subscription toolbar widget""".split())
+_HOLDS = frozenset("no not has have with without".split())
 _MAIN = ("article", "main")
 # Elements that hold a piece of an article, never all of it.
 _PIECES = frozenset("p h1 h2 h3 h4 h5 h6 li pre dt dd td th tr tbody thead table ul ol dl figure figcaption blockquote address summary details caption".split())
@@ -50,6 +51,7 @@ _CLOSES_ITSELF = {"li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?([a-zA-Z][^\s/>]*)((?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*+)>?""", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style|itemprop)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+_NUMBER = re.compile(r"[0-9]+")
 _END_RAW = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in _RAW}
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
@@ -59,38 +61,72 @@ def host_of(url: str | None) -> str:
     return m.group(1).lower() if m else ""
 
 
-def _element(name: str, attributes: str) -> tuple[str, bool]:
-    """(name with its class, whether its text is not the article's)."""
-    aside, kind = name in _ASIDE, ""
+def _element(name: str, attributes: str) -> tuple[str, bool, bool]:
+    """(name with its class, whether its text is not the article's, whether its class words say so)."""
+    aside, marked, kind = name in _ASIDE, False, ""
     for m in _ATTRIBUTE.finditer(attributes) if attributes else ():
         key, value = m.group(1).lower(), (m.group(2) or m.group(3) or m.group(4) or "").lower()
         if key in ("class", "id"):
-            kind = kind or value.split(" ")[0]
-            # inside an article's own name such as "article-header" the words still count, but never for the article itself
-            aside |= name not in ("article", "main", "body", "html") and not _ASIDE_WORDS.isdisjoint(re.split(r"[^a-z]+", value))
+            # numbers tell pages apart, not places in a page
+            kind = kind or _NUMBER.sub("0", value.split(" ")[0])
+            # "has-header" and "no-sidebar" speak of what the element holds or lacks
+            own = (re.split(r"[^a-z]+", v) for v in value.split())
+            marked |= any(words[0] not in _HOLDS and not _ASIDE_WORDS.isdisjoint(words) for words in own)
         elif key == "role":
             aside |= value in _ASIDE_ROLES
         elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             aside |= name not in ("body", "html")
-    return (f"{name}.{kind}" if kind else name), aside
+    return (f"{name}.{kind}" if kind else name), aside, marked
+
+
+class _Marked:
+    """An open element whose class words tell of an aside, with what it turns out to hold."""
+
+    def __init__(self):
+        self.holds_main = self.holds_title = False
+        self.chars = 0
+
+    def aside(self, total: int) -> bool:
+        """Whether the words hold: not for a frame around the article, such as "page header-large".
+
+        A frame holds the page's first main or article element, or a title with
+        most of the page's text.
+        """
+        return not (self.holds_main or self.holds_title and 2 * self.chars > total)
 
 
 def blocks(page: str) -> Iterator[tuple[tuple[str, ...], bool, str]]:
     """(path, aside, text) of each block of a page, in order; blank blocks are left out.
 
     The path names the open structural elements; ``aside`` tells whether one of
-    them marks text outside the article (menus, headers, forms, adverts, ...).
+    them marks text outside the article (menus, headers, forms, adverts, ...) by
+    its name, role or class words (see ``_Marked``).
+    """
+    found = list(_parsed(page))
+    total = sum(len(text) for _, aside, _, text in found if not aside)
+    for path, aside, marks, text in found:
+        yield path, aside or any(m.aside(total) for m in marks), text
+
+
+def _parsed(page: str) -> Iterator[tuple[tuple[str, ...], bool, tuple[_Marked, ...], str]]:
+    """(path, aside by name or role, elements with class words, text) of each block.
+
     Open paragraphs end where a block begins; stray end tags are ignored.
     """
-    stack: list[tuple[str, str, bool]] = []
+    stack: list[tuple[str, str, bool, _Marked | None]] = []
     parts: list[str] = []
     at = 0
+    met_main = False
 
     def flush():
         text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
         parts.clear()
         if text:
-            yield tuple(s[1] for s in stack), any(s[2] for s in stack), text
+            aside, marks = any(s[2] for s in stack), tuple(s[3] for s in stack if s[3])
+            if not aside:
+                for m in marks:
+                    m.chars += len(text)
+            yield tuple(s[1] for s in stack), aside, marks, text
 
     while True:
         m = _TOKEN.search(page, at)
@@ -138,8 +174,15 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], bool, str]]:
             continue
         if name != "head" and stack and stack[0][0] == "head":
             stack.clear()
-        signature, aside = _element(name, m.group(2))
-        stack.append((name, signature, aside))
+        signature, aside, marked = _element(name, m.group(2))
+        begins = not met_main and (name == "main" or name == "article" and not marked)
+        met_main |= begins
+        for s in stack:
+            if s[3]:
+                s[3].holds_main |= begins
+                s[3].holds_title |= name == "h1"
+        # inside an article's own name such as "article-header" the words still count, but never for the article itself
+        stack.append((name, signature, aside, _Marked() if marked and name not in ("article", "main") else None))
     yield from flush()
 
 

@@ -12,6 +12,7 @@ this share predicts stay under ``FALSE_SHARE``.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 
@@ -26,12 +27,12 @@ KINDS = ("assign", "access", "hex")
 #: Kind of the spans that the tests add.
 RANDOM = "random"
 FALSE_SHARE = 0.05
-LEAST_LENGTH = 16
 #: Lengths from which a class of its own is counted.
 LENGTHS = (8, 12, 16, 20, 24, 32, 48, 64)
-#: Word-like tokens a length needs for a pass rate of its own; longer classes without them take the last rate,
-#: which bounds theirs, since the tests tell words better the longer they are.
-LEAST_WORDS = 200
+#: Word-like tokens that the expected pass rate of a length counts for beside those of the corpus.
+PRIOR_WORDS = 200
+# English letters, a to z, in parts of a thousand.
+_LETTER_SHARE = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1)
 #: Levels of the combined p-value, least strict first.
 LEVELS = (0.001, 0.003, 0.01, 0.03, 0.1, 0.3)
 
@@ -159,7 +160,7 @@ def _tested(data: np.ndarray, off: np.ndarray):
     letters = (every & (_IS_UPPER | _IS_LOWER)) > 0
     cases = (inner & _IS_UPPER > 0) & (inner & _IS_LOWER > 0)
     mixed = letters & ((every & _IS_NUM > 0) | cases)
-    keep = np.where(mixed, size >= LEAST_LENGTH, plain & letters)
+    keep = mixed | (plain & letters)
     starts, ends, row, mixed = starts[keep], ends[keep], row[keep], mixed[keep]
     return starts, ends, row, randomness(data, starts, ends), mixed
 
@@ -204,22 +205,44 @@ def _extract(batches):
                                               pa.array(words, pa.list_(word))], ["id", "print", "base", "tokens", "words"])
 
 
+@functools.cache
+def expected_rates() -> dict[int, list[float]]:
+    """For each length the share of letter strings that pass each level, if letters come as often as in English.
+
+    Words are less random than such strings, so these rates err on the safe
+    side.  From ``PRIOR_WORDS`` x 10 strings of a fixed stream for each length.
+    """
+    out = {}
+    share = np.cumsum(_LETTER_SHARE) / sum(_LETTER_SHARE)
+    for size in LENGTHS:
+        n = 10 * PRIOR_WORDS
+        number = tx.mix(np.arange(n * size, dtype=np.uint64) + np.uint64(size << 32)) >> np.uint64(11)
+        letters = (97 + np.searchsorted(share, number.astype(float) / 2.0**53, "right")).astype(np.uint8)
+        p = randomness(letters, np.arange(n) * size, (np.arange(n) + 1) * size)
+        out[size] = [1.0, *(float((1 + (p >= level).sum()) / (1 + n)) for level in LEVELS)]
+    return out
+
+
 def levels(words: DataFrame, tokens: DataFrame) -> dict[int, float]:
     """For each length class the least strict level at which its tokens may be reported.
 
     At a level, the expected false discoveries are the class's tokens times the
     share of word-like tokens of its length that pass; they may be at most
-    ``FALSE_SHARE`` of those reported.  Both tables are counts per length and
-    level, a few dozen rows.
+    ``FALSE_SHARE`` of those reported.  That share is measured on the corpus and
+    drawn towards the expected one (``expected_rates``) by the weight of
+    ``PRIOR_WORDS`` words, so that small corpora have a level as well.  Both
+    tables are counts per length and level, a few dozen rows.
     """
     words = {(r["size"], r["level"]): r["n"] for r in words.collect()}
     tokens = {(r["size"], r["level"]): r["n"] for r in tokens.collect()}
     out: dict[int, float] = {}
     rate = [1.0] * (len(LEVELS) + 1)
-    for size in LENGTHS:
+    for size, expected in expected_rates().items():
+        # the tests tell words better the longer they are: the rate of the length before bounds this one's
+        prior = [min(x, y) for x, y in zip(expected, rate, strict=True)]
         seen = sum(words.get((size, k), 0) for k in range(len(LEVELS) + 1))
-        if seen >= LEAST_WORDS:
-            rate = [(1 + sum(words.get((size, j), 0) for j in range(k, len(LEVELS) + 1))) / (1 + seen) for k in range(len(LEVELS) + 1)]
+        rate = [(PRIOR_WORDS * prior[k] + sum(words.get((size, j), 0) for j in range(k, len(LEVELS) + 1))) / (PRIOR_WORDS + seen)
+                for k in range(len(LEVELS) + 1)]
         held = sum(tokens.get((size, k), 0) for k in range(len(LEVELS) + 1))
         for k, level in enumerate(LEVELS, 1):
             passed = sum(tokens.get((size, j), 0) for j in range(k, len(LEVELS) + 1))
@@ -234,8 +257,8 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     ``base`` are the fixed patterns' spans, ``spans`` those and the tokens that
     pass the randomness tests (kind ``random``), as arrays of (kind, start, end)
-    by start, then kind.  An added token has ``LEAST_LENGTH`` characters or more
-    and overlaps no base span.  ``print`` is a hash of the text, so that rows
+    by start, then kind.  An added token has 8 characters or more (the first of
+    ``LENGTHS``) and overlaps no base span.  ``print`` is a hash of the text, so that rows
     that repeat an id stay apart.
 
     Null and empty texts have no spans; null ids and repeated rows are kept;

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pawnshop.llm import spans as sp
-from pawnshop.llm.frames import table
+from pawnshop.llm.frames import settled, table
+from pawnshop.session import scratch_path
 
 #: A text is kept from this score on.
 QUALITY_LEAST = 0.3
@@ -110,7 +111,9 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pawnshop.llm.bpe import Tokenizer
 
     packed = order.sequences(table(spark, sf_dir, "documents"), Tokenizer(vocabulary_path()), END_TOKEN)
-    return order.index(order.shards(packed, key=2024))
+    place = scratch_path(spark, "shards")
+    manifest = settled(order.write_shards(order.shards(packed, key=2024), place), "manifest")
+    return order.index(order.read_shards(manifest, place))
 
 
 #: Labels are shifted where the id is divisible by the first number, anchors are rows whose id is divisible by the second.

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pawnshop.llm import bpe, text as tx
-from pawnshop.llm.frames import settled
+from pawnshop.llm.frames import file_store, put_file, settled
 
 SEQUENCE_TOKENS = 2048
 SHARD_SEQUENCES = 1024
@@ -201,41 +201,70 @@ def index(shard_rows: DataFrame) -> DataFrame:
     return shard_rows.mapInArrow(run, "slot long, shard long, byte_offset long, first_doc long, first_token long, n_tokens int, sha256 string")
 
 
-def write_shards(shard_rows: DataFrame, uri: str) -> DataFrame:
-    """Write each shard to ``uri``/shard-<number>.bin and return the manifest: shard, path, n_sequences, n_bytes, sha256.
+_MANIFEST = ("shard long, path string, n_sequences int, n_bytes long, sha256 string, first_slot long, first_doc array<long>, "
+             "first_token array<long>, n_tokens array<int>")
+
 
-    ``uri`` is a shared place that pyarrow's file systems know (file, hdfs, s3,
-    gs).  A shard is written under another name and then moved, so a file that
-    is there is whole; a shard that is there in full size is not written again.
+def write_shards(shard_rows: DataFrame, uri: str) -> DataFrame:
+    """Write each shard to ``uri``/shard-<number>.bin and return the manifest.
+
+    Columns: shard, path, n_sequences, n_bytes, sha256, and first_slot,
+    first_doc, first_token and n_tokens as in ``shards``.  ``uri`` is a shared
+    place that pyarrow's file systems know (a path, file, hdfs, s3, gs).  A shard
+    is written under another name and then moved, so a file that is there is
+    whole; it is left as it is if its bytes are the same, and replaced if another
+    key or corpus left others there.
     """
-    def run(batches):
-        from pyarrow import fs
+    def same(store, path: str, data: bytes, digest: str) -> bool:
+        if store.get_file_info(path).size != len(data):
+            return False
+        with store.open_input_stream(path) as f:
+            return hashlib.sha256(f.read()).hexdigest() == digest
 
-        store, base = fs.FileSystem.from_uri(uri)
-        store.create_dir(base)
+    def run(batches):
+        store, base = file_store(uri)
         for batch in batches:
-            rows = []
-            for shard, n, data in zip(*(batch.column(c).to_pylist() for c in ("shard", "n_sequences", "data")), strict=True):
+            paths, sizes, digests = [], [], []
+            for shard, data in zip(batch.column("shard").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                digest = hashlib.sha256(data).hexdigest()
                 path = f"{base}/shard-{shard:08d}.bin"
-                if store.get_file_info(path).size != len(data):
-                    part = f"{path}.{TaskContext.get().taskAttemptId()}"
-                    with store.open_output_stream(part) as f:
-                        f.write(data)
-                    store.move(part, path)
-                rows.append((shard, path, n, len(data), hashlib.sha256(data).hexdigest()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                zip(*rows, strict=True) if rows else [[]] * 5, (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.string()), strict=True)],
-                ["shard", "path", "n_sequences", "n_bytes", "sha256"])
+                if not same(store, path, data, digest):
+                    put_file(f"{uri}/shard-{shard:08d}.bin", data)
+                paths.append(path)
+                sizes.append(len(data))
+                digests.append(digest)
+            own = {"path": pa.array(paths, pa.string()), "n_bytes": pa.array(sizes, pa.int64()), "sha256": pa.array(digests, pa.string())}
+            names = ["shard", "path", "n_sequences", "n_bytes", "sha256", "first_slot", "first_doc", "first_token", "n_tokens"]
+            yield pa.RecordBatch.from_arrays([own[c] if c in own else batch.column(c) for c in names], names)
+
+    return shard_rows.mapInArrow(run, _MANIFEST)
 
-    return shard_rows.mapInArrow(run, "shard long, path string, n_sequences int, n_bytes long, sha256 string")
+
+def read_shards(manifest: DataFrame, uri: str) -> DataFrame:
+    """The shards of a manifest (see ``write_shards``), their bytes read from the files under ``uri``.
+
+    Raises if a file's bytes are not those of the manifest.
+    """
+    def run(batches):
+        store, base = file_store(uri)
+        for batch in batches:
+            for k in range(batch.num_rows):  # one shard in memory at a time
+                row = batch.slice(k, 1)
+                shard = row.column("shard")[0].as_py()
+                with store.open_input_stream(f"{base}/shard-{shard:08d}.bin") as f:
+                    data = f.read()
+                if hashlib.sha256(data).hexdigest() != row.column("sha256")[0].as_py():
+                    raise ValueError(f"shard {shard} is not the one of the manifest")
+                names = ["shard", "first_slot", "n_sequences", "first_doc", "first_token", "n_tokens"]
+                yield pa.RecordBatch.from_arrays([*(row.column(c) for c in names), pa.array([data], pa.binary())], [*names, "data"])
+
+    return manifest.mapInArrow(run, _SHARDS)
 
 
 def read_slots(uri: str, first: int, last: int, length: int = SEQUENCE_TOKENS, per_shard: int = SHARD_SEQUENCES,
                kind: str = "<u2") -> Iterator[np.ndarray]:
     """The sequences of slots first .. last - 1, read in order: how a training run starts or resumes."""
-    from pyarrow import fs
-
-    store, base = fs.FileSystem.from_uri(uri)
+    store, base = file_store(uri)
     stride = length * np.dtype(kind).itemsize
     slot = first
     while slot < last:

@@ -218,6 +218,34 @@ def test_passages_behind_a_changed_stretch_are_found(spark):
             assert decontaminate.overlap(doc, item, shift) == _brute_overlap(doc.tolist(), item.tolist(), shift)
 
 
+def test_masks_reach_substituted_overlaps():
+    rng = np.random.default_rng(3)
+    masks = [np.array([c == "1" for c in m]) for m in decontaminate.MASKS]
+
+    def hit(n, changed):
+        same = np.ones(n, bool)
+        same[list(changed)] = False
+        return any((same[o:o + len(m)] | ~m).all() for m in masks for o in range(n - len(m) + 1))
+
+    # every pair of changed inner words of 13
+    assert all(hit(13, (a, b)) for a in range(1, 12) for b in range(a + 1, 12))
+    for n in range(13, 41):
+        tries = [hit(n, 1 + rng.choice(n - 2, n // 5, replace=False)) for _ in range(300)]
+        assert np.mean(tries) >= 0.98
+
+
+def test_short_overlaps_with_changes_are_found_in_long_texts(spark):
+    items = [(k, " ".join(_words(30, 7000 + k))) for k in range(40)]
+    docs = []
+    for k in range(40):
+        w = items[k][1].split()[8:21]
+        w[3], w[8] = "changed", "again"
+        filler = _words(500, 9000 + k)
+        docs.append((k, " ".join(filler[:300] + w + filler[300:])))
+    got = decontaminate.contaminated(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.doc_start, r.doc_end, r.equal_words) for r in got) == [(k, k, 300, 313, 11) for k in range(40)]
+
+
 def test_decontamination_awkward(spark, awkward, empty):
     test = spark.createDataFrame([(1, LONG), (2, None), (3, "same row")], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(awkward, test).collect()}
@@ -307,6 +335,18 @@ def test_accepted_identifiers_are_added_without_a_context(spark):
     assert masked[101] == "<PHONE> once more" and masked[102] == "| <PHONE> |" and masked[103] == new[3][1]
 
 
+def test_discovered_identifiers_induce_patterns(spark):
+    seeds = [(k, f"filler{k} text. Please call me at +1 (555) 010-{1000 + k} today about order {k}") for k in range(40)]
+    # numbers that stand beside base entities, and in a context of their own where no base entity stands
+    both = [(100 + k, f"Please call me at 555 0199 {4400 + k} today") for k in range(12)]
+    both += [(200 + k, f"the pager rings under 555 0199 {4400 + k} all night") for k in range(12)]
+    far = [(300, "my pager rings under 555 0198 7001 all night"), (301, "it weighs about 555 0198 7002 in grams")]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.personal_data(frame(spark, seeds + both + far)).collect()}
+    assert got[300] == [("phone", 21, 34)] and got[301] == [] and all(got[100 + k] for k in range(12)) and all(got[200 + k] for k in range(12))
+    without = {r.doc_id: r.spans for r in pii.personal_data(frame(spark, seeds + both[:12] + far)).collect()}
+    assert without[300] == []
+
+
 def test_masking_keeps_awkward_rows(awkward):
     got = pii.masked(awkward, pii.personal_data(awkward))
     assert got.columns == awkward.columns
@@ -327,6 +367,30 @@ def test_random_tokens_are_told_from_words(spark):
     assert found >= 55 and sum(bool(got[2000 + k]) for k in range(60)) <= 6 and not any(got[k] for k in range(300))
 
 
+def test_a_few_documents_report_as_their_level_says(spark):
+    rng = random.Random(4)
+    keys = ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(64)) for _ in range(5)]
+    docs = [(k, f"see {key} here") for k, key in enumerate(keys)] + [(9, "plainwords and user2024name")]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secret_scan.secrets(frame(spark, docs)).collect()}
+    assert sum(got[k] == [("random", 4, 68)] for k in range(5)) >= 4 and got[9] == []
+
+
+def test_short_random_tokens_need_a_corpus_whose_words_fail(spark):
+    rng = random.Random(6)
+    word = lambda: rng.choice("abc") * 4 + rng.choice("xyz") * 4
+    docs = [(k, " ".join(word() for _ in range(50))) for k in range(200)]
+    keys = {1000 + k: "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZ0123456789") for _ in range(9)) + "A7" for k in range(100)}
+    docs += [(d, f"see {k} here") for d, k in keys.items()]
+    got = {r.doc_id: r.spans for r in secret_scan.secrets(frame(spark, docs)).collect()}
+    assert sum(bool(got[d]) for d in keys) >= 60 and not any(got[k] for k in range(200))
+
+
+def test_expected_rates_fall_with_level_and_length():
+    rates = secret_scan.expected_rates()
+    assert all(r[0] == 1.0 and sorted(r, reverse=True) == r for r in rates.values())
+    assert all(a[-1] >= b[-1] for a, b in zip(list(rates.values()), list(rates.values())[1:]))
+
+
 def test_randomness_of_random_tokens_is_uniform():
     rng = np.random.default_rng(2)
     data = rng.choice(np.frombuffer(b"0123456789abcdef", np.uint8), 32 * 4000)
@@ -354,6 +418,29 @@ def test_main_text_of_awkward_markup():
         wrappers.main_text(broken, "")
 
 
+def test_class_words_on_frames_do_not_empty_a_page():
+    def read(page):
+        return wrappers.main_text(page, wrappers.container(wrappers.page_wrapper(page)))
+
+    body = "<h1>Title</h1><p>One two three.</p><p>Four five six.</p>"
+    text = "Title\nOne two three.\nFour five six."
+    aside = "<div class='sidebar'><p>Links</p></div>"
+    assert read(f"<div class='layout no-sidebar'>{body}</div>") == text
+    assert read(f"<div class='page has-header'><div class=header>Site</div><article>{body}</article>{aside}</div>") == text
+    assert read(f"<div class='header-large'><nav>Home</nav>{body}{aside}</div>") == text
+    assert read(f"<div class='social-page'><main>{body}<div id=comments><article><p>First!</p></article></div></main></div>") == text
+    assert read(f"<div class='header'><h1>Site</h1></div><div>{body}</div>{'<div class=comments><p>' + 'long reply ' * 40 + '</p></div>'}") == text
+    assert read("<div class='cookie-notice'><p>We use cookies.</p><p>Fine?</p></div>") == ""
+
+
+def test_a_class_with_a_number_per_page_is_one_place(spark):
+    pages = [(k, f"http://h.example/{k}", f"<div class='post-{k}'><h2>T{k}</h2><p>{'text ' * 20}{k}</p></div><div class=footer>f</div>") for k in range(300)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rule = wrappers.infer(df).first()
+    assert rule.container == "div.post-0" and rule.pages == 300 and len(rule.expression) < 200
+    assert {r.page_id: r.text for r in wrappers.extract(df).collect()} == {k: f"T{k}\n{'text ' * 20}{k}" for k in range(300)}
+
+
 def test_wrapper_is_a_union_free_expression_of_all_pages():
     pages = [PAGE.format(f"<main>{'<p>t%d</p>' % k * (k + 1)}{'<h2>extra</h2>' if k % 2 else ''}</main>") for k in range(4)]
     whole = wrappers.page_wrapper(pages[0])
@@ -583,6 +670,23 @@ def test_shards_round_trip_and_resume(spark, tokenizer, documents, tmp_path):
             assert got[r.slot][:len(own)].tolist() == own
 
 
+def test_another_key_replaces_the_files_that_are_there(spark, tokenizer, documents, tmp_path):
+    packed = training_order.sequences(frame(spark, documents).repartition(2), tokenizer, catalog.END_TOKEN, length=64)
+    uri = f"{tmp_path}/shards"
+    for key in (1, 2):
+        shard_rows = training_order.shards(packed, key=key, per_shard=16).cache()
+        manifest = training_order.write_shards(shard_rows, uri).cache()
+        want = rows(training_order.index(shard_rows))
+        assert rows(training_order.index(training_order.read_shards(manifest, uri))) == want and want
+        for r in manifest.collect():
+            with open(r.path, "rb") as f:
+                assert hashlib.sha256(f.read()).hexdigest() == r.sha256
+    with open(manifest.first().path, "r+b") as f:
+        f.write(b"xx")
+    with pytest.raises(Exception, match="is not the one of the manifest"):
+        training_order.read_shards(manifest, uri).collect()
+
+
 def test_shards_of_nothing(empty, tokenizer):
     assert rows(training_order.index(training_order.shards(training_order.sequences(empty, tokenizer, catalog.END_TOKEN)))) == []
 

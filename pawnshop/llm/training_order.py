@@ -155,7 +155,7 @@ def shards(packed: DataFrame, key: int = 0, per_shard: int = SHARD_SEQUENCES) ->
     packed like any others, other columns are ignored; an empty table gives no
     shard.
     """
-    packed = settled(packed, "sequences")
+    packed = settled(packed, "sequences", compression="zstd")
     blocks = packed.groupBy("block").agg(F.count("*").alias("n")).withColumn("part", F.floor(F.col("block") / _GROUP))
     # running totals in two steps: within groups of blocks, then over the groups
     inner = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)

@@ -266,8 +266,8 @@ _LABEL_SQL = ("CASE lang WHEN 'en' THEN 1 WHEN 'de' THEN 0 WHEN 'fr' THEN 0 END"
 def q_pawn_effects_by_result(spark, d):
     from pawnshop.functions.scalar import binary_label
     from pawnshop.operators.profile import conditional_means
-    games = ad.chess_games(spark, d)
-    feats = MF.game_position_features(games, "game_id", "movetext", {"final": None})
+    games = ad.chess_folded(spark, d, {"final": None})
+    feats = MF.snapshot_features(MF.snapshot_rows(games, ["game_id"]), ["game_id"])
     lab = games.select("game_id", binary_label("Winner").alias("label_white_win"))
     return rounded(conditional_means(feats.join(lab, "game_id"), "label_white_win", PAWN_EFFECTS))
 
@@ -278,9 +278,9 @@ def q_pawn_effects_by_result(spark, d):
           + " FROM long l JOIN lab USING (game_id) GROUP BY l.phase, lab.label_white_win")
 def q_pawn_effects_by_phase(spark, d):
     """Class means of all three snapshots, from the enriched table."""
-    from pawnshop.operators.enrich import enriched_games
+    from pawnshop.operators.enrich import enriched
     from pawnshop.operators.profile import conditional_means
-    table = enriched_games(ad.chess_games(spark, d), "game_id", "movetext", "Winner")
+    table = enriched(ad.chess_folded(spark, d), "game_id", "Winner")
     return rounded(conditional_means(table, ["phase", "label_white_win"], PAWN_EFFECTS), 4)
 
 
@@ -294,8 +294,8 @@ FROM long l JOIN documents d ON d.doc_id = l.game_id LEFT JOIN counted c ON c.ga
 def q_enriched_games(spark, d):
     """Written once as Parquet by phase and read back, as every later step does."""
     from pawnshop import sources as S
-    from pawnshop.operators.enrich import enriched_games
+    from pawnshop.operators.enrich import enriched
     from pawnshop.session import scratch_path
     path = scratch_path(spark, "enriched")
-    S.write_parquet(enriched_games(ad.chess_games(spark, d), "game_id", "movetext", "Winner"), path, partition_by=["phase"])
+    S.write_parquet(enriched(ad.chess_folded(spark, d), "game_id", "Winner"), path, partition_by=["phase"])
     return rounded(S.read_parquet(spark, path))

@@ -44,3 +44,14 @@ def test_half_moves_by_look_up_equal_the_expression(spark):
     x = F.struct("w", F.ascii("w").alias("a"), F.ascii(F.right("w", F.lit(1))).alias("z"), F.length("w").alias("n"))
     rows = df.select("w", ad._half_move(x, F.col("i")).alias("got"), F.expr(ad._token_expr("w", "i")).alias("expected")).collect()
     assert [r for r in rows if r.got != r.expected] == []
+
+
+def test_conditions_on_features_stay_above_the_written_features(spark):
+    from pawnshop.operators.learn import prepared
+
+    features = ["material_diff", "white_pawns"]
+    games = spark.createDataFrame(GAMES, "game_id long, movetext string, Winner string")
+    rows = prepared(enriched_games(games, "game_id", "movetext", "Winner", {"final": None}), "label_white_win", features, "game_id")
+    assert sorted(r.game_id for r in rows.collect()) == [1, 5]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan and "LogicalRDD" in plan and "bit_count" not in plan

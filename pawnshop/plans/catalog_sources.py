@@ -29,15 +29,15 @@ def register(name, sql=None):
     return deco
 
 
-def _games_csv(spark, d, header: bool, files: int = 3, extra_col: bool = True) -> str:
-    """Games as CSV text files in game order (16 columns + game_id [+ a 17th])."""
+def _games_csv(spark, d, header: bool, extra_col: bool = True) -> str:
+    """Games as CSV text files in game order (16 columns + game_id [+ a 17th]): a file for each range of the sort,
+    as many as the games' bytes ask for."""
     g = ad.games(spark, d)
     cols = [F.col(c).cast("string").alias(c) for c in GAME_COLUMNS] + [F.col("game_id").cast("string")]
     if extra_col:
         cols.append(F.lit("extra").alias("c18"))
     out = scratch_path(spark, "games-csv")
-    (g.orderBy("game_id").select(*cols).coalesce(files).write.options(**S.files.CSV_OPTS)
-      .option("header", header).csv(out))
+    g.orderBy("game_id").select(*cols).write.options(**S.files.CSV_OPTS).option("header", header).csv(out)
     return out
 
 
@@ -90,17 +90,17 @@ def q_read_games_typed(spark, d):
 
 @register("read_games_file", G + "\n" + _TYPED_OUT)
 def q_read_games_file(spark, d):
-    """The same read from one file, which Spark still reads by several tasks."""
+    """The same read by the names of the files; one file would be written by one task, whatever its size."""
     from pyspark.sql import types as T
-    path = _games_csv(spark, d, header=True, files=1, extra_col=False)
-    file = spark.read.text(path).select(F.col("_metadata.file_path")).first()[0]
-    return _typed_back(S.read_games(spark, file, header=True, extra_fields=[T.StructField("game_id", T.LongType())]))
+    path = _games_csv(spark, d, header=True, extra_col=False)
+    files = sorted(spark.read.text(path).inputFiles())
+    return _typed_back(S.read_games(spark, files, header=True, extra_fields=[T.StructField("game_id", T.LongType())]))
 
 
-def _docs_csv(spark, d, files: int = 2) -> str:
+def _docs_csv(spark, d) -> str:
     out = scratch_path(spark, "docs-csv")
     (ad.table(spark, d, "documents").orderBy("doc_id").select("text", F.col("doc_id").cast("string"))
-       .coalesce(files).write.options(**S.files.CSV_OPTS).option("header", False).csv(out))
+       .write.options(**S.files.CSV_OPTS).option("header", False).csv(out))
     return out
 
 
@@ -115,9 +115,9 @@ dl AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS ordinal F
 SELECT coalesce(gl.ordinal, dl.ordinal) AS ordinal, gl.game_id, dl.text AS PGN
 FROM gl FULL JOIN dl ON gl.ordinal = dl.ordinal""")
 def q_align_by_ordinal(spark, d):
-    left = S.with_source(S.csv_positional_schema(spark, _games_csv(spark, d, header=False, files=3),
+    left = S.with_source(S.csv_positional_schema(spark, _games_csv(spark, d, header=False),
                                                  GAME_COLUMNS + ["game_id"]))
-    right = S.csv_multiline(spark, _docs_csv(spark, d, files=2), keep_source=True)
+    right = S.csv_multiline(spark, _docs_csv(spark, d), keep_source=True)
     out = S.align_by_ordinal(left.select(F.col("game_id").cast("bigint").alias("game_id"), "_file", "_block"),
                              right)
     return out.select("ordinal", "game_id", "PGN")
@@ -127,10 +127,10 @@ def q_align_by_ordinal(spark, d):
 n AS (SELECT (SELECT count(*) FROM games) AS g, (SELECT count(*) FROM documents) AS t)
 SELECT least(g, t) AS matched, greatest(g - t, 0) AS left_only, greatest(t - g, 0) AS right_only FROM n""")
 def q_ordinal_report(spark, d):
-    left = S.with_source(S.csv_positional_schema(spark, _games_csv(spark, d, header=True, files=3),
+    left = S.with_source(S.csv_positional_schema(spark, _games_csv(spark, d, header=True),
                                                  GAME_COLUMNS + ["game_id"]))
     left = S.drop_header_rows(left, "Winner").select("game_id", "_file", "_block")
-    right = S.csv_multiline(spark, _docs_csv(spark, d, files=2), keep_source=True)
+    right = S.csv_multiline(spark, _docs_csv(spark, d), keep_source=True)
     return S.alignment_report(S.with_ordinal(left), S.with_ordinal(right), "ordinal")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pawnshop.operators import movefold as MF
 from pawnshop.operators.enrich import enriched_games
 from pawnshop.plans import adapters as ad
+from tests.conftest import SF001
 
 GAMES = [(1, "1. e4 a6 2. e5 d5 3. exd6 Nc6 4. dxc7 Bd7 5. cxd8=Q+ Rxd8 *", "White"), (2, " ", "Black"), (3, None, "Draw"), (4, "*", None),
          (5, "1. e4 e5 2. Ke2 O-O 3. Kxe3", "Black")]
@@ -55,3 +56,15 @@ def test_conditions_on_features_stay_above_the_written_features(spark):
     assert sorted(r.game_id for r in rows.collect()) == [1, 5]
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert "Filter" in plan and "LogicalRDD" in plan and "bit_count" not in plan
+
+
+def test_csv_inputs_are_written_by_as_many_tasks_as_the_sort_has(spark):
+    from pawnshop.plans import catalog_sources as C
+
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for path in (C._games_csv(spark, SF001, header=True), C._docs_csv(spark, SF001)):
+            assert len(spark.read.text(path).inputFiles()) > 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)

@@ -37,23 +37,19 @@ def board_decode(df: DataFrame, fen_col: str, keys: list[str]) -> DataFrame:
     otherwise (null, empty, malformed) the board gets ``valid = false``.
     Valid boards always keep one row (``piece`` null when the board is empty).
     """
-    rows = F.split(F.split(F.trim(F.col(fen_col)), " ").getItem(0), "/")
-    expanded = F.transform(rows, lambda r: _expand_digits(r))
-    ok = F.coalesce(F.col(fen_col).isNotNull() & (F.length(F.trim(F.col(fen_col))) > 0)
-                    & (F.size(rows) == 8)
-                    & F.forall(expanded, lambda r: r.rlike("^[pnbrqkPNBRQK.]{8}$")), F.lit(False))
-    flat = F.array_join(expanded, "")
-    cells = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.substring(flat, i + 1, 1))
-    numbered = F.transform(cells, lambda c, i: F.struct(i.alias("i"), F.when(c != ".", c).alias("c")))
-    held = F.filter(numbered, lambda x: x["c"].isNotNull())
+    # each step is a column of its own, so that no square works out the whole text again
+    text = df.select(*keys, _expand_digits(F.split(F.trim(F.col(fen_col)), " ").getItem(0)).alias("_text"))
+    rows = F.split("_text", "/")
+    ok = F.coalesce((F.size(rows) == 8) & F.forall(rows, lambda r: r.rlike("^[pnbrqkPNBRQK.]{8}$")), F.lit(False))
+    b = text.select(*keys, ok.alias("valid"), F.replace("_text", F.lit("/"), F.lit("")).alias("_flat"))
+    b = b.select(*keys, "valid", "_flat", (F.col("valid") & (F.translate("_flat", ".", "") != "")).alias("_some"))
+    x = b.select(*keys, "valid", "_flat", "_some", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("_i"))
+    square = F.substring("_flat", F.col("_i") + 1, F.lit(1))
     # an empty or invalid board keeps one row without a piece
-    none = F.array(F.struct(F.lit(None).cast("int").alias("i"), F.lit(None).cast("string").alias("c")))
-    b = df.select(*keys, ok.alias("valid"), F.when(~ok, none).when(F.size(held) == 0, none).otherwise(held).alias("_cells"))
-    x = b.select(*keys, "valid", F.explode("_cells").alias("_s"))
-    return x.select(*keys, "valid",
-                    (F.col("_s.i") % 8).cast("int").alias("file"),
-                    (F.lit(7) - F.floor(F.col("_s.i") / 8)).cast("int").alias("rank"),
-                    F.col("_s.c").alias("piece"))
+    x = x.where(F.when(F.col("_some"), square != ".").otherwise(F.col("_i") == 0))
+    held = lambda v: F.when(F.col("_some"), v)
+    return x.select(*keys, "valid", held(F.col("_i") % 8).cast("int").alias("file"),
+                    held(F.lit(7) - F.floor(F.col("_i") / 8)).cast("int").alias("rank"), held(square).alias("piece"))
 
 
 def _expand_digits(r):
@@ -69,19 +65,17 @@ def fen_encode(pieces: DataFrame, keys: list[str], suffix: str = " w - - 0 1") -
     bounded by construction.  Of several pieces on a square the first letter
     counts.
     """
-    sq = (F.col("rank") * 8 + F.col("file")).alias("_sq")
-    single = (pieces.where(F.col("piece").isNotNull()).repartition(*keys)
-              .groupBy(*keys, sq).agg(F.min("piece").alias("_p")))
-    per = single.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("_sq").alias("k"), F.col("_p").alias("v")))).alias("_m"))
-    rank_txt = []
-    for rank in range(7, -1, -1):
-        cells = [F.coalesce(F.element_at(F.col("_m"), F.lit(rank * 8 + f)), F.lit("1")) for f in range(8)]
-        t = F.concat(*cells)
-        for n in range(8, 1, -1):
-            t = F.replace(t, F.lit("1" * n), F.lit(str(n)))
-        rank_txt.append(t)
-    return per.select(*keys, F.concat(F.concat_ws("/", *rank_txt), F.lit(suffix)).alias("fen"))
+    sq = F.col("rank") * 8 + F.col("file")
+    placed = (pieces.where(F.col("piece").isNotNull()).repartition(*keys)
+              .select(*keys, F.floor(sq / 8).cast("int").alias("_rank"), F.pmod(sq, F.lit(8)).cast("int").alias("_file"), "piece"))
+    per_rank = placed.groupBy(*keys, "_rank").agg(*[F.min(F.when(F.col("_file") == f, F.col("piece"))).alias(f"_p{f}") for f in range(8)])
+    cells = F.concat(*[F.coalesce(F.col(f"_p{f}"), F.lit("1")) for f in range(8)])
+    per = per_rank.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(F.col("_rank").alias("k"), cells.alias("v")))).alias("_m"))
+    # one text of all squares; runs of empty squares end at the "/" between ranks
+    grid = F.concat_ws("/", *[F.coalesce(F.element_at("_m", F.lit(rank)), F.lit("1" * 8)) for rank in range(7, -1, -1)])
+    for n in range(8, 1, -1):
+        grid = F.replace(grid, F.lit("1" * n), F.lit(str(n)))
+    return per.select(*keys, F.concat(grid, F.lit(suffix)).alias("fen"))
 
 
 # --------------------------------------------------------------------------- the one aggregation

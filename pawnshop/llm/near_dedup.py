@@ -16,7 +16,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pawnshop.llm import text as tx
 from pawnshop.llm.components import components
@@ -26,11 +26,10 @@ WORDS = 5
 SIMILARITY = 0.8
 SKETCHES = 20
 PER_SKETCH = 3
-# Texts of similarity 0.8 share each sketch with probability 0.8 ** 3 = 0.51: they share fewer than
-# two of the 20 with probability 1e-5.
-LEAST_SHARED = 2
-# Below so many shingles one shared sketch is enough: the chance above holds for longer texts.
-FEW_SHINGLES = 32
+# Texts of similarity 0.8 share each sketch with probability 0.8 ** 3 = 0.51: they share none of the 20
+# with probability 1e-6.
+#: 64-bit words of a text's mark, which holds the parity of its shingles by hash.
+MARK_WORDS = 16
 #: Centres that each bucket gets in a turn after the first.
 CENTRES = 3
 #: Buckets of at most so many members are compared pair by pair; the members of larger ones by rare shingles.
@@ -128,7 +127,20 @@ def _sketch(batches):
                 ["id", "n", "print1", "print2", "sketch"])
 
 
-_SHINGLES = "id long, shingles array<long>"
+_MARK = [f"m{k}" for k in range(MARK_WORDS)]
+_SHINGLES = "id long, n int, " + ", ".join(f"{m} long" for m in _MARK) + ", shingles array<long>"
+
+
+def marks(rows: list[np.ndarray]) -> np.ndarray:
+    """One row of ``MARK_WORDS`` words for each set of shingles: the parity of the shingles that fall on each bit.
+
+    A shingle that only one of two sets has turns one bit, so the marks of two sets differ
+    in no more bits than the sets differ in shingles.
+    """
+    bits = np.zeros((len(rows), 64 * MARK_WORDS), bool)
+    for k, x in enumerate(rows):
+        bits[k] = np.bincount((tx.mix(x) % np.uint64(64 * MARK_WORDS)).astype(np.int64), minlength=64 * MARK_WORDS) & 1
+    return np.packbits(bits, axis=1).view(np.int64)
 
 
 def _shingle_rows(batches):
@@ -137,10 +149,12 @@ def _shingle_rows(batches):
         for at, data, off in tx.runs(batch.column("text")):
             sh, start = tx.shingles(*tx.words(data, off), WORDS)
             rows = [distinct_in_order(sh[start[r]:start[r + 1]]) for r in range(len(off) - 1)]
+            mark, size = marks(rows), np.array([len(x) for x in rows], np.int64)
             yield pa.RecordBatch.from_arrays([
-                ids.slice(at, len(rows)).cast(pa.int64()),
-                tx.list_array(tx.signed(np.concatenate(rows)), np.concatenate([[0], np.cumsum([len(x) for x in rows])]),
-                              pa.int64())], ["id", "shingles"])
+                ids.slice(at, len(rows)).cast(pa.int64()), pa.array(size.astype(np.int32)),
+                *(pa.array(np.ascontiguousarray(mark[:, k])) for k in range(MARK_WORDS)),
+                tx.list_array(tx.signed(np.concatenate(rows)), np.concatenate([[0], np.cumsum(size)]), pa.int64())],
+                ["id", "n", *_MARK, "shingles"])
 
 
 def _aligned(batches):
@@ -158,39 +172,44 @@ def _aligned(batches):
 
 
 def _keys(sketched: DataFrame) -> DataFrame:
-    return sketched.select("id", "n", "sketch", F.posexplode("sketch").alias("band", "key"))
+    return sketched.select("id", F.posexplode("sketch").alias("band", "key"))
+
+
+def _may_link(x: str, y: str):
+    """Whether two rows (id, n, mark, root) could be a link between two classes.
+
+    Exact: texts of similarity 0.8 have at least ``need`` shingles in common, so the smaller has 0.8 of the
+    larger one's number and the others, in which their marks may differ, are at most n + n - 2 need.
+    """
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    need = F.ceil(SIMILARITY * (n + m) / (1 + SIMILARITY) - 1e-9)
+    differ = sum((F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in _MARK), F.lit(0))
+    return (F.col(f"{x}.root") != F.col(f"{y}.root")) & (need <= F.least(n, m)) & (differ <= n + m - 2 * need)
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Pairs of rows x and y as (a, b, class of a, class of b), the larger id first; each pair once."""
+    larger = F.col("x.id") > F.col("y.id")
+    return pairs.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b"),
+                        F.when(larger, F.col("x.root")).otherwise(F.col("y.root")).alias("ra"),
+                        F.when(larger, F.col("y.root")).otherwise(F.col("x.root")).alias("rb")).distinct()
+
+
+_ROW = ("id", "n", *_MARK, "root")
 
 
 def _pairs(members: DataFrame, turn: int) -> DataFrame:
-    """Each member of a bucket with the bucket's centres, if their classes differ: (a, b, class of a, class of b).
+    """Each member of a bucket with the bucket's centres, if they could be a link between two classes.
 
     A few rows a member at most, so linear in the bucket.  A centre is the
     member that a hash of the ids puts first; one hash serves all bands, so
     that a group that shares many buckets shares its centres as well.
     """
     draws = range(CENTRES * turn, CENTRES * (turn + 1)) if turn else range(1)
-    drawn = [F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("draw"), "id", "n", "sketch", "root")) for k in draws]
+    drawn = [F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("draw"), *_ROW)) for k in draws]
     centres = (members.groupBy("band", "key").agg(F.array(*drawn).alias("all"))
-               .select("band", "key", F.explode(F.array_distinct(F.transform("all", lambda c: c.dropFields("draw")))).alias("c")))
-    shared = F.size(F.filter(F.zip_with("sketch", "c.sketch", lambda x, y: x == y), lambda x: x))
-    first = F.col("id") > F.col("c.id")
-    return (members.join(centres, ["band", "key"]).filter("root <> c.root")
-            .filter((shared >= LEAST_SHARED) | (F.least("n", "c.n") < FEW_SHINGLES))
-            .select(F.greatest("id", "c.id").alias("a"), F.least("id", "c.id").alias("b"),
-                    F.when(first, F.col("root")).otherwise(F.col("c.root")).alias("ra"),
-                    F.when(first, F.col("c.root")).otherwise(F.col("root")).alias("rb")).distinct())
-
-
-def _sharing(pairs: DataFrame) -> DataFrame:
-    """Of pairs with the columns x and y (id, n, sketch, root): those of two classes that could be links, as (a, b, ra, rb).
-
-    The length filter is exact: 0.8 of the shingles of both are at most those of the smaller.
-    """
-    shared = F.size(F.filter(F.zip_with("x.sketch", "y.sketch", lambda x, y: x == y), lambda x: x))
-    return (pairs.filter(F.col("x.root") != F.col("y.root"))
-            .filter(F.least("x.n", "y.n") >= SIMILARITY * F.greatest("x.n", "y.n") - 1e-9)
-            .filter((shared >= LEAST_SHARED) | ((shared >= 1) & (F.least("x.n", "y.n") < FEW_SHINGLES)))
-            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.root").alias("ra"), F.col("y.root").alias("rb")))
+               .select("band", "key", F.explode(F.array_distinct(F.transform("all", lambda c: c.dropFields("draw")))).alias("y")))
+    return _ordered(members.select("band", "key", F.struct(*_ROW).alias("x")).join(centres, ["band", "key"]).filter(_may_link("x", "y")))
 
 
 def _sizes(members: DataFrame) -> DataFrame:
@@ -201,26 +220,36 @@ def _remaining(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Every pair of two classes that shares a bucket and could be a link: (a, b, class of a, class of b).
 
     Small buckets give their pairs.  In large ones two texts meet if they share
-    one of their rarest shingles: a text of n shingles that is linked to another
-    lacks at most n - 0.8 n of them there, so one of its n - 0.8 n + 1 rarest is
-    among the other's rarest as well, and no link is lost.
+    one of their rarest shingles.  Linked texts of n and m <= n shingles have at
+    least 0.8 n and 0.8 (n + m) / 1.8 in common, so the rarest common one is among
+    the n - 0.8 n + 1 rarest of the larger and, ``short``, among the m - 0.89 m + 1
+    rarest of the smaller: no link is lost.
     """
     sizes = _sizes(members)
-    row = F.struct("id", "n", "sketch", "root")
+    row = F.struct(*_ROW)
     small = members.join(sizes.filter(F.col("size") <= FEW_MEMBERS).select("band", "key"), ["band", "key"])
-    near = small.select("band", "key", row.alias("x")).join(small.select("band", "key", row.alias("y")), ["band", "key"]).filter("x.id > y.id")
+    near = small.select("band", "key", row.alias("x")).join(small.select("band", "key", row.alias("y")), ["band", "key"])
+    near = near.filter("x.id > y.id").filter(_may_link("x", "y"))
     crowd = settled(members.join(sizes.filter(F.col("size") > FEW_MEMBERS).select("band", "key"), ["band", "key"])
-                    .select("id", "n", "sketch", "root").dropDuplicates(["id"]), "crowd")
+                    .select(*_ROW).dropDuplicates(["id"]), "crowd")
     if crowd.isEmpty():
-        return _sharing(near).distinct()
+        return _ordered(near)
     shingle = texts.join(crowd.select("id"), "id", "left_semi").select("id", F.explode("shingles").alias("shingle"))
-    counts = shingle.groupBy("shingle").agg(F.count("*").alias("texts"))
-    prefix = F.expr(f"slice(all, 1, cast(size(all) - ceil({SIMILARITY} * size(all) - 1e-9) + 1 as int))")
-    rare = settled(shingle.join(counts, "shingle").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("all"))
-                   .select("id", F.explode(prefix).alias("r")).filter("r.texts > 1").select("id", F.col("r.shingle").alias("shingle"))
-                   .join(crowd, "id"), "rare")
-    far = rare.select("shingle", row.alias("x")).join(rare.select("shingle", row.alias("y")), "shingle").filter("x.id > y.id")
-    return _sharing(near).unionByName(_sharing(far)).distinct()
+    counted = shingle.withColumn("texts", F.count("*").over(Window.partitionBy("shingle")))
+
+    def rarest(share: float) -> str:
+        return f"cast(size(all) - ceil({share!r} * size(all) - 1e-9) + 1 as int)"
+
+    rare = (counted.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("all"))
+            .select("id", F.expr(rarest(2 * SIMILARITY / (1 + SIMILARITY))).alias("few"), F.posexplode(F.expr(f"slice(all, 1, {rarest(SIMILARITY)})")).alias("at", "r"))
+            .filter("r.texts > 1").select("id", (F.col("at") < F.col("few")).alias("short"), F.col("r.shingle").alias("shingle")))
+    rare = settled(rare.join(crowd, "id").select("shingle", F.struct(*_ROW, "short").alias("x")), "rare")
+    # few bytes, but much to compare: as many tasks as the session's shuffles have
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sides = rare.repartition(tasks, "shingle")
+    far = sides.join(sides.select("shingle", F.col("x").alias("y")), "shingle").filter("x.id > y.id")
+    far = far.filter("(x.n >= y.n and y.short) or (y.n >= x.n and x.short)").filter(_may_link("x", "y"))
+    return _ordered(near).unionByName(_ordered(far)).distinct()
 
 
 def _merged(roots: DataFrame | None, found: DataFrame) -> DataFrame:
@@ -265,11 +294,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = sketched.select("id", "n", "print1", "print2")
     reps = prints.groupBy("n", "print1", "print2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     rep_rows = sketched.join(reps.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id"])
-    members = settled(_keys(rep_rows).join(
+    shared = settled(_keys(rep_rows).join(
         _keys(rep_rows).groupBy("band", "key").agg(F.count("*").alias("size")).filter("size > 1").select("band", "key"),
         ["band", "key"]), "bands")
-    texts = settled(src.join(members.select("id").distinct(), "id", "left_semi").mapInArrow(_shingle_rows, _SHINGLES)
+    texts = settled(src.join(shared.select("id").distinct(), "id", "left_semi").mapInArrow(_shingle_rows, _SHINGLES)
                     .dropDuplicates(["id"]), "shingles")
+    members = settled(shared.join(texts.drop("shingles"), "id"), "members")
 
     def linked(pairs: DataFrame) -> DataFrame:
         return settled(pairs.join(texts.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
@@ -277,7 +307,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        .select("a", "b", "ra", "rb", "left", "right")
                        .mapInArrow(_aligned, "a long, b long, ra long, rb long, similarity double"), "links")
 
-    links, classes, turn = None, None, 0
+    links, classes, turn, crowded = None, None, 0, None
     todo = members.withColumn("root", F.col("id"))
     while True:
         found = linked(_pairs(todo, turn))
@@ -289,9 +319,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         mixed = classed.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
         todo = settled(classed.join(mixed.select("band", "key"), ["band", "key"]), "mixed")
         turn += 1
-        if _sizes(todo).filter(F.col("size") > FEW_MEMBERS).isEmpty():
+        before, crowded = crowded, _sizes(todo).filter(F.col("size") > FEW_MEMBERS).agg(F.sum("size")).first()[0] or 0
+        if not crowded or before is not None and 2 * crowded > before:
             break
-    # a turn without a link says nothing of the pairs it didn't draw
+    # the turns say nothing of the pairs they didn't draw
     found = linked(_remaining(todo, texts))
     links = found if links is None else links.unionByName(found)
     rep_class = reps.select("n", "print1", "print2", "rep")

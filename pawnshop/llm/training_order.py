@@ -119,18 +119,28 @@ def sequences(docs: DataFrame, tokenizer: bpe.Tokenizer, end: int, id_col: str =
     return src.mapInArrow(run, _SEQUENCES)
 
 
+def squeezed(data: list[bytes]) -> list[bytes]:
+    """Each sequence as zstd: ids take a fifth less room in the shuffle than Spark's own compression leaves them."""
+    codec = pa.Codec("zstd")
+    return [codec.compress(x, asbytes=True) if x else b"" for x in data]
+
+
+def unsqueezed(data: bytes, size: int) -> bytes:
+    return pa.Codec("zstd").decompress(data, size, asbytes=True) if size else b""
+
+
 def _assembled(per_shard: int):
     def close(shard, rows):
         return pa.RecordBatch.from_arrays([
             pa.array([shard], pa.int64()), pa.array([shard * per_shard], pa.int64()), pa.array([len(rows)], pa.int32()),
             pa.array([[r[0] for r in rows]], pa.list_(pa.int64())), pa.array([[r[1] for r in rows]], pa.list_(pa.int64())),
-            pa.array([[r[2] for r in rows]], pa.list_(pa.int32())), pa.array([b"".join(r[3] for r in rows)], pa.large_binary())],
+            pa.array([[r[2] for r in rows]], pa.list_(pa.int32())), pa.array([b"".join(unsqueezed(*r[3:]) for r in rows)], pa.large_binary())],
             ["shard", "first_slot", "n_sequences", "first_doc", "first_token", "n_tokens", "data"])
 
     def of(batches):
         now, rows = None, []
         for batch in batches:
-            for shard, *row in zip(*(batch.column(c).to_pylist() for c in ("shard", "first_doc", "first_token", "n_tokens", "data")), strict=True):
+            for shard, *row in zip(*(batch.column(c).to_pylist() for c in ("shard", "first_doc", "first_token", "n_tokens", "squeezed", "size")), strict=True):
                 if shard != now and rows:
                     yield close(now, rows)
                     rows = []
@@ -171,11 +181,15 @@ def shards(packed: DataFrame, key: int = 0, per_shard: int = SHARD_SEQUENCES) ->
 
         return pd.Series(slots(number.to_numpy(), total, key))
 
+    @F.arrow_udf("binary")
+    def squeeze(data: pa.Array) -> pa.Array:
+        return pa.array(squeezed(data.to_pylist()), pa.binary())
+
     placed = packed.join(starts, "block").withColumn("slot", slot(F.col("start") + F.col("number")))
     placed = placed.withColumn("shard", F.floor(F.col("slot") / per_shard))
     wanted = max(1, -(-total // per_shard))
     parts = min(wanted, max(1, int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    return (placed.select("shard", "slot", "first_doc", "first_token", "n_tokens", "data")
+    return (placed.select("shard", "slot", "first_doc", "first_token", "n_tokens", squeeze("data").alias("squeezed"), F.length("data").alias("size"))
             .repartitionByRange(parts, "shard").sortWithinPartitions("shard", "slot")
             .mapInArrow(_assembled(per_shard), _SHARDS))
 

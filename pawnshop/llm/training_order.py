@@ -10,7 +10,7 @@ arithmetic, reads sequentially and resumes anywhere.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,10 @@ SHARD_SEQUENCES = 1024
 ROUNDS = 6
 #: Blocks whose running totals are computed together, then those of such groups.
 _GROUP = 4096
+#: Sequences that a task places at a time.
+_PLACED = 1024
+#: How the packed sequences are written: a page's zstd window reaches over thousands of sequences.
+_STORED = {"parquet.compression.codec.zstd.level": "7", "parquet.page.size": str(4 << 20)}
 
 
 def _round_keys(key: int) -> np.ndarray:
@@ -119,22 +123,58 @@ def sequences(docs: DataFrame, tokenizer: bpe.Tokenizer, end: int, id_col: str =
     return src.mapInArrow(run, _SEQUENCES)
 
 
-def squeezed(data: list[bytes]) -> list[bytes]:
-    """Each sequence as zstd: ids take a fifth less room in the shuffle than Spark's own compression leaves them."""
-    codec = pa.Codec("zstd")
-    return [codec.compress(x, asbytes=True) if x else b"" for x in data]
+#: One of so many sequences of a block is counted to find the common units; byte that announces any other unit.
+_COUNTED, _OTHER = 64, 255
+
 
+def common_units(packed: DataFrame) -> list[int]:
+    """The 255 commonest 16-bit units (ids of 2 bytes, halves of 4) of every 64th sequence; they only decide how small the shuffle is."""
+    def run(batches):
+        count = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for data in batch.column("data"):
+                data = data.as_py() or b""
+                count += np.bincount(np.frombuffer(data, "<u2", len(data) // 2), minlength=1 << 16)
+        unit = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(unit, pa.int32()), pa.array(count[unit], pa.int64())], ["unit", "times"])
 
-def unsqueezed(data: bytes, size: int) -> bytes:
-    return pa.Codec("zstd").decompress(data, size, asbytes=True) if size else b""
+    counted = packed.filter(F.col("number") % _COUNTED == 0).select("data").mapInArrow(run, "unit int, times long")
+    return [r["unit"] for r in counted.groupBy("unit").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "unit").limit(_OTHER).collect()]
 
 
-def _assembled(per_shard: int):
+def squeezed(data: list[bytes], common: Sequence[int] = ()) -> list[bytes]:
+    """Each sequence as it is shuffled: common units in a byte, the others in three, all as zstd after the number of others."""
+    codec = pa.Codec("zstd")
+    code = np.full(1 << 16, _OTHER, np.uint8)
+    code[np.asarray(common, np.int64)] = np.arange(len(common))
+    out = []
+    for x in data:
+        units = np.frombuffer(x, "<u2", len(x) // 2)
+        short = code[units]
+        others = units[short == _OTHER]
+        out.append(len(others).to_bytes(4, "little") + codec.compress(short.tobytes() + others.tobytes() + x[2 * len(units):], asbytes=True) if x else b"")
+    return out
+
+
+def unsqueezed(data: bytes, size: int, common: Sequence[int] = ()) -> bytes:
+    if not size:
+        return b""
+    n, others = size // 2, int.from_bytes(data[:4], "little")
+    coded = pa.Codec("zstd").decompress(memoryview(data)[4:], n + 2 * others + size % 2, asbytes=True)
+    unit = np.zeros(1 << 8, "<u2")
+    unit[:len(common)] = common
+    short = np.frombuffer(coded, np.uint8, n)
+    units = unit[short]
+    units[short == _OTHER] = np.frombuffer(coded, "<u2", others, n)
+    return units.tobytes() + coded[n + 2 * others:]
+
+
+def _assembled(per_shard: int, common: Sequence[int]):
     def close(shard, rows):
         return pa.RecordBatch.from_arrays([
             pa.array([shard], pa.int64()), pa.array([shard * per_shard], pa.int64()), pa.array([len(rows)], pa.int32()),
             pa.array([[r[0] for r in rows]], pa.list_(pa.int64())), pa.array([[r[1] for r in rows]], pa.list_(pa.int64())),
-            pa.array([[r[2] for r in rows]], pa.list_(pa.int32())), pa.array([b"".join(unsqueezed(*r[3:]) for r in rows)], pa.large_binary())],
+            pa.array([[r[2] for r in rows]], pa.list_(pa.int32())), pa.array([b"".join(unsqueezed(*r[3:], common) for r in rows)], pa.large_binary())],
             ["shard", "first_slot", "n_sequences", "first_doc", "first_token", "n_tokens", "data"])
 
     def of(batches):
@@ -165,7 +205,7 @@ def shards(packed: DataFrame, key: int = 0, per_shard: int = SHARD_SEQUENCES) ->
     packed like any others, other columns are ignored; an empty table gives no
     shard.
     """
-    packed = settled(packed, "sequences", compression="zstd")
+    packed = settled(packed, "sequences", compression="zstd", **_STORED)
     blocks = packed.groupBy("block").agg(F.count("*").alias("n")).withColumn("part", F.floor(F.col("block") / _GROUP))
     # running totals in two steps: within groups of blocks, then over the groups
     inner = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -175,23 +215,27 @@ def shards(packed: DataFrame, key: int = 0, per_shard: int = SHARD_SEQUENCES) ->
     starts = settled(starts, "starts")  # small on disk, so that Spark broadcasts it instead of shuffling the sequences
     total = blocks.agg(F.sum("n")).first()[0] or 0
 
-    @F.pandas_udf("long")
-    def slot(number):
-        import pandas as pd
-
-        return pd.Series(slots(number.to_numpy(), total, key))
+    common = common_units(packed)
 
-    @F.arrow_udf("binary")
-    def squeeze(data: pa.Array) -> pa.Array:
-        return pa.array(squeezed(data.to_pylist()), pa.binary())
-
-    placed = packed.join(starts, "block").withColumn("slot", slot(F.col("start") + F.col("number")))
-    placed = placed.withColumn("shard", F.floor(F.col("slot") / per_shard))
+    def place(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, _PLACED):
+                rows = batch.slice(at, _PLACED)
+                data = [x or b"" for x in rows.column("data").to_pylist()]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(slots(rows.column("number").to_numpy(zero_copy_only=False), total, key)),
+                    *(rows.column(c) for c in ("first_doc", "first_token", "n_tokens")),
+                    pa.array(squeezed(data, common), pa.binary()), pa.array([len(x) for x in data], pa.int32())],
+                    ["slot", "first_doc", "first_token", "n_tokens", "squeezed", "size"])
+
+    placed = (packed.join(starts, "block").select((F.col("start") + F.col("number")).alias("number"), "first_doc", "first_token", "n_tokens", "data")
+              .mapInArrow(place, "slot long, first_doc long, first_token long, n_tokens int, squeezed binary, size int"))
     wanted = max(1, -(-total // per_shard))
     parts = min(wanted, max(1, int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    return (placed.select("shard", "slot", "first_doc", "first_token", "n_tokens", squeeze("data").alias("squeezed"), F.length("data").alias("size"))
-            .repartitionByRange(parts, "shard").sortWithinPartitions("shard", "slot")
-            .mapInArrow(_assembled(per_shard), _SHARDS))
+    # slots are dense, so equal ranges of shards need no sampling run over the sequences
+    return (placed.select(F.floor(F.col("slot") / per_shard).alias("shard"), "slot", "first_doc", "first_token", "n_tokens", "squeezed", "size")
+            .repartitionById(parts, F.floor(F.col("shard") * parts / wanted).cast("int")).sortWithinPartitions("shard", "slot")
+            .mapInArrow(_assembled(per_shard, common), _SHARDS))
 
 
 def index(shard_rows: DataFrame) -> DataFrame:

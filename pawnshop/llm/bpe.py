@@ -28,6 +28,8 @@ from pawnshop.llm.frames import settled
 LEXICON_WORDS = 65536
 #: Bytes of text whose distinct words are looked up together.
 RUN_BYTES = 1 << 20
+#: Merged words that a task remembers between runs.
+KNOWN_WORDS = 1 << 17
 _SHORT = 64
 _NO_MERGE = 1 << 30
 # Fixed values of the byte-level pre-tokenisation.
@@ -375,8 +377,38 @@ def _specials(data: np.ndarray, off: np.ndarray, vocabulary: Vocabulary) -> tupl
     return tuple(list(x) for x in zip(*kept, strict=True)) if kept else ([], [], [])
 
 
-def encode_run(data: np.ndarray, off: np.ndarray, vocabulary: Vocabulary, lexicon: Automaton) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of all rows, and the first token of each row."""
+class Known:
+    """Words that a task has merged before, by hash, and their ids: the first ``words`` that it met."""
+
+    def __init__(self, words: int = KNOWN_WORDS):
+        self.room = words
+        self.hashes, self.lo, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each hash, or -1."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, first: np.ndarray) -> None:
+        """Distinct words that are not there yet, as far as there is room; those of many ids stay out."""
+        n = np.diff(first)
+        new = np.flatnonzero(n <= _SHORT)[:self.room - len(self.hashes)]
+        if not len(new):
+            return
+        joined = np.concatenate([self.hashes, hashes[new]])
+        order = np.argsort(joined)
+        self.hashes = joined[order]
+        self.lo = np.concatenate([self.lo, len(self.ids) + np.cumsum(n[new]) - n[new]])[order]
+        self.n = np.concatenate([self.n, n[new]])[order]
+        self.ids = np.concatenate([self.ids, ids[_ranges(first[new], n[new])]])
+
+
+def encode_run(data: np.ndarray, off: np.ndarray, vocabulary: Vocabulary, lexicon: Automaton,
+               known: Known | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of all rows, and the first token of each row; ``known`` spares words of earlier runs their merges."""
     s_start, s_end, s_id = _specials(data, off, vocabulary)
     bounds = np.unique(np.concatenate([off, np.array(s_start + s_end, np.int64)]))
     starts = split_words(data, bounds)
@@ -389,14 +421,18 @@ def encode_run(data: np.ndarray, off: np.ndarray, vocabulary: Vocabulary, lexico
     codes, distinct = tx.coded(tx.span_hash(data, starts, ends))
     first = tx.firsts(codes, len(distinct))
     rank = lexicon.rank(data, starts[first], ends[first])
+    known = known or Known(0)
     missing = np.flatnonzero(rank < 0)
+    before = known.find(distinct[missing])
+    met, missing, before = missing[before >= 0], missing[before < 0], before[before >= 0]
     own, own_first = vocabulary.encode_words(data, starts[first[missing]], ends[first[missing]])
-    own_first = own_first + len(lexicon.ids)
-    pool = np.concatenate([lexicon.ids, own])
+    pool = np.concatenate([lexicon.ids, known.ids, own])
     lo, n = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
     hit = np.flatnonzero(rank >= 0)
     lo[hit], n[hit] = lexicon.first[rank[hit]], lexicon.first[rank[hit] + 1] - lexicon.first[rank[hit]]
-    lo[missing], n[missing] = own_first[:-1], np.diff(own_first)
+    lo[met], n[met] = len(lexicon.ids) + known.lo[before], known.n[before]
+    lo[missing], n[missing] = len(lexicon.ids) + len(known.ids) + own_first[:-1], np.diff(own_first)
+    known.add(distinct[missing], own, own_first)
     if len(s_start):
         word = np.searchsorted(starts, s_start)
         codes[word] = len(distinct) + np.arange(len(word))

@@ -110,12 +110,13 @@ def sequences(docs: DataFrame, tokenizer: bpe.Tokenizer, end: int, id_col: str =
     def run(batches):
         vocabulary, lexicon = bpe._vocabulary(shared.value[0]), bpe._automaton(shared.value[1])
         kind = np.dtype("<u2") if vocabulary.size <= 1 << 16 else np.dtype("<u4")
+        known = bpe.Known()
 
         def rows():
             for batch in batches:
                 ids = batch.column("id").to_numpy(zero_copy_only=False)
                 for at, data, off in tx.runs(batch.column("text"), bpe.RUN_BYTES):
-                    tokens, first = bpe.encode_run(data, off, vocabulary, lexicon)
+                    tokens, first = bpe.encode_run(data, off, vocabulary, lexicon, known)
                     yield ids[at:at + len(off) - 1].astype(np.int64), tokens, first
         yield from _pack(rows(), length, end, kind)
 

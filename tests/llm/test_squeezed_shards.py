@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from pawnshop.llm import training_order as order
+from pawnshop.llm import bpe, training_order as order, text as tx
 from pawnshop.llm.bpe import Tokenizer
 from pawnshop.llm.catalog import END_TOKEN, vocabulary_path
 
@@ -57,3 +57,30 @@ def test_shards_place_each_sequence_once_in_one_python_step(spark):
     rows = shards.collect()
     assert sorted(r["shard"] for r in rows) == list(range(len(rows)))
     assert all(r["n_sequences"] == 16 for r in rows if r["shard"] < len(rows) - 1)
+
+
+@pytest.mark.parametrize("room", [0, 1, 50, 1 << 17])
+def test_known_words_change_no_id(room):
+    made = np.random.default_rng(4)
+    words = ["".join(chr(97 + c) for c in made.integers(0, 26, n)) for n in made.integers(1, 12, 200)] + ["x" * 700, "été", "<|endoftext|>", "12 34"]
+    tokenizer = Tokenizer(vocabulary_path())
+    vocabulary, lexicon, known = bpe._vocabulary(tokenizer.vocabulary), bpe._automaton(tokenizer.lexicon), bpe.Known(room)
+    for _ in range(6):
+        texts = [" ".join(made.choice(words, n)) for n in (0, 1, 40, 300)]
+        data, off = tx.string_buffers(pa.array(texts))
+        want, got = bpe.encode_run(data, off, vocabulary, lexicon), bpe.encode_run(data, off, vocabulary, lexicon, known)
+        assert all(np.array_equal(a, b) for a, b in zip(want, got, strict=True))
+        assert len(known.hashes) <= room
+    assert room < 1000 or (known.find(known.hashes) >= 0).all() and 100 < len(known.hashes) and known.n.max() <= 64
+
+
+def test_a_word_of_later_runs_is_merged_once(monkeypatch):
+    merged = []
+    vocabulary = bpe._vocabulary(Tokenizer(vocabulary_path()).vocabulary)
+    plain = vocabulary.encode_words
+    monkeypatch.setattr(vocabulary, "encode_words", lambda data, starts, ends: merged.append(len(starts)) or plain(data, starts, ends))
+    data, off = tx.string_buffers(pa.array(["the same few words"]))
+    known = bpe.Known()
+    for _ in range(3):
+        bpe.encode_run(data, off, vocabulary, bpe.Automaton(bpe.Automaton.build([], [])), known)
+    assert merged == [4, 0, 0]

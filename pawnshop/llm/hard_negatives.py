@@ -12,7 +12,8 @@ score of each of its windows, or below the window itself.
 The lists are built once, and every block is visited by the anchors in chunks:
 candidates don't travel, anchors do.  A first search with one window over the
 anchor's own label finds its positives; these set the windows of the second
-search, over all other labels.  No task holds more than a block and a chunk.
+search, over all other labels.  No task holds more than a block and a chunk, and
+no join sends its rows through the driver.
 """
 
 from __future__ import annotations
@@ -161,7 +162,8 @@ def _search(blocks: DataFrame, count: int, anchors: DataFrame, k: int, same: boo
               .applyInArrow(_packed, "chunk long, " + ", ".join(f"{c} binary" for c in _ANCHOR)))
     # the stated anchors visit all rows, block by block
     visits = packed.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))))
-    hits = visits.join(blocks, "block").mapInArrow(_visits(k, same), _HIT)
+    # a chunk's row is repeated for every block, which Spark's size estimate doesn't see: it would broadcast all visits from the driver
+    hits = visits.join(blocks.hint("merge"), "block").mapInArrow(_visits(k, same), _HIT)
     place = F.row_number().over(Window.partitionBy("anchor", "window").orderBy(F.desc("score"), "id", "row"))
     return hits.withColumn("rank", place).filter(F.col("rank") <= k)
 
@@ -194,9 +196,9 @@ def mine(rows: DataFrame, anchors: DataFrame, positives: int = 5, negatives: int
     near = settled(_search(blocks, count, first, positives, True).select("anchor", "rank", F.col("id").alias("positive_id"), F.col("score").alias("positive_score")), "positives")
     # a few positives an anchor
     windows = near.groupBy("anchor").agg(F.array_sort(F.collect_list(F.struct("rank", "positive_score")))["positive_score"].alias("positive_scores"))
-    second = asked.join(windows.withColumnRenamed("anchor", "row"), "row")
+    second = asked.join(windows.withColumnRenamed("anchor", "row").hint("merge"), "row")
     found = _search(blocks, count, second, negatives, False)
     return (found.select("anchor", "anchor_id", F.col("window").alias("w"), F.col("rank").cast("int").alias("rank"), F.col("id").alias("negative_id"),
                          F.col("score").alias("negative_score"))
-            .join(near.withColumn("w", (F.col("rank") - 1).cast("int")).drop("rank"), ["anchor", "w"])
+            .join(near.withColumn("w", (F.col("rank") - 1).cast("int")).drop("rank").hint("merge"), ["anchor", "w"])
             .select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"))

@@ -79,3 +79,16 @@ def test_awkward_vectors(spark):
     assert hard.mine(frame(spark, []), F.col("id") % 10 == 0).count() == 0
     with pytest.raises(Exception, match="64 bits"):
         hard.mine(frame(spark, [(0, [1e14, 0.0], 1), (1, [1e14, 0.0], 1)]), F.col("id") == 0).collect()
+
+
+def test_no_table_goes_through_the_driver(spark, monkeypatch):
+    plans = []
+    settled = hard.settled
+    monkeypatch.setattr(hard, "settled", lambda df, *a, **b: (plans.append(df), settled(df, *a, **b))[1])
+    monkeypatch.setattr(hard, "BLOCK", 16)  # a chunk visits many blocks
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)], i % 3) for i in range(400)]
+    result = hard.mine(frame(spark, rows), F.col("id") % 20 == 0)
+    assert got(result) == brute(rows, lambda i: i % 20 == 0)
+    for df in (*plans, result):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
